@@ -24,28 +24,46 @@ def axis_bits(precision: int) -> tuple[int, int]:
 def _cell_number(value: Column, span: float, bits: int) -> Column:
     half = 1 << (bits - 1)
     number = F.ceil(value / F.lit(span / (1 << bits))) + F.lit(half - 1)
-    # greatest/least skip nulls, so keep a missing coordinate missing.
-    return F.when(value.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(2 * half - 1), number)))
+    return F.greatest(F.lit(0), F.least(F.lit(2 * half - 1), number))
 
 
-def geohash(lat: Column, lon: Column, precision: int = GEOHASH_PRECISION) -> Column:
-    """Code of the cell holding a point."""
-    lon_bits, lat_bits = axis_bits(precision)
-    axes = (
-        (_cell_number(lon, LON_SPAN, lon_bits), lon_bits),
-        (_cell_number(lat, LAT_SPAN, lat_bits), lat_bits),
+def _character_table(lon_bits: int, lat_bits: int, lon_first: bool) -> str:
+    """The alphabet ordered by (longitude bits, latitude bits) of one character."""
+
+    def digit(lon: int, lat: int) -> int:
+        axes = [[lon, lon_bits], [lat, lat_bits]]
+        turn, value = (0 if lon_first else 1), 0
+        for _ in range(5):
+            axes[turn][1] -= 1
+            value = 2 * value + (axes[turn][0] >> axes[turn][1] & 1)
+            turn = 1 - turn
+        return value
+
+    return "".join(
+        GEOHASH_ALPHABET[digit(lon, lat)] for lon in range(1 << lon_bits) for lat in range(1 << lat_bits)
     )
 
-    def character(position: int) -> Column:
-        index = F.lit(1)
-        for offset in range(5):
-            nth = 5 * position + offset
-            number, bits = axes[nth % 2]
-            bit = F.shiftright(number, bits - 1 - nth // 2).bitwiseAND(F.lit(1))
-            index = index + bit * F.lit(16 >> offset)
-        return F.substring(F.lit(GEOHASH_ALPHABET), index.cast("int"), F.lit(1))
 
-    return F.concat(*[character(p) for p in range(precision)])
+# Characters take turns: the first, third, .. hold three longitude bits, the others two.
+_TABLES = (_character_table(3, 2, True), _character_table(2, 3, False))
+
+
+def geohash(lat: Column, lon: Column, precision: int = GEOHASH_PRECISION) -> Column:
+    """Code of the cell holding a point; null when a coordinate is missing."""
+    lon_left, lat_left = axis_bits(precision)
+    lon_cell = _cell_number(lon, LON_SPAN, lon_left)
+    lat_cell = _cell_number(lat, LAT_SPAN, lat_left)
+    characters = []
+    for position in range(precision):
+        lon_take, lat_take = (3, 2) if position % 2 == 0 else (2, 3)
+        lon_left, lat_left = lon_left - lon_take, lat_left - lat_take
+        # The bits this character adds, longitude in the high part of the table index.
+        high = F.shiftright(lon_cell, lon_left).bitwiseAND(F.lit((1 << lon_take) - 1))
+        low = F.shiftright(lat_cell, lat_left).bitwiseAND(F.lit((1 << lat_take) - 1))
+        index = (high * F.lit(1 << lat_take) + low + F.lit(1)).cast("int")
+        characters.append(F.substring(F.lit(_TABLES[position % 2]), index, F.lit(1)))
+    # greatest and least skip nulls, so a missing coordinate is handled here.
+    return F.when(lat.isNotNull() & lon.isNotNull(), F.concat(*characters))
 
 
 def geohash_centroid(code: Column, precision: int = GEOHASH_PRECISION) -> Column:

@@ -37,6 +37,10 @@ def to_mb(size: Column) -> Column:
     return round2(size.cast("double") / F.lit(1048576.0))
 
 
+def without_nan(value: Column) -> Column:
+    return F.nanvl(value, F.lit(None).cast("double"))
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Replace NaN by null in every floating column.
 
@@ -45,4 +49,4 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     floating = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     if not floating:
         return df
-    return df.withColumns({name: F.when(~F.isnan(name), F.col(name)) for name in floating})
+    return df.withColumns({name: without_nan(F.col(name)) for name in floating})

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,14 +61,8 @@ SILVER_REQUIRED = [
 # ---------------------------------------------------------------------------
 
 
-def _inside(value: Column, low, high) -> Column:
-    ends = [value >= low] if low is not None else []
-    ends += [value <= high] if high is not None else []
-    return reduce(and_, ends)
-
-
 class Contract:
-    """Named rules over the columns of one schema.
+    """Named rules over the columns of one schema, as SQL conditions.
 
     A column of another type is read with ``try_cast``; text that does not fit
     breaks the rule ``<column>_type``.
@@ -79,53 +70,79 @@ class Contract:
 
     def __init__(self, schema: T.StructType, required=(), lengths=None, ranges=None):
         self.schema = schema
-        self.required = required
+        self.required = set(required)
         self.lengths = lengths or {}
         self.ranges = ranges or {}
 
-    def _value(self, df: DataFrame, field: T.StructField) -> Column:
-        value = F.col(field.name)
-        same = df.schema[field.name].dataType == field.dataType
-        return value if same else value.try_cast(field.dataType)
-
-    def rules(self, df: DataFrame) -> dict[str, Column]:
-        """Rule name -> column that is true when the rule holds (never null)."""
-        found: dict[str, Column] = {}
+    def _values(self, df: DataFrame) -> dict[str, tuple[str, bool]]:
+        """Column -> (its value as SQL, whether it had to be cast)."""
+        actual = dict(df.dtypes)
+        found = {}
         for field in self.schema:
-            name = field.name
-            if name not in df.columns:
+            kind = field.dataType.simpleString()
+            if field.name in actual:
+                cast = actual[field.name] != kind
+                value = f"try_cast(`{field.name}` AS {kind})" if cast else f"`{field.name}`"
+                found[field.name] = (value, cast)
+        return found
+
+    def rules(self, df: DataFrame) -> dict[str, str]:
+        """Rule name -> condition that is true when the rule holds (never null)."""
+        values = self._values(df)
+        found: dict[str, str] = {}
+        for name in self.schema.names:
+            if name not in values:
                 if name in self.required:
-                    found[f"{name}_required"] = F.lit(False)
+                    found[f"{name}_required"] = "false"
                 continue
-            raw, value = F.col(name), self._value(df, field)
-            if df.schema[name].dataType != field.dataType:
-                found[f"{name}_type"] = raw.isNull() | value.isNotNull()
+            value, cast = values[name]
+            if cast:
+                found[f"{name}_type"] = f"(`{name}` IS NULL OR {value} IS NOT NULL)"
             if name in self.required:
-                found[f"{name}_required"] = value.isNotNull()
+                found[f"{name}_required"] = f"({value} IS NOT NULL)"
             if name in self.lengths:
-                found[f"{name}_length"] = value.isNull() | _inside(F.length(value), *self.lengths[name])
+                found[f"{name}_length"] = _within(f"length({value})", *self.lengths[name])
             if name in self.ranges:
-                found[f"{name}_range"] = value.isNull() | _inside(value, *self.ranges[name])
+                found[f"{name}_range"] = _within(value, *self.ranges[name])
         if "cast_errors" in df.columns:
-            found["unreadable_field"] = F.coalesce(F.col("cast_errors"), F.lit("")) == ""
+            found["unreadable_field"] = "coalesce(cast_errors = '', true)"
         return found
 
-    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """``(valid, quarantine)``.
+    def _holds(self, df: DataFrame) -> str:
+        return " AND ".join(self.rules(df).values())
+
+    def valid(self, df: DataFrame) -> DataFrame:
+        """Rows that keep every rule, with the contract's types.
 
-        Both sides filter on one boolean expression, which stays in generated
-        code and reaches the scan; the list of reasons is built only for the
-        rows that failed. Valid rows get the contract's types.
+        One boolean filter: it stays in generated code and reaches the scan.
         """
-        rules = self.rules(df)
-        holds = reduce(and_, rules.values())
-        typed = {
-            f.name: self._value(df, f) for f in self.schema if f.name in df.columns
-        }
-        valid = df.filter(holds).withColumns(typed).drop("cast_errors")
-        reasons = F.array(*[F.when(~rule, F.lit(name)) for name, rule in rules.items()])
-        quarantine = df.filter(~holds).withColumn("rejection_reasons", F.array_compact(reasons))
-        return valid, quarantine
+        kept = df.filter(self._holds(df))
+        typed = {n: F.expr(value) for n, (value, cast) in self._values(df).items() if cast}
+        kept = kept.withColumns(typed) if typed else kept
+        return kept.drop("cast_errors") if "cast_errors" in df.columns else kept
+
+    def quarantine(self, df: DataFrame) -> DataFrame:
+        """Rows that break a rule, as they came, with the names of the broken rules."""
+        broken = ", ".join(f"CASE WHEN NOT {rule} THEN '{name}' END" for name, rule in self.rules(df).items())
+        rejected = df.filter(f"NOT ({self._holds(df)})")
+        return rejected.withColumn("rejection_reasons", F.expr(f"array_compact(array({broken}))"))
+
+    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return self.valid(df), self.quarantine(df)
+
+
+def _within(value: str, low, high) -> str:
+    """Inclusive bounds; a missing value passes."""
+    if high is None:
+        return f"coalesce({value} >= {low!r}{_suffix(low)}, true)"
+    if low is None:
+        return f"coalesce({value} <= {high!r}{_suffix(high)}, true)"
+    return f"coalesce({value} BETWEEN {low!r}{_suffix(low)} AND {high!r}{_suffix(high)}, true)"
+
+
+def _suffix(bound) -> str:
+    # A bare 90.0 is a DECIMAL literal in SQL.
+    return "D" if isinstance(bound, float) else ""
 
 
 FLIGHT_CONTRACT = Contract(FLIGHT_SCHEMA, FLIGHT_REQUIRED, FLIGHT_LENGTHS, FLIGHT_RANGES)

@@ -14,12 +14,13 @@ OBSERVATION_BYTES = 128
 
 
 def tag_flights(df: DataFrame, precision: int = GEOHASH_PRECISION) -> DataFrame:
-    """Add record id, cell and partition day to valid reports."""
+    """Add record id, cell, partition day and weather cycle to valid reports."""
     return df.withColumns(
         {
             "flight_record_id": fn.record_id(F.col("icao24"), F.col("time_position")),
             "geohash": fn.geohash(F.col("latitude"), F.col("longitude"), precision),
             "recorded_date": fn.recorded_date(F.col("time_position")),
+            "cycle_id": fn.cycle_day(F.col("time_position")),
         }
     )
 

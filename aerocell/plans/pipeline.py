@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerocell import functions as fn
-from aerocell.operators.contracts import validate_flights
+from aerocell.operators.contracts import FLIGHT_CONTRACT, validate_flights
 from aerocell.operators.enrich import enrich, first_per_key, tag_flights
 from aerocell.sources.payloads import normalise_flights
 
@@ -22,13 +21,12 @@ def located(raw: DataFrame) -> DataFrame:
 
 def checked_flights(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(valid, quarantine)`` of the located raw reports."""
-    return validate_flights(fn.nan_to_null(normalise_flights(located(raw))))
+    return validate_flights(normalise_flights(located(raw)))
 
 
 def tagged_flights(raw: DataFrame) -> DataFrame:
     """Valid reports with record id, cell, partition day and weather cycle."""
-    valid, _ = checked_flights(raw)
-    return tag_flights(valid).withColumn("cycle_id", fn.cycle_day(F.col("time_position")))
+    return tag_flights(FLIGHT_CONTRACT.valid(normalise_flights(located(raw))))
 
 
 def silver_rows(

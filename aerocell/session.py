@@ -17,6 +17,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM never compiles a method above 8000 bytes; let Spark split such a
+    # stage into smaller methods instead of running it interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _local_scratch: dict[str, str] = {}
@@ -37,6 +40,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in RUNTIME_SETTINGS.items():

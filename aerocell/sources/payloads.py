@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerocell import functions as fn
+from aerocell.functions.numeric import without_nan
 from aerocell.functions.text import strip
 from aerocell.schemas import FLIGHT_SCHEMA, VECTOR_LENGTH, WEATHER_CHUNK, BoundingBox
 
@@ -69,7 +70,8 @@ def parse_state_payload(
 def normalise_flights(df: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Clean and type the fields of raw reports; other columns pass through.
 
-    Accepts text (parsed payloads) or typed columns. ``cast_errors`` names the
+    Accepts text (parsed payloads) or typed columns. NaN becomes null here,
+    before anything is compared. ``cast_errors`` names the
     fields whose text could not be read as their type, so the contract check
     can quarantine the row instead of taking the value for missing.
     """
@@ -98,10 +100,13 @@ def normalise_flights(df: DataFrame, ingested_at: Column | None = None) -> DataF
             typed = value.try_cast(kind)
             errors.append(F.when(value.isNotNull() & typed.isNull(), F.lit(name)))
             value = typed
+        if kind == "double":
+            value = without_nan(value)
         cleaned[name] = F.coalesce(value, defaults[name]) if name in defaults else value
     if "ingested_at" not in types:
         cleaned["ingested_at"] = F.current_timestamp() if ingested_at is None else ingested_at
-    cleaned["cast_errors"] = F.concat_ws(",", *errors) if errors else F.lit("")
+    if errors:
+        cleaned["cast_errors"] = F.concat_ws(",", *errors)
     return df.withColumns(cleaned)
 
 
