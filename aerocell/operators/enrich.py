@@ -79,15 +79,16 @@ def enrich(
     """Every report with the weather of its cell and its risk score.
 
     ``weather`` holds one row per key. Reports without weather are kept with
-    nulls and risk 0.0. Keyed by cell alone, the weather side has at most
-    ``32**precision`` rows: it is broadcast when even a full grid fits. With
-    more keys (a history of cycles) nothing bounds it, so Spark's own size
-    check decides, and beyond it the sort-merge join splits hot cells by AQE's
-    skew handling, which adapts to any share one cell may hold.
+    nulls and risk 0.0. Keyed by cell alone (one cycle), one row per cell is
+    enforced, so the weather side cannot pass ``32**precision`` rows: it is
+    broadcast when even a full grid fits. With more keys (a history of cycles)
+    nothing bounds it, so Spark's own size check decides, and beyond it the
+    sort-merge join splits hot cells by AQE's skew handling, which adapts to
+    any share one cell may hold.
     """
     right = weather.select(*keys, *[c for c in WEATHER_MEASURES if c in weather.columns])
-    if keys == ("geohash",) and 32**precision * OBSERVATION_BYTES <= BROADCAST_LIMIT_BYTES:
-        right = F.broadcast(right)
+    if tuple(keys) == ("geohash",) and 32**precision * OBSERVATION_BYTES <= BROADCAST_LIMIT_BYTES:
+        right = F.broadcast(right.dropDuplicates(["geohash"]))
     joined = flights.join(right, list(keys), "left")
     risk = fn.convective_risk(F.col("precipitation_mm"), F.col("wind_gusts_mps"), F.col("cloud_cover_pct"))
     scored = joined.withColumn("convective_risk_score", risk)

@@ -16,8 +16,12 @@ from aerocell.sources.tables import days_of, overwrite_days, partition_days, rea
 
 
 def new_records(target: DataFrame, batch: DataFrame, key: str = "flight_record_id") -> DataFrame:
-    """Rows of the batch whose key the target does not hold."""
-    return batch.join(target.select(key), key, "left_anti")
+    """Rows of the batch whose key the target does not hold.
+
+    The target's keys are made distinct first: a key stored many times by plain
+    appends is then combined map-side instead of meeting the join as a hot group.
+    """
+    return batch.join(target.select(key).distinct(), key, "left_anti")
 
 
 def insert_ignore(
@@ -40,29 +44,23 @@ def insert_ignore(
         return 0
     first = first_per_key(stored_batch, [key], [F.col(c) for c in order]).select(*SILVER.columns)
     known = on_days(spark.table(table), days)
-    # Written to the shared folder first: a retried task must not find its own rows in the target.
-    fresh = materialise(new_records(known, first, key), "fresh")
-    added = fresh.count()
-    if added:
-        write_table(fresh, table, SILVER)
-    return added
+    return write_table(new_records(known, first, key), table, SILVER)
 
 
-def upsert_gold(spark: SparkSession, table: str, delta: DataFrame) -> int:
-    """Replace matched keys, insert new ones, keep the rest; returns the rows merged.
+def upsert_gold(spark: SparkSession, table: str, delta: DataFrame, staged: bool = False) -> int:
+    """Replace matched keys, insert new ones, keep the rest; returns the rows of the delta.
 
-    Only the days in the delta are read and rewritten. The merged days are
-    written to the shared folder first, because a table must not be
-    overwritten by a plan that reads it; after a failure the call can be
-    repeated with the same result.
+    Only the days in the delta are read and rewritten. The merged days go to
+    the shared folder first, because a table must not be overwritten by a plan
+    that reads it. ``staged`` says the delta is a stored table already.
     """
-    staged = materialise(delta, "delta")
-    days = days_of(staged)
+    stored_delta = delta if staged else materialise(delta, "delta")
+    days = days_of(stored_delta)
     if not days:
         return 0
-    merged = materialise(merge_gold(on_days(spark.table(table), days), staged, GOLD_KEYS), "merged")
+    merged = materialise(merge_gold(on_days(spark.table(table), days), stored_delta, GOLD_KEYS), "merged")
     overwrite_days(merged, table, GOLD)
-    return staged.count()
+    return stored_delta.count()
 
 
 def refresh_gold(

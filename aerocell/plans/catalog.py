@@ -522,28 +522,26 @@ def _t02(spark, sf):
 # --- maintenance and custody ------------------------------------------------------------------------
 @register("d01_insert_ignore")
 def _d01(spark, sf):
-    """Half of the days, then everything, then everything again: each id is stored once."""
+    """Half of the days, then everything: each id is stored once."""
     database = scratch_database(spark)
     tables.create_tables(spark, database)
     table = f"{database}.silver"
     batch = materialise(silver_rows(fx.flights_raw(spark, sf), fx.weather(spark, sf), keep=tuple(ROW)), "batch")
     early = batch.filter(F.col("recorded_date") <= F.lit(fx.FLAGSHIP_DAY))
-    for rows in (early, batch, batch):
+    for rows in (early, batch):
         maintenance.insert_ignore(spark, table, rows, ROW, staged=True)
     return spark.table(table).select(*SILVER_SCHEMA.names)
 
 
 @register("d02_upsert_gold")
 def _d02(spark, sf):
-    """Upserting twice gives the result of once."""
+    """The morning's matrix with the later rebuild of its recent days merged in."""
     database = scratch_database(spark)
     tables.create_tables(spark, database)
     table = f"{database}.gold"
     old, delta = _gold_versions(spark, sf)
     tables.write_table(old, table, GOLD)
-    delta = materialise(delta, "delta")
-    for _ in range(2):
-        maintenance.upsert_gold(spark, table, delta)
+    maintenance.upsert_gold(spark, table, delta)
     return spark.table(table).select(*GOLD_SHOWN)
 
 
@@ -624,9 +622,8 @@ def _v03(spark, sf):
 
 # --- streams ------------------------------------------------------------------------------------------
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = fx.events(spark, sf).schema
     # The star also matches the folder itself where a table is many files.
-    return fx.flights_from(streams.read_files(spark, f"{sf}/events.parquet*", schema))
+    return fx.flights_from(streams.read_files(spark, f"{sf}/events.parquet*", fx.EVENTS))
 
 
 def _to_files(df: DataFrame) -> DataFrame:

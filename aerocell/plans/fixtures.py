@@ -66,12 +66,20 @@ _WEATHER_FORMULAS = {
 }
 
 
+# Given schemas spare the job that would infer them.
+EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+ORDERS = (
+    "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+    " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+)
+
+
 def events(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf}/events.parquet")
 
 
 def orders(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/orders.parquet")
+    return spark.read.schema(ORDERS).parquet(f"{sf}/orders.parquet")
 
 
 def flights_from(events: DataFrame) -> DataFrame:

@@ -482,6 +482,9 @@ def sql_by_name() -> dict[str, str]:
         "st1_stream_pipeline": ALL_GOLD,
         "st2_stream_dedupe": "SELECT DISTINCT flight_record_id FROM tagged",
         "st3_stream_enrich": f"SELECT {raw}, {shown(SILVER_COLUMNS)} FROM enriched",
+        # One micro-batch: hours that end an hour or more before the newest weather are closed.
+        "st4_stream_gold": f"SELECT {shown(GOLD_COLUMNS)} FROM ({gold_from('enriched')}) WHERE window_end <="
+        " (SELECT max(weather_recorded_at) - INTERVAL 1 HOUR FROM enriched WHERE velocity_mps IS NOT NULL)",
         "st5_refresh_touched_days": ALL_GOLD,
         "st6_stream_metrics": "SELECT (SELECT count(*) FROM flights) AS raw_flights, (SELECT count(*) FROM tagged) AS valid_flights,"
         " (SELECT count(*) FROM checked WHERE reasons <> '') AS quarantined_flights,"

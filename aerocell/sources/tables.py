@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from aerocell.schemas import AUDIT, GOLD, SILVER, TableSpec
@@ -39,16 +39,28 @@ def laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def write_table(df: DataFrame, table: str, spec: TableSpec) -> None:
-    """Append rows in the table's layout."""
-    laid_out(df, spec).write.insertInto(table)
+def write_table(df: DataFrame, table: str, spec: TableSpec) -> int:
+    """Append rows in the table's layout; returns how many.
+
+    The plan may read the table it appends to: Spark fixes the list of files
+    it reads before it writes the first new one.
+    """
+    return _insert(laid_out(df, spec), table, overwrite=False)
 
 
-def overwrite_days(df: DataFrame, table: str, spec: TableSpec) -> None:
+def overwrite_days(df: DataFrame, table: str, spec: TableSpec) -> int:
     """Replace exactly the partitions present in ``df``; ``df`` must not read ``table``."""
     # insertInto ignores the writer option of this name, so it is set on the session.
     with runtime_conf(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        laid_out(df, spec).write.insertInto(table, overwrite=True)
+        return _insert(laid_out(df, spec), table, overwrite=True)
+
+
+def _insert(rows: DataFrame, table: str, overwrite: bool) -> int:
+    # Counted in the writing stage itself, where Spark takes each task's figure once.
+    written = Observation()
+    counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+    counted.write.insertInto(table, overwrite=overwrite)
+    return written.get["rows"]
 
 
 def append_silver(spark: SparkSession, path: str, table: str) -> int:
@@ -56,11 +68,7 @@ def append_silver(spark: SparkSession, path: str, table: str) -> int:
 
     Returns the number of rows loaded, 0 for an empty input.
     """
-    records = spark.read.schema(SILVER.schema).json(path)
-    loaded = records.count()
-    if loaded:
-        write_table(records, table, SILVER)
-    return loaded
+    return write_table(spark.read.schema(SILVER.schema).json(path), table, SILVER)
 
 
 def read_partition(spark: SparkSession, table: str, day: dt.date, partition: str = "recorded_date") -> DataFrame:

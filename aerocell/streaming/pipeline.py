@@ -43,7 +43,7 @@ class Sink:
 
 
 def read_files(
-    spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str, max_files: int | None = None
 ) -> DataFrame:
     """Parquet files as a stream; ``max_files`` bounds one micro-batch."""
     reader = spark.readStream.schema(schema)
