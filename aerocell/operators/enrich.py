@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerocell import functions as fn
+from aerocell.operators.lookup import lookup_join
 from aerocell.schemas import GEOHASH_PRECISION, SILVER_SCHEMA, WEATHER_MEASURES
 
 # A hinted broadcast must stay below this even if every cell of the grid is present.
@@ -82,14 +83,13 @@ def enrich(
     nulls and risk 0.0. Keyed by cell alone (one cycle), one row per cell is
     enforced, so the weather side cannot pass ``32**precision`` rows: it is
     broadcast when even a full grid fits. With more keys (a history of cycles)
-    nothing bounds it, so Spark's own size check decides, and beyond it the
-    sort-merge join splits hot cells by AQE's skew handling, which adapts to
-    any share one cell may hold.
+    nothing bounds it: see :func:`lookup_join` for what happens then.
     """
     right = weather.select(*keys, *[c for c in WEATHER_MEASURES if c in weather.columns])
     if tuple(keys) == ("geohash",) and 32**precision * OBSERVATION_BYTES <= BROADCAST_LIMIT_BYTES:
-        right = F.broadcast(right.dropDuplicates(["geohash"]))
-    joined = flights.join(right, list(keys), "left")
+        joined = flights.join(F.broadcast(right.dropDuplicates(["geohash"])), "geohash", "left")
+    else:
+        joined = lookup_join(flights, right, keys, "left")
     risk = fn.convective_risk(F.col("precipitation_mm"), F.col("wind_gusts_mps"), F.col("cloud_cover_pct"))
     scored = joined.withColumn("convective_risk_score", risk)
     return scored.select(*SILVER_SCHEMA.names, *keep)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aerocell import functions as fn
 from aerocell.functions.hazard import silver_category
+from aerocell.operators.lookup import lookup_join
 from aerocell.schemas import (
     AUDIT_SCHEMA,
     GOLD_SCHEMA,
@@ -242,22 +243,25 @@ def success_manifests(audit: DataFrame) -> DataFrame:
 
 
 # --- silver and gold together ----------------------------------------------------
-def _cells(df: DataFrame, precision: int) -> DataFrame:
-    """Distinct cells; hinted for broadcast only where the grid itself bounds them."""
-    cells = df.select("geohash").distinct()
-    return F.broadcast(cells) if precision <= MAX_BROADCAST_PRECISION else cells
+def _in_cells(df: DataFrame, of: DataFrame, precision: int) -> DataFrame:
+    """Rows of ``df`` in the distinct cells of ``of``.
+
+    The cells are broadcast only where the grid itself bounds their number.
+    """
+    cells = of.select("geohash").distinct()
+    if precision <= MAX_BROADCAST_PRECISION:
+        return df.join(F.broadcast(cells), "geohash", "left_semi")
+    return lookup_join(df, cells, ["geohash"], "left_semi")
 
 
 def flights_in_category(silver: DataFrame, gold: DataFrame, category: str, precision: int = 4) -> DataFrame:
     """Reports in the cells where a hazard category occurred."""
-    hit = gold.filter(F.col("weather_condition_category") == category)
-    return silver.join(_cells(hit, precision), "geohash", "left_semi")
+    return _in_cells(silver, gold.filter(F.col("weather_condition_category") == category), precision)
 
 
 def cells_of_callsign(gold: DataFrame, silver: DataFrame, callsign: str, precision: int = 4) -> DataFrame:
     """Matrix rows of the cells a callsign was seen in."""
-    seen = silver.filter(F.col("callsign") == callsign)
-    return gold.join(_cells(seen, precision), "geohash", "left_semi")
+    return _in_cells(gold, silver.filter(F.col("callsign") == callsign), precision)
 
 
 def silver_gold(silver: DataFrame, gold: DataFrame) -> DataFrame:

@@ -197,8 +197,10 @@ def parse_weather_payload(
     )
     current = F.col("_pair._results.current")
     text = F.nullif(strip(current["time"]), F.lit(""))
+    # Wall-clock time without its offset, taken as UTC.
+    wall_clock = F.regexp_replace(text, r"(:[0-9.]+)([zZ]|[+-][0-9:]+)$", "$1")
     recorded = F.when(text.isNull(), now).otherwise(
-        text.try_cast("timestamp_ntz").cast("timestamp")
+        wall_clock.try_cast("timestamp_ntz").cast("timestamp")
     )
     return paired.select(
         *keep,
