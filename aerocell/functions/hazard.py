@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aerocell.functions.numeric import round2
+from aerocell.functions.numeric import cents, round2
 from aerocell.schemas import BASELINE_VELOCITY_MPS
 
 # --- Fixed values -----------------------------------------------------------
@@ -43,7 +43,7 @@ def convective_risk(
     cover = _clamp(F.coalesce(cloud, zero), 0.0, 100.0)
     score = rain * F.lit(RISK_PER_MM) + gust * F.lit(RISK_PER_GUST_MPS) + cover * F.lit(RISK_PER_CLOUD_PCT)
     # Both ends of the scale are whole numbers, so clamping and rounding commute.
-    return round2(_clamp(score, 0.0, 100.0))
+    return cents(_clamp(score, 0.0, 100.0))
 
 
 def hazard_category(

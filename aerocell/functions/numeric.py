@@ -9,15 +9,28 @@ from pyspark.sql import types as T
 from aerocell.schemas import KNOTS_PER_MPS
 
 
+# Up to here a double still tells millionths apart, so the arithmetic is exact.
+_EXACT_LIMIT = 1e9
+
+
+def cents(value: Column) -> Column:
+    """:func:`round2` of a value known to lie in [0, 1e9)."""
+    millionths = F.rint(value * F.lit(1e6))
+    return F.floor((millionths + F.lit(5000.0)) / F.lit(10000.0)) / F.lit(100.0)
+
+
 def round2(value: Column) -> Column:
-    """Two decimals, half away from zero on the decimal value.
+    """Two decimals, half away from zero on the value's six-decimal form.
 
     Six decimals first: that absorbs the noise a distributed sum leaves in the
-    last bits, so the result does not depend on the order of partial sums.
-    Values too large for the decimal are rounded as doubles instead of failing.
+    last bits, so the result does not depend on the order of partial sums. It
+    equals rounding through DECIMAL(18,6), in plain arithmetic that stays in
+    registers. Values too large for it are rounded as doubles.
     """
-    as_decimal = F.round(value.try_cast("decimal(18,6)"), 2).cast("double")
-    return F.coalesce(as_decimal, F.round(value, 2))
+    size = F.abs(value)
+    # Adding zero turns a negative zero into zero.
+    exact = F.signum(value) * cents(size) + F.lit(0.0)
+    return F.when(size < _EXACT_LIMIT, exact).otherwise(F.round(value, 2))
 
 
 def safe_divide(numerator: Column, denominator: Column) -> Column:

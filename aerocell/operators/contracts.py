@@ -101,15 +101,31 @@ class Contract:
             if name in self.required:
                 found[f"{name}_required"] = f"({value} IS NOT NULL)"
             if name in self.lengths:
-                found[f"{name}_length"] = _within(f"length({value})", *self.lengths[name])
+                found[f"{name}_length"] = f"coalesce({_bounds(f'length({value})', *self.lengths[name])}, true)"
             if name in self.ranges:
-                found[f"{name}_range"] = _within(value, *self.ranges[name])
+                found[f"{name}_range"] = f"coalesce({_bounds(value, *self.ranges[name])}, true)"
         if "cast_errors" in df.columns:
             found["unreadable_field"] = "coalesce(cast_errors = '', true)"
         return found
 
     def _holds(self, df: DataFrame) -> str:
-        return " AND ".join(self.rules(df).values())
+        """All rules at once, with every value named as few times as possible.
+
+        May be null instead of false: comparing a missing required value to its
+        bounds already rejects it.
+        """
+        rules, kept = self.rules(df), []
+        for name, (value, _) in self._values(df).items():
+            bounds = [_bounds(f"length({value})", *self.lengths[name])] if name in self.lengths else []
+            bounds += [_bounds(value, *self.ranges[name])] if name in self.ranges else []
+            if name in self.required:
+                kept += bounds or [f"{value} IS NOT NULL"]
+            else:
+                kept += [f"coalesce({bound}, true)" for bound in bounds]
+            kept += [rules[f"{name}_type"]] if f"{name}_type" in rules else []
+        kept += [rule for rule in rules.values() if rule == "false"]
+        kept += [rules["unreadable_field"]] if "unreadable_field" in rules else []
+        return " AND ".join(kept)
 
     def valid(self, df: DataFrame) -> DataFrame:
         """Rows that keep every rule, with the contract's types.
@@ -124,25 +140,25 @@ class Contract:
     def quarantine(self, df: DataFrame) -> DataFrame:
         """Rows that break a rule, as they came, with the names of the broken rules."""
         broken = ", ".join(f"CASE WHEN NOT {rule} THEN '{name}' END" for name, rule in self.rules(df).items())
-        rejected = df.filter(f"NOT ({self._holds(df)})")
+        rejected = df.filter(f"NOT coalesce({self._holds(df)}, false)")
         return rejected.withColumn("rejection_reasons", F.expr(f"array_compact(array({broken}))"))
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         return self.valid(df), self.quarantine(df)
 
 
-def _within(value: str, low, high) -> str:
-    """Inclusive bounds; a missing value passes."""
+def _bounds(value: str, low, high) -> str:
+    """Inclusive bounds, either end open when None."""
     if high is None:
-        return f"coalesce({value} >= {low!r}{_suffix(low)}, true)"
+        return f"({value} >= {_literal(low)})"
     if low is None:
-        return f"coalesce({value} <= {high!r}{_suffix(high)}, true)"
-    return f"coalesce({value} BETWEEN {low!r}{_suffix(low)} AND {high!r}{_suffix(high)}, true)"
+        return f"({value} <= {_literal(high)})"
+    return f"({value} BETWEEN {_literal(low)} AND {_literal(high)})"
 
 
-def _suffix(bound) -> str:
+def _literal(bound) -> str:
     # A bare 90.0 is a DECIMAL literal in SQL.
-    return "D" if isinstance(bound, float) else ""
+    return f"{bound!r}D" if isinstance(bound, float) else repr(bound)
 
 
 FLIGHT_CONTRACT = Contract(FLIGHT_SCHEMA, FLIGHT_REQUIRED, FLIGHT_LENGTHS, FLIGHT_RANGES)

@@ -368,7 +368,7 @@ def _f09(spark, sf):
 @register("j01_enrich")
 def _j01(spark, sf):
     """Every valid report with its weather, copies included."""
-    return silver_rows(fx.flights_raw(spark, sf), fx.weather(spark, sf), keep=tuple(ROW))
+    return silver_rows(fx.flights_raw(spark, sf), fx.weather_table(spark, sf), keep=tuple(ROW))
 
 
 @register("j02_latest_weather")
@@ -469,7 +469,7 @@ def _a06(spark, sf):
 
 @register("a07_run_metrics")
 def _a07(spark, sf):
-    raw, weather = fx.flights_raw(spark, sf), fx.weather(spark, sf)
+    raw, weather = fx.flights_raw(spark, sf), fx.weather_table(spark, sf)
     valid = tagged_flights(raw)
     produced = silver_rows(raw, weather)
     return reports.run_metrics(located(raw), valid, weather, produced, produced.select(KEY).distinct())
@@ -526,7 +526,7 @@ def _d01(spark, sf):
     database = scratch_database(spark)
     tables.create_tables(spark, database)
     table = f"{database}.silver"
-    batch = materialise(silver_rows(fx.flights_raw(spark, sf), fx.weather(spark, sf), keep=tuple(ROW)), "batch")
+    batch = materialise(silver_rows(fx.flights_raw(spark, sf), fx.weather_table(spark, sf), keep=tuple(ROW)), "batch")
     early = batch.filter(F.col("recorded_date") <= F.lit(fx.FLAGSHIP_DAY))
     for rows in (early, batch):
         maintenance.insert_ignore(spark, table, rows, ROW, staged=True)
@@ -703,5 +703,5 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Which cells, hours and hazards slowed aircraft most on one day."""
     prepare(spark)
     raw = fx.flights_raw(spark, sf)
-    silver = silver_rows(raw, fx.weather(spark, sf), first_by=ROW)
+    silver = silver_rows(raw, fx.weather_table(spark, sf), first_by=ROW)
     return gold.gold_matrix(silver, fx.FLAGSHIP_DAY).orderBy(F.desc("velocity_deficit_pct"), *GOLD_KEYS)

@@ -18,6 +18,7 @@ from aerocell.operators.custody import archive_key
 from aerocell.operators.enrich import latest_weather
 from aerocell.operators.gold import gold_matrix
 from aerocell.plans.pipeline import silver_rows
+from aerocell.session import lookup_table
 
 AS_OF = dt.date(2024, 1, 30)
 FLAGSHIP_DAY = dt.date(2024, 1, 15)
@@ -116,8 +117,13 @@ def weather(spark: SparkSession, sf: str) -> DataFrame:
     return latest_weather(readings, ["cycle_id", "geohash"], ["o"]).drop("o")
 
 
+def weather_table(spark: SparkSession, sf: str) -> DataFrame:
+    """:func:`weather`, ready to be looked up."""
+    return lookup_table(weather(spark, sf))
+
+
 def silver(spark: SparkSession, sf: str) -> DataFrame:
-    return silver_rows(flights_raw(spark, sf), weather(spark, sf), first_by=["event_id", "copy"])
+    return silver_rows(flights_raw(spark, sf), weather_table(spark, sf), first_by=["event_id", "copy"])
 
 
 def gold(spark: SparkSession, sf: str) -> DataFrame:

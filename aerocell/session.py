@@ -22,6 +22,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Spark's default limit for planning a broadcast.
+LAZY_LOOKUP_BYTES = 10 * 1024 * 1024
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -85,6 +88,18 @@ def materialise(df, name: str = "table"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lookup_table(df):
+    """A frame about to be the looked-up side of a join.
+
+    Spark decides on a broadcast from its estimate, and the estimate of a
+    derived frame is often far too large: both sides would be shuffled for a
+    table of a few rows. So a frame whose estimate is too large for a broadcast
+    is written first, and the join is planned from the size of its files.
+    """
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df if int(str(estimate)) <= LAZY_LOOKUP_BYTES else materialise(df, "lookup")
+
+
 @contextmanager
 def runtime_conf(spark: SparkSession, key: str, value: str):
     """Set one runtime setting for the duration of a block."""
