@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,13 +44,7 @@ def export_parquet(
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """``(path, file_name, length)`` of every file below a folder, without reading contents."""
-    try:
-        found = _binary(spark, path, pattern)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "path string, file_name string, length bigint")
-    return found.select("path", _file_name(), "length")
+    return _binary(spark, path, pattern).select("path", _file_name(), "length")
 
 
 def file_digests(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
@@ -137,30 +132,34 @@ def _absent(**columns: str) -> list[Column]:
     return [F.lit(None).cast(kind).alias(name) for name, kind in columns.items()]
 
 
-def _copy_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Byte-exact copy of each listed file, streamed in blocks inside the task."""
-    import uuid
-
-    from pyarrow import fs
-
-    for batch in batches:
-        sizes = []
-        for source, target in zip(batch["source"], batch["target"]):
-            source_fs, source_path = fs.FileSystem.from_uri(source)
-            target_fs, target_path = fs.FileSystem.from_uri(target)
-            folder = target_path.rsplit("/", 1)[0]
-            target_fs.create_dir(folder, recursive=True)
-            # Renamed when whole: a retried task never leaves half a file.
-            partial = f"{folder}/.{uuid.uuid4().hex}.part"
-            with source_fs.open_input_stream(source_path) as reader:
-                with target_fs.open_output_stream(partial) as writer:
-                    size = 0
-                    while block := reader.read(1 << 20):
-                        writer.write(block)
-                        size += len(block)
-            target_fs.move(partial, target_path)
-            sizes.append(size)
-        yield pd.DataFrame({"target": batch["target"], "length": sizes})
+def _copier():
+    """The copying task: byte-exact, streamed in blocks.
+
+    Built as a closure so that it travels to the executors by value; they need
+    pyarrow, not this package.
+    """
+
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes = []
+            for source, target in zip(batch["source"], batch["target"]):
+                source_fs, source_path = fs.FileSystem.from_uri(source)
+                target_fs, target_path = fs.FileSystem.from_uri(target)
+                folder = target_path.rsplit("/", 1)[0]
+                target_fs.create_dir(folder, recursive=True)
+                # Renamed when whole: a retried task never leaves half a file.
+                partial = f"{folder}/.{uuid.uuid4().hex}.part"
+                with source_fs.open_input_stream(source_path) as reader:
+                    with target_fs.open_output_stream(partial) as writer:
+                        size = 0
+                        while block := reader.read(1 << 20):
+                            writer.write(block)
+                            size += len(block)
+                target_fs.move(partial, target_path)
+                sizes.append(size)
+            yield pd.DataFrame({"target": batch["target"], "length": sizes})
+
+    return copy
 
 
 def missing_files(spark: SparkSession, source: str, dest: str) -> DataFrame:
@@ -185,6 +184,8 @@ def restore_archives(spark: SparkSession, source: str, dest: str) -> dict[str, i
     """
     to_uri = F.when(F.col("path").startswith("file:"), F.regexp_replace("path", "^file:/*", "file:///"))
     root = dest if "://" in dest else "file://" + dest
+    target_fs, folder = fs.FileSystem.from_uri(root)
+    target_fs.create_dir(folder, recursive=True)
     work = missing_files(spark, source, dest).select(
         F.coalesce(to_uri, F.col("path")).alias("source"),
         F.concat(F.lit(root.rstrip("/") + "/"), F.col("relative_path")).alias("target"),
@@ -192,7 +193,7 @@ def restore_archives(spark: SparkSession, source: str, dest: str) -> dict[str, i
     copied = (
         # A fixed number of partitions: AQE would merge these few short rows into one task.
         work.repartition(spark.sparkContext.defaultParallelism, "source")
-        .mapInPandas(_copy_batches, "target string, length bigint")
+        .mapInPandas(_copier(), "target string, length bigint")
         .agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
         .first()
     )
