@@ -9,10 +9,20 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerocell.operators.maintenance import delete_partition
-from aerocell.schemas import AUDIT, AUDIT_SCHEMA, SILVER, TableSpec, ZSTD_LEVEL
-from aerocell.sources.archive import export_artifact, export_parquet, row_fingerprint
-from aerocell.sources.tables import read_partition, write_table
+from aerocell.operators.maintenance import delete_partition, expired_partitions
+from aerocell.operators.reports import success_manifests
+from aerocell.schemas import AUDIT, AUDIT_SCHEMA, RETENTION_DAYS, SILVER, ZSTD_LEVEL, TableSpec
+from aerocell.sources.archive import (
+    archive_path,
+    archived_files,
+    ensure_folder,
+    export_artifact,
+    export_parquet,
+    partition_digest,
+    restore_archives,
+    row_fingerprint,
+)
+from aerocell.sources.tables import days_of, read_partition, write_table
 
 SKIPPED = "SKIPPED_EMPTY_PARTITION"
 
@@ -107,6 +117,21 @@ def evict_partition(
     return row.asDict()
 
 
+def evict_expired(
+    spark: SparkSession,
+    table: str,
+    as_of: dt.date,
+    archive_root: str,
+    audit_table: str,
+    retention: int = RETENTION_DAYS,
+    exact: bool = False,
+    spec: TableSpec = SILVER,
+) -> list[dict]:
+    """Evict every day past retention, oldest first; ``exact`` takes only the day that reaches it."""
+    days = days_of(expired_partitions(spark, table, as_of, retention, exact))
+    return [evict_partition(spark, table, day, archive_root, audit_table, spec) for day in days]
+
+
 def _provider(root: str) -> str:
     return root.split("://", 1)[0] if "://" in root else "local"
 
@@ -129,3 +154,28 @@ def verify_summary(checked: DataFrame, newly_downloaded: int = 0) -> DataFrame:
         F.count_if(F.col("verification") == "VERIFIED").alias("verified_valid"),
         F.count_if(F.col("verification") == "CORRUPTED").alias("corrupted_detected"),
     )
+
+
+def sync_archives(
+    spark: SparkSession,
+    audit: DataFrame,
+    archive_root: str,
+    dest: str,
+    verify_only: bool = False,
+    dry_run: bool = False,
+) -> DataFrame:
+    """Bring the archives of all successful evictions to ``dest`` and check their digests.
+
+    One row: manifests evaluated, archives copied now, valid, corrupted. With
+    ``verify_only`` or ``dry_run`` nothing is copied and absent archives count
+    as neither valid nor corrupted.
+    """
+    ensure_folder(dest)
+    manifests = success_manifests(audit).withColumn(
+        "archive_key", archive_path(F.col("storage_destination_uri"), archive_root)
+    )
+    copied = 0
+    if not (verify_only or dry_run):
+        copied = restore_archives(spark, archive_root, dest, only=manifests)["archives"]
+    digests = partition_digest(archived_files(spark, dest, digests=True), by=("archive_key",))
+    return verify_summary(verify_archives(manifests, digests), copied)

@@ -171,6 +171,15 @@ def _s11(spark, sf):
     return _per_day(spark.read.parquet(f"{root}/local"))
 
 
+@register("s11_sync_archives")
+def _s11s(spark, sf):
+    """Three expired days evicted, brought back and verified."""
+    database, root = _silver_table(spark, sf), shared_dir(spark)
+    ledger = f"{database}.audit"
+    custody.evict_expired(spark, f"{database}.silver", dt.date(2024, 1, 10), f"{root}/cold", ledger)
+    return custody.sync_archives(spark, spark.table(ledger), f"{root}/cold", f"{root}/local")
+
+
 # --- scalar functions ---------------------------------------------------------------
 @register("p01_norm_icao24")
 def _p01(spark, sf):

@@ -355,6 +355,9 @@ def sql_by_name() -> dict[str, str]:
         "s09_parameterised_sql": "SELECT geohash, count(*) AS n, max(convective_risk_score) AS worst FROM silver"
         " WHERE recorded_date = DATE '2024-01-15' AND convective_risk_score >= 50 GROUP BY geohash",
         "s11_restore_archives": f"{PER_DAY} FROM silver GROUP BY recorded_date",
+        "s11_sync_archives": "SELECT n AS total_manifests_evaluated, n AS newly_downloaded, n AS verified_valid,"
+        " CAST(0 AS BIGINT) AS corrupted_detected FROM (SELECT count(DISTINCT recorded_date) AS n FROM silver"
+        " WHERE recorded_date <= DATE '2024-01-03')",
         # scalar functions
         "p01_norm_icao24": f"SELECT {raw}, lower(trim(icao24)) AS icao24 FROM flights_raw",
         "p02_clean_callsign": f"SELECT {raw}, nullif(trim(callsign), '') AS callsign FROM flights_raw",

@@ -157,44 +157,76 @@ def _copier():
                             size += len(block)
                 target_fs.move(partial, target_path)
                 sizes.append(size)
-            yield pd.DataFrame({"target": batch["target"], "length": sizes})
+            yield pd.DataFrame({"archive_key": batch["archive_key"], "length": sizes})
 
     return copy
 
 
-def missing_files(spark: SparkSession, source: str, dest: str) -> DataFrame:
-    """Archived files whose relative path is absent below ``dest``."""
-    archived = _relative(list_files(spark, source), source)
-    present = _relative(list_files(spark, dest), dest).select("relative_path")
-    return archived.join(present, "relative_path", "left_anti")
+def archived_files(spark: SparkSession, root: str, digests: bool = False) -> DataFrame:
+    """Files below an archive root with ``relative_path`` and ``archive_key``, the folder they form."""
+    files = file_digests(spark, root) if digests else list_files(spark, root)
+    relative = archive_path(F.col("path"), root)
+    return files.withColumns(
+        {"relative_path": relative, "archive_key": F.regexp_replace(relative, "/[^/]*$", "")}
+    )
+
+
+def archive_path(uri: Column, root: str) -> Column:
+    """A location relative to a root. Spark may list file:/x for file:///x, so schemes are left out."""
+    start = len(_bare(root.rstrip("/"))) + 2
+    plain = F.regexp_replace(uri, "^[a-z0-9]+:/*", "/")
+    return F.substring(plain, F.lit(start), F.length(plain))
 
 
-def _relative(files: DataFrame, root: str) -> DataFrame:
-    plain = "file://" + root if root.startswith("/") else root
-    # Listed paths spell the scheme as file:/x or file:///x; compare without it.
-    bare = F.regexp_replace("path", "^[a-z0-9]+:/*", "/")
-    start = F.regexp_replace(F.lit(plain.rstrip("/")), "^[a-z0-9]+:/*", "/")
-    return files.withColumn("relative_path", F.substring(bare, F.length(start) + 2, F.length(bare)))
+def _bare(root: str) -> str:
+    return "/" + root.split(":", 1)[1].lstrip("/") if "://" in root else root
+
+
+def ensure_folder(path: str) -> str:
+    """Create a folder if needed; returns it as a URI."""
+    uri = path if "://" in path else "file://" + path
+    target_fs, folder = fs.FileSystem.from_uri(uri)
+    target_fs.create_dir(folder, recursive=True)
+    return uri.rstrip("/")
 
 
-def restore_archives(spark: SparkSession, source: str, dest: str) -> dict[str, int]:
+def missing_files(spark: SparkSession, source: str, dest: str, only: DataFrame | None = None) -> DataFrame:
+    """Archived files whose relative path is absent below ``dest``.
+
+    ``only`` limits them to the archives of its ``archive_key`` column.
+    """
+    archived = archived_files(spark, source)
+    if only is not None:
+        archived = archived.join(only.select("archive_key"), "archive_key", "left_semi")
+    present = archived_files(spark, dest).select("relative_path")
+    return archived.join(present, "relative_path", "left_anti")
+
+
+def restore_archives(
+    spark: SparkSession, source: str, dest: str, only: DataFrame | None = None
+) -> dict[str, int]:
     """Copy the archived files that are absent below ``dest``; files stay byte-identical.
 
     Every task streams its own files; nothing passes through the driver.
     """
+    target = ensure_folder(dest)
     to_uri = F.when(F.col("path").startswith("file:"), F.regexp_replace("path", "^file:/*", "file:///"))
-    root = dest if "://" in dest else "file://" + dest
-    target_fs, folder = fs.FileSystem.from_uri(root)
-    target_fs.create_dir(folder, recursive=True)
-    work = missing_files(spark, source, dest).select(
+    work = missing_files(spark, source, dest, only).select(
         F.coalesce(to_uri, F.col("path")).alias("source"),
-        F.concat(F.lit(root.rstrip("/") + "/"), F.col("relative_path")).alias("target"),
+        F.concat_ws("/", F.lit(target), "relative_path").alias("target"),
+        "archive_key",
     )
     copied = (
         # A fixed number of partitions: AQE would merge these few short rows into one task.
         work.repartition(spark.sparkContext.defaultParallelism, "source")
-        .mapInPandas(_copier(), "target string, length bigint")
-        .agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+        .mapInPandas(_copier(), "archive_key string, length bigint")
+        .groupBy("archive_key")
+        .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+        .agg(
+            F.count("*").alias("archives"),
+            F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
+            F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        )
         .first()
     )
-    return {"newly_downloaded": copied["files"], "bytes": copied["bytes"]}
+    return copied.asDict()

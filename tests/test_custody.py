@@ -5,10 +5,10 @@ import pytest
 from helpers import silver_of, silver_row
 from pyspark.sql import functions as F
 
-from aerocell.operators import custody, reports
+from aerocell.operators import custody
 from aerocell.schemas import SILVER
 from aerocell.session import shared_dir
-from aerocell.sources import archive, tables
+from aerocell.sources import tables
 
 DAY, NEXT = dt.date(2026, 10, 8), dt.date(2026, 10, 9)
 
@@ -101,16 +101,37 @@ def test_verification_states_and_summary(spark):
     assert tuple(custody.verify_summary(checked, 1).first()) == (3, 1, 1, 1)
 
 
-def test_eviction_verifies_end_to_end(spark, hot):
+def test_sync_copies_verifies_and_finds_damage(spark, hot):
     table, ledger = hot
-    root = shared_dir(spark)
-    for day in (DAY, NEXT):
-        custody.evict_partition(spark, table, day, root, ledger)
-    assert spark.table(table).count() == 0
-    manifests = reports.success_manifests(spark.table(ledger)).withColumn("archive_key", F.col("storage_destination_uri"))
-    files = archive.file_digests(spark, root).withColumn(
-        "archive_key", F.regexp_replace(F.regexp_replace("path", "/[^/]*$", ""), "^file:/*", "/")
-    )
-    digests = archive.partition_digest(files, by=("archive_key",))
-    summary = custody.verify_summary(custody.verify_archives(manifests, digests)).first()
-    assert (summary["verified_valid"], summary["corrupted_detected"]) == (2, 0)
+    root, dest = shared_dir(spark), shared_dir(spark)
+    done = custody.evict_expired(spark, table, NEXT, root, ledger, retention=0)
+    assert [r["target_partition_date"] for r in done] == [DAY, NEXT]
+    audit = spark.table(ledger)
+
+    def sync(**options):
+        return tuple(custody.sync_archives(spark, audit, root, dest, **options).first())
+
+    assert sync(dry_run=True) == sync(verify_only=True) == (2, 0, 0, 0)
+    assert sync() == (2, 2, 2, 0)
+    assert sync() == (2, 0, 2, 0)
+    damaged = next(p for p, _, names in os.walk(dest) for n in names if n.endswith(".parquet"))
+    name = next(n for n in os.listdir(damaged) if n.endswith(".parquet"))
+    with open(f"{damaged}/{name}", "ab") as out:
+        out.write(b"x")
+    assert sync(verify_only=True) == (2, 0, 1, 1)
+
+
+def test_exact_retention_takes_one_day(spark, hot):
+    table, ledger = hot
+    done = custody.evict_expired(spark, table, NEXT + dt.timedelta(days=7), shared_dir(spark), ledger, exact=True)
+    assert [r["target_partition_date"] for r in done] == [NEXT]
+    assert spark.table(table).count() == 20
+
+
+def test_files_outside_the_manifests_are_not_copied(spark, hot):
+    table, ledger = hot
+    root, dest = shared_dir(spark), shared_dir(spark)
+    custody.evict_partition(spark, table, DAY, root, ledger)
+    spark.range(5).write.parquet(f"{root}/archives/silver/stray.parquet")
+    assert tuple(custody.sync_archives(spark, spark.table(ledger), root, dest).first()) == (1, 1, 1, 0)
+    assert not os.path.exists(f"{dest}/archives/silver/stray.parquet")

@@ -217,8 +217,8 @@ def test_restore_copies_only_absent_files(spark):
     df = spark.range(100).withColumn("d", F.col("id") % 4)
     df.write.partitionBy("d").parquet(f"{root}/cold")
     first = archive.restore_archives(spark, f"{root}/cold", f"{root}/local")
-    assert first["newly_downloaded"] == archive.list_files(spark, f"{root}/cold").count() > 0
-    assert archive.restore_archives(spark, f"{root}/cold", f"{root}/local")["newly_downloaded"] == 0
+    assert first["files"] == archive.list_files(spark, f"{root}/cold").count() > 0
+    assert archive.restore_archives(spark, f"{root}/cold", f"{root}/local")["files"] == 0
     assert spark.read.parquet(f"{root}/local").count() == 100
     digests = lambda p: {(r["file_name"], r["sha256_checksum"]) for r in archive.file_digests(spark, p).collect()}
     assert digests(f"{root}/cold") == digests(f"{root}/local")
