@@ -148,11 +148,20 @@ class Contract:
 
 
 def _bounds(value: str, low, high) -> str:
-    """Inclusive bounds, either end open when None."""
+    """Inclusive bounds, either end open when None.
+
+    Names the value once where it can: the optimizer moves these conditions
+    below the cleaning of the value and repeats it for every mention.
+    """
     if high is None:
         return f"({value} >= {_literal(low)})"
     if low is None:
         return f"({value} <= {_literal(high)})"
+    if low == -high:
+        return f"(abs({value}) <= {_literal(high)})"
+    if isinstance(low, int):
+        # The distance from the middle, doubled to stay in whole numbers.
+        return f"(abs(2 * {value} - {low + high}) <= {high - low})"
     return f"({value} BETWEEN {_literal(low)} AND {_literal(high)})"
 
 

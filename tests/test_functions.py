@@ -154,3 +154,21 @@ def test_dates_and_units(spark):
     sizes = spark.createDataFrame([(1048576, 100.0)], "b long, v double")
     row = sizes.select(fn.to_mb(F.col("b")), fn.to_kb(F.col("b")), fn.to_knots(F.col("v"))).first()
     assert tuple(row) == (1.0, 1024.0, pytest.approx(194.384))
+
+
+def test_round2_equals_rounding_through_a_decimal(spark):
+    """Ties, negatives and long fractions, against DECIMAL(18,6)."""
+    n = F.col("id")
+    values = [n / 1000, -n / 1000, n / 7, (n * 31 % 99991) / 4096, n * 12345.678, F.rand(5) * 1e6, n / 200 + 0.005]
+    for value in values:
+        df = spark.range(200_000).select(value.cast("double").alias("x"))
+        decimal = F.round(F.col("x").cast("decimal(18,6)"), 2).cast("double")
+        assert df.filter(fn.round2(F.col("x")) != decimal).count() == 0
+    zero = spark.range(1).select(fn.round2(F.lit(-0.001)).alias("z")).first()["z"]
+    assert math.copysign(1, zero) == 1
+
+
+def test_missing_and_huge_values_round_to_themselves(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),), (1e300,), (-1e12,)], "x double")
+    got = [r[0] for r in df.select(fn.round2(F.col("x"))).collect()]
+    assert got[0] is None and math.isnan(got[1]) and got[2:] == [1e300, -1e12]
