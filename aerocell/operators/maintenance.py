@@ -31,15 +31,17 @@ def insert_ignore(
     order: Sequence[str] = ("ingested_at",),
     key: str = "flight_record_id",
     staged: bool = False,
+    days: Sequence[dt.date] | None = None,
 ) -> int:
     """Append the rows with unseen keys, the first per key; returns how many were new.
 
     The key is made from the report's time, so equal keys share a partition
     day: only the days present in the batch are read from the target.
-    ``staged`` says the batch is a stored table and need not be written first.
+    ``staged`` says the batch is a stored table and need not be written first;
+    ``days`` are its days where the caller knows them.
     """
     stored_batch = batch if staged else materialise(batch, "batch")
-    days = days_of(stored_batch)
+    days = days_of(stored_batch) if days is None else days
     if not days:
         return 0
     first = first_per_key(stored_batch, [key], [F.col(c) for c in order]).select(*SILVER.columns)

@@ -349,7 +349,7 @@ def sql_by_name() -> dict[str, str]:
           FROM (SELECT cycle_id, geohash, row_number() OVER (PARTITION BY cycle_id ORDER BY geohash) AS rn
                 FROM (SELECT DISTINCT cycle_id, geohash FROM tagged)) GROUP BY cycle_id, (rn - 1) // 50""",
         "s05_append_json": f"SELECT {shown(SILVER_COLUMNS)} FROM (SELECT * FROM silver UNION ALL SELECT * FROM silver)",
-        "s06_export_parquet": f"{PER_DAY}, sum(length(flight_record_id)) AS id_bytes FROM silver GROUP BY recorded_date",
+        "s06_export_parquet": f"{PER_DAY}, CAST(sum(length(flight_record_id)) AS BIGINT) AS id_bytes FROM silver GROUP BY recorded_date",
         "s07_read_partition": f"SELECT {shown(SILVER_COLUMNS)} FROM silver WHERE recorded_date = DATE '2024-01-15'",
         "s08_table_layout": f"{PER_DAY}, min(geohash) AS first_cell, max(geohash) AS last_cell FROM silver GROUP BY recorded_date",
         "s09_parameterised_sql": "SELECT geohash, count(*) AS n, max(convective_risk_score) AS worst FROM silver"

@@ -164,7 +164,7 @@ def weather_request_plan(
         .select(
             *by,
             "request_no",
-            F.size("_cells").alias("cells"),
+            F.size("_cells").cast("bigint").alias("cells"),
             F.array_join("_cells.lat", ",").alias("latitude"),
             F.array_join("_cells.lon", ",").alias("longitude"),
             F.col("_cells.geohash").alias("geohashes"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,9 +62,8 @@ def start(writer: DataStreamWriter, checkpoint: str, once: bool, interval: int =
 
 
 # --- one micro-batch -----------------------------------------------------------
-def refresh_touched_days(spark: SparkSession, sink: Sink, batch: DataFrame) -> int:
-    """Rebuild the matrix of every day the batch has rows for, late days included."""
-    days = days_of(batch)
+def refresh_touched_days(spark: SparkSession, sink: Sink, days: list[dt.date]) -> int:
+    """Rebuild the matrix of every day a batch has rows for, late days included."""
     return refresh_gold(spark, sink.silver, sink.gold, days) if days else 0
 
 
@@ -85,8 +85,9 @@ def process_batch(
         return
     spark = raw.sparkSession
     staged = materialise(silver_rows(raw, weather, keys, keep=order), "staged")
-    added = insert_ignore(spark, sink.silver, staged, order or ("ingested_at",), staged=True)
-    refresh_touched_days(spark, sink, staged)
+    days = days_of(staged)
+    added = insert_ignore(spark, sink.silver, staged, order or ("ingested_at",), staged=True, days=days)
+    refresh_touched_days(spark, sink, days)
     observed = staged.filter(F.col("weather_recorded_at").isNotNull())
     metrics = run_metrics(
         located(raw), staged, observed.select("geohash", "weather_recorded_at").distinct(), staged, added
