@@ -285,6 +285,7 @@ def silver_gold(silver: DataFrame, gold: DataFrame) -> DataFrame:
 
 
 # --- run metrics -----------------------------------------------------------------
+# Names of the run metrics.
 METRIC_NAMES = [
     "raw_flights",
     "valid_flights",

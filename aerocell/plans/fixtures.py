@@ -19,6 +19,7 @@ from aerocell.operators.enrich import latest_weather
 from aerocell.operators.gold import gold_matrix
 from aerocell.plans.pipeline import silver_rows
 from aerocell.session import lookup_table
+from aerocell.sources.payloads import WEATHER_VARIABLES
 
 AS_OF = dt.date(2024, 1, 30)
 FLAGSHIP_DAY = dt.date(2024, 1, 15)
@@ -211,19 +212,9 @@ def weather_payloads(spark: SparkSession, sf: str) -> DataFrame:
     A response with one reading is a single object instead of a list; in every
     third response the last cell is missing from the list of cells.
     """
-    variables = {
-        "temperature_2m": "temperature_c",
-        "relative_humidity_2m": "relative_humidity_pct",
-        "precipitation": "precipitation_mm",
-        "wind_speed_10m": "wind_speed_mps",
-        "wind_direction_10m": "wind_direction_deg",
-        "wind_gusts_10m": "wind_gusts_mps",
-        "cloud_cover": "cloud_cover_pct",
-        "visibility": "visibility_m",
-    }
     minute = F.date_format("weather_recorded_at", "yyyy-MM-dd'T'HH:mm")
     time = F.when(F.col("o") % 41 == 0, F.lit(None)).otherwise(minute)
-    reading = F.struct(time.alias("time"), *[F.col(c).alias(v) for v, c in variables.items()])
+    reading = F.struct(time.alias("time"), *[F.col(c).alias(v) for v, c in WEATHER_VARIABLES.items()])
     result = F.to_json(F.struct("lat", "lon", reading.alias("current")))
     rows = F.sort_array(F.collect_list(F.struct("o", "geohash", result.alias("result"))))
     batch = F.floor(F.col("o") / F.lit(1500))

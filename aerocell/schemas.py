@@ -33,6 +33,7 @@ def _struct(columns, required=()):
     return T.StructType([T.StructField(n, t, n not in required) for n, t in columns])
 
 
+# --- Fixed values: names, order and types of the stored columns ---------------
 _REPORT = [
     ("icao24", _S),
     ("callsign", _S),
@@ -128,6 +129,7 @@ AUDIT_SCHEMA = _struct(
         ("metadata_json", _S),
     ]
 )
+# ---------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
