@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerocell.llm import bpe
+from aerocell.llm.lengths import context_limits, length_histogram
 from aerocell.llm.licenses import scan_licenses
 
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -23,6 +28,19 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@register
+def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What every possible context limit keeps of the corpus."""
+    lengths = bpe.count_tokens(documents(spark, sf), VOCABULARY, public_tokenizers.PATTERN)
+    return context_limits(length_histogram(lengths))
+
+
+@register
+def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of every document and the bytes that they decode to, as digests."""
+    return bpe.round_trip(documents(spark, sf), VOCABULARY, public_tokenizers.PATTERN)
+
+
 @register
 def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Notices, labels and reuse score of every document."""
