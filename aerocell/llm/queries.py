@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerocell.llm import bpe
+from aerocell.llm import bpe, language
 from aerocell.llm.lengths import context_limits, length_histogram
 from aerocell.llm.licenses import scan_licenses
 
@@ -28,6 +28,21 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@register
+def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Languages of every document, learnt from the documents that are not held out."""
+    docs = documents(spark, sf)
+    found = language.infer(docs, language.train_on_rest(docs))
+    return found.select(
+        "doc_id",
+        (language.remainder() == 1).alias("held_out"),
+        "lang_pred",
+        "score",
+        F.array_join(F.transform("languages", lambda x: x["lang"]), ",").alias("languages"),
+        "noise",
+    )
+
+
 @register
 def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """What every possible context limit keeps of the corpus."""
