@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerocell.llm import bpe, language
+from aerocell.llm import bpe, language, pii
 from aerocell.llm.lengths import context_limits, length_histogram
 from aerocell.llm.licenses import scan_licenses
 
@@ -50,6 +50,21 @@ def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return context_limits(length_histogram(lengths))
 
 
+@register
+def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the base spans, and all spans."""
+    found = pii.find_personal_data(documents(spark, sf))
+
+    def number(kind: str):
+        own = F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))
+        return F.size(own).cast("long").alias(f"n_{kind}")
+
+    shown = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    return found.select(
+        "doc_id", *map(number, pii.BASE_KINDS), "base_sha256", F.array_join(shown, ",").alias("spans")
+    )
+
+
 @register
 def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document and the bytes that they decode to, as digests."""
