@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from aerocell.llm import bpe, language, pii
 from aerocell.llm.lengths import context_limits, length_histogram
 from aerocell.llm.licenses import scan_licenses
+from aerocell.llm.near_dedup import near_duplicates
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -50,6 +51,12 @@ def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return context_limits(length_histogram(lengths))
 
 
+@register
+def op5_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return near_duplicates(documents(spark, sf))
+
+
 @register
 def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Personal data of every document: counts and digest of the base spans, and all spans."""
