@@ -12,6 +12,8 @@ from aerocell.llm import bpe, language, pii
 from aerocell.llm.lengths import context_limits, length_histogram
 from aerocell.llm.licenses import scan_licenses
 from aerocell.llm.near_dedup import near_duplicates
+from aerocell.llm.simhash import document_fingerprints, likeness
+from aerocell.llm.votes import as_hex
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -51,6 +53,22 @@ def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return context_limits(length_histogram(lengths))
 
 
+@register
+def op4_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """SimHash of every document and of its edited text, and how alike they are."""
+    own = F.col("fingerprint")
+    return document_fingerprints(documents(spark, sf)).select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        as_hex(own).alias("fingerprint"),
+        as_hex(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        likeness(own, F.col("edited_fingerprint")).alias("near_edited"),
+        likeness(own, F.col("next_fingerprint")).alias("near_next"),
+        "n_near",
+    )
+
+
 @register
 def op5_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
