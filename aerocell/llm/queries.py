@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerocell.llm import bpe, language, pii
+from aerocell.llm.decontaminate import contaminated
 from aerocell.llm.lengths import context_limits, length_histogram
 from aerocell.llm.licenses import scan_licenses
 from aerocell.llm.near_dedup import near_duplicates
@@ -75,6 +76,12 @@ def op5_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(documents(spark, sf))
 
 
+@register
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark items that documents repeat, with the most similar window."""
+    return contaminated(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 @register
 def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Personal data of every document: counts and digest of the base spans, and all spans."""

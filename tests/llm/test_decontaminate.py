@@ -1,0 +1,107 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+from small import AWKWARD, docs_of, prose
+
+from aerocell.llm import decontaminate
+from aerocell.llm.decontaminate import contaminated, without_contaminated
+from aerocell.llm.queries import QUERIES
+
+
+def words_of(text):
+    return [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
+
+
+def bag(words):
+    return Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+
+def brute(texts, items):
+    """Best window of every item-sized window of every text."""
+    out = {}
+    for item, text in items:
+        goal = words_of(text)
+        if len(goal) < 5:
+            continue
+        want = bag(goal)
+        for i, doc in enumerate(texts):
+            words = words_of(doc)
+            n = len(goal)
+            scores = []
+            for s in range(max(1, len(words) - n + 1)):
+                have = bag(words[s : s + n])
+                both, either = sum((have & want).values()), sum((have | want).values())
+                if either and both / either >= 0.8:
+                    scores.append((both / either, -s))
+            if scores:
+                out[i, item] = (max(scores)[0], -max(scores)[1], len(scores))
+    return out
+
+
+def changed(text, seed, edits):
+    pick, words = random.Random(seed), text.split()
+    for _ in range(edits):
+        words[pick.randrange(len(words))] = "changed"
+    return " ".join(words)
+
+
+ITEMS = [(i, prose(100 + i, 18 + 7 * i)) for i in range(5)] + [
+    (5, "four words are few"),
+    (6, None),
+    (7, prose(100, 18)),
+    (8, "la la la la la la la la la la la"),
+    (9, "Was; ist: das — für, ein. Ärger? ja nein doch"),
+]
+PASSAGES = [t for _, t in ITEMS if t]
+TEXTS = AWKWARD + [
+    *(f"{prose(i, 50)} {p} {prose(50 + i, 30)}" for i, p in enumerate(PASSAGES)),
+    *(f"{prose(i, 20)} {changed(PASSAGES[4], i, 1)} {prose(9, 9)}" for i in range(4)),
+    *(changed(PASSAGES[3], i, 1 + i) for i in range(4)),
+    PASSAGES[4] + " " + PASSAGES[4],
+    " ".join(PASSAGES[2].split()[:-2]),
+    PASSAGES[1].upper().replace(" ", " -- "),
+    "la " * 40,
+    prose(77, 2000),
+]
+
+
+def found(rows):
+    return {(r.doc_id, r.item_id): (round(r.similarity, 9), r.first_word, r.n_windows) for r in rows}
+
+
+@pytest.mark.parametrize("most", [decontaminate.BROADCAST_ROWS, 0])
+def test_query_equals_brute_force(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", most)
+    docs_of(spark, TEXTS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = found(QUERIES["op6_decontamination"](spark, str(tmp_path)).collect())
+    want = {k: (round(a, 9), b, c) for k, (a, b, c) in brute(TEXTS, ITEMS).items()}
+    assert len(want) > 12 and got == want
+
+
+def test_real_documents(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    spaced = {i: " " + " ".join(words_of(t)) + " " for i, t in texts.items()}
+    planted = {(i, k) for k, t in items for i, s in spaced.items() if f" {' '.join(words_of(t))} " in s}
+    got = QUERIES["op6_decontamination"](spark, sf).collect()
+    assert planted and {(r.doc_id, r.item_id) for r in got if r.similarity == 1} == planted
+
+
+def test_clean_documents_stay(spark):
+    benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
+    docs = docs_of(spark, [None, "", prose(77, 200), f"x {PASSAGES[2]} y", PASSAGES[4]]).selectExpr("*", "1 AS length", "2 AS similarity", "3 AS _n")
+    kept = without_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2]
+    assert without_contaminated(docs, benchmark.limit(0)).count() == 5
+    assert contaminated(docs.limit(0), benchmark).collect() == []
+
+
+def test_null_and_repeated_ids(spark):
+    benchmark = spark.createDataFrame([ITEMS[2], ITEMS[2], (None, PASSAGES[3])], "item_id long, text string")
+    rows = [(None, PASSAGES[2]), (1, PASSAGES[2]), (1, PASSAGES[2]), (1, PASSAGES[3])]
+    got = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), benchmark).collect()
+    assert sorted((str(r.doc_id), str(r.item_id)) for r in got) == [("1", "2"), ("1", "None"), ("None", "2")]
