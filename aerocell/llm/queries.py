@@ -12,6 +12,7 @@ from aerocell.llm import bpe, language, pii
 from aerocell.llm.decontaminate import contaminated
 from aerocell.llm.lengths import context_limits, length_histogram
 from aerocell.llm.licenses import scan_licenses
+from aerocell.llm.lines import duplicate_lines
 from aerocell.llm.near_dedup import near_duplicates
 from aerocell.llm.simhash import document_fingerprints, likeness
 from aerocell.llm.votes import as_hex
@@ -82,6 +83,17 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return contaminated(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
 
 
+@register
+def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that each document loses to an equal or similar line before them."""
+    return duplicate_lines(documents(spark, sf)).select(
+        "doc_id",
+        F.col("n_lines").cast("long").alias("n_lines"),
+        F.size("dropped").cast("long").alias("n_dropped"),
+        F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped"),
+    )
+
+
 @register
 def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Personal data of every document: counts and digest of the base spans, and all spans."""
