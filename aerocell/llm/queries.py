@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerocell.llm import bpe, language, pii
+from aerocell.llm import bpe, language, pii, quality
 from aerocell.llm.decontaminate import contaminated
 from aerocell.llm.lengths import context_limits, length_histogram
 from aerocell.llm.licenses import scan_licenses
@@ -55,6 +55,14 @@ def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return context_limits(length_histogram(lengths))
 
 
+@register
+def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality score of every document, learnt from weak labellers only."""
+    docs = documents(spark, sf)
+    scored = quality.score_quality(docs, quality.train(docs))
+    return scored.select("*", (F.col("score") >= 0.5).alias("keep"))
+
+
 @register
 def op4_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     """SimHash of every document and of its edited text, and how alike they are."""
