@@ -3,7 +3,8 @@
 With ``s`` segments, two fingerprints that differ in at most ``2 s - 1`` bits
 have a segment in which they differ in at most one. So each segment is indexed
 as it is and once with every bit left out, and an equality join finds all pairs
-within the radius; the full distance is checked inside the join.
+within that radius; the full distance is checked inside the join. Pairs further
+apart are found if some segment differs in at most one bit all the same.
 """
 
 from __future__ import annotations
@@ -17,35 +18,44 @@ from aerocell.llm.components import components
 from aerocell.llm.votes import as_hex, ascii_lower, fingerprints, hamming, place_of_terms, words_of
 from aerocell.session import materialise
 
-SEGMENT = 32
-_MASK = (1 << SEGMENT) - 1
-# The key's place for "no bit left out".
-_WHOLE = SEGMENT
+# Segments of a word of 64 bits; a segment has at most half of them.
+PARTS = 2
+_WORD = 64
+# In a key, the bits of a segment lie below its number and the place left out.
+_BELOW = 32
+# The place that stands for "no bit left out".
+_WHOLE = 32
 
 
-def _variants(prints: DataFrame, words: list[str], bit: int) -> DataFrame:
+def _segments(words: list[str], parts: int) -> list[tuple[Column, int]]:
+    """``(bits, width)`` of every segment."""
+    edges = [_WORD * i // parts for i in range(parts + 1)]
+    return [
+        (F.shiftrightunsigned(F.col(word), first).bitwiseAND(F.lit((1 << (end - first)) - 1)), end - first)
+        for word in words
+        for first, end in zip(edges, edges[1:])
+    ]
+
+
+def _variants(prints: DataFrame, words: list[str], parts: int, bit: int) -> DataFrame:
     """One side of the index: each segment as it is, and without each bit that is ``bit``.
 
     Two segments that differ in exactly one bit meet once, under that bit, with
     1 on one side and 0 on the other; equal segments meet once as they are.
     """
     rows = []
-    for i, word in enumerate(words):
-        for half in (0, 1):
-            segment = F.shiftrightunsigned(F.col(word), half * SEGMENT).bitwiseAND(F.lit(_MASK))
-            places = [(p, segment.bitwiseAND(F.lit(_MASK ^ (1 << p)))) for p in range(SEGMENT)]
-            keyed = [
-                F.when(F.shiftrightunsigned(segment, p).bitwiseAND(F.lit(1)) == bit, _key(2 * i + half, p, rest))
-                for p, rest in places
-            ]
-            rows += [*keyed, _key(2 * i + half, _WHOLE, segment)]
+    for number, (segment, width) in enumerate(_segments(words, parts)):
+        for p in range(width):
+            rest = segment.bitwiseAND(F.lit(((1 << width) - 1) ^ (1 << p)))
+            rows.append(F.when(F.shiftrightunsigned(segment, p).bitwiseAND(F.lit(1)) == bit, _key(number, p, rest)))
+        rows.append(_key(number, _WHOLE, segment))
     spread = prints.select(*words, F.explode(F.array(*rows)).alias("_key"))
     return spread.filter(F.col("_key").isNotNull())
 
 
-def _key(segment: int, place: int, rest: Column) -> Column:
+def _key(number: int, place: int, rest: Column) -> Column:
     """Segment number, place of the bit left out and the other bits in one number."""
-    return rest.bitwiseOR(F.lit((segment * (SEGMENT + 1) + place) << SEGMENT))
+    return rest.bitwiseOR(F.lit((number * (_WHOLE + 1) + place) << _BELOW))
 
 
 def _node(words: list[str], side: str) -> Column:
@@ -54,22 +64,26 @@ def _node(words: list[str], side: str) -> Column:
     return own[0] if len(own) == 1 else F.concat(*map(as_hex, own))
 
 
-def near_links(prints: DataFrame, words: list[str], radius: int) -> DataFrame:
-    """``a, b``: the pairs of distinct fingerprints at most ``radius`` bits apart, as nodes, with repeats.
+def near_links(prints: DataFrame, words: list[str], radius: int, parts: int = PARTS) -> DataFrame:
+    """``a, b``: pairs of distinct fingerprints at most ``radius`` bits apart, as nodes, with repeats.
 
-    ``prints`` holds distinct fingerprints in the columns ``words`` of 64 bits.
+    ``prints`` holds distinct fingerprints in the columns ``words`` of 64 bits,
+    each cut into ``parts``. All pairs are found up to ``guaranteed(words, parts)``.
     """
-    if radius > 2 * 2 * len(words) - 1:
-        raise ValueError("this radius needs more segments")
-    a, b = _variants(prints, words, 0).alias("a"), _variants(prints, words, 1).alias("b")
+    a, b = _variants(prints, words, parts, 0).alias("a"), _variants(prints, words, parts, 1).alias("b")
     apart = reduce(lambda x, y: x + y, (hamming(F.col(f"a.{w}"), F.col(f"b.{w}")) for w in words))
     # Equal segments list a pair in both orders; one of them is enough.
-    place = F.shiftrightunsigned(F.col("a._key"), SEGMENT) % (SEGMENT + 1)
+    place = F.shiftrightunsigned(F.col("a._key"), _BELOW) % (_WHOLE + 1)
     once = (place != _WHOLE) | (F.struct(*(F.col(f"a.{w}") for w in words)) < F.struct(*(F.col(f"b.{w}") for w in words)))
     met = a.join(b, (F.col("a._key") == F.col("b._key")) & (apart <= radius) & once)
     return met.select(_node(words, "a").alias("a"), _node(words, "b").alias("b"))
 
 
+def guaranteed(words: int, parts: int) -> int:
+    """The radius within which every pair has a segment that differs in at most one bit."""
+    return 2 * words * parts - 1
+
+
 def _similar(links: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
     """The links whose texts share enough shingles of ``size`` words (exact Jaccard of the sets)."""
     pairs = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -97,6 +111,7 @@ def near_duplicates(
     size: int = 3,
     radius: int = 3,
     words: int = 1,
+    parts: int = PARTS,
     distinct_words: bool = False,
     similarity: float = 0.0,
     similarity_words: int = 5,
@@ -108,8 +123,9 @@ def near_duplicates(
     apart are linked, and ``component_id`` is the smallest ``doc_id`` that links
     reach. With ``similarity``, a link between different fingerprints also needs
     that Jaccard similarity of the two texts' shingles of ``similarity_words``
-    words; of documents with one fingerprint the one with the least text
-    stands for all.
+    words, and one fingerprint's documents are represented by the least id; the
+    radius may then go beyond the guaranteed one, where pairs are found with
+    high probability only.
 
     Documents with one fingerprint are one node, so exact copies cost nothing.
     Fewer words than a shingle make one shingle; texts without words (null
@@ -117,12 +133,14 @@ def near_duplicates(
     give repeated rows. A null ``doc_id`` is a document, but never the smallest
     id unless its component has no other. Other columns are ignored.
     """
+    if not similarity and radius > guaranteed(words, parts):
+        raise ValueError("this radius needs more segments")
     names = [f"f{i}" for i in range(words)]
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_text"))
     prints = fingerprints(keyed, ["doc_id", "_text"], F.col("text"), size, words, distinct_words)
     prints = materialise(prints, "fingerprints")
     groups = prints.groupBy(*names).agg(F.min("doc_id").alias("_least"))
-    links = near_links(groups.select(*names), names, radius)
+    links = near_links(groups.select(*names), names, radius, parts)
     nodes = groups.alias("a").select(_node(names, "a").alias("node"), "_least")
     if similarity:
         stands = prints.groupBy(*names).agg(F.min(F.struct("doc_id", "_text")).alias("_one"))

@@ -66,8 +66,8 @@ def test_query_equals_brute_force(spark, tmp_path):
         assert (rows[i].fingerprint, rows[i].component_id) == (f"{prints[i]:016x}", want[i])
 
 
-@pytest.mark.parametrize("radius, words", [(3, 1), (2, 1), (0, 1), (7, 2)])
-def test_all_pairs_within_the_radius(spark, radius, words):
+@pytest.mark.parametrize("radius, words, parts", [(3, 1, 2), (2, 1, 2), (0, 1, 2), (7, 2, 2), (11, 2, 3), (5, 1, 3)])
+def test_all_pairs_within_the_radius(spark, radius, words, parts):
     pick = random.Random(radius)
     bits = 64 * words
     prints = [pick.getrandbits(bits) for _ in range(40)]
@@ -77,10 +77,10 @@ def test_all_pairs_within_the_radius(spark, radius, words):
     prints += [0, (1 << bits) - 1, 1 << (bits - 1)]
     prints = sorted(set(prints))
     names = [f"f{i}" for i in range(words)]
-    parts = [[(p >> 64 * i) % 2**64 for i in range(words)] for p in prints]
-    rows = [tuple(x - 2**64 if x >> 63 else x for x in part) for part in parts]
+    split = [[(p >> 64 * i) % 2**64 for i in range(words)] for p in prints]
+    rows = [tuple(x - 2**64 if x >> 63 else x for x in part) for part in split]
     df = spark.createDataFrame(rows, ", ".join(f"{n} long" for n in names))
-    found = near_links(df, names, radius).collect()
+    found = near_links(df, names, radius, parts).collect()
 
     def number(node):
         if words == 1:
@@ -114,7 +114,7 @@ def test_ids_rows_and_columns(spark):
 
 
 def test_one_document_of_each_group_stays(spark):
-    options = dict(size=1, words=2, distinct_words=True, radius=7, similarity=0.8)
+    options = dict(size=1, words=2, parts=3, distinct_words=True, radius=24, similarity=0.8)
     docs = docs_of(spark, [LONG, LONG, edited(LONG, 1, 4), prose(8, 500), None, "", edited(prose(8, 500), 2, 60), "one two"])
     kept = one_of_each(docs, **options)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 3, 4, 6, 7]
@@ -125,6 +125,6 @@ def test_similarity_is_verified(spark):
     words = prose(11, 200).split()
     other = words[::-1] + ["more"]
     docs = docs_of(spark, [" ".join(words), " ".join(other)])
-    options = dict(size=1, words=2, distinct_words=True, radius=7)
+    options = dict(size=1, words=2, parts=3, distinct_words=True, radius=11)
     assert len({r.component_id for r in near_duplicates(docs, **options).collect()}) == 1
     assert len({r.component_id for r in near_duplicates(docs, similarity=0.8, **options).collect()}) == 2
