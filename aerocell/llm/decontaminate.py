@@ -60,38 +60,54 @@ def items_of(benchmark: DataFrame) -> DataFrame:
 
 
 def shared_places(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id, _text, _n, _at, length``: each place where a document has a shingle of an item of that length."""
+    """``doc_id, _text, _n, _at, length, _from, _context``: where a document has a shingle of an item of that length.
+
+    ``_context`` holds the words from ``_from`` on that windows of this length
+    over the shingle can reach, so that texts need not be moved or split again.
+    An index too large to broadcast is joined to bare places first.
+    """
     shingles = items.select("length", "_words", F.explode(_places(F.lit(0), F.col("length"))).alias("_at"))
     index = shingles.select(_shingle_hash(F.col("_words"), F.col("_at")).alias("_h"), "length")
     index = materialise(index.groupBy("_h").agg(F.collect_set("length").alias("_lengths")), "index")
-    if index.count() <= BROADCAST_ROWS:
-        index = F.broadcast(index)
+    keys = ["doc_id", "_text"]
     words = docs.select("doc_id", F.xxhash64("text").alias("_text"), normal_words(F.col("text")).alias("_words"))
     sized = words.select("*", F.size("_words").alias("_n"))
     last = F.when(F.col("_n") >= SHINGLE, _places(F.lit(0), F.col("_n")))
-    placed = sized.select("doc_id", "_text", "_n", "_words", F.explode_outer(last).alias("_at"))
-    hashed = placed.filter(F.col("_at").isNotNull()).select(
-        "doc_id", "_text", "_n", "_at", _shingle_hash(F.col("_words"), F.col("_at")).alias("_h")
-    )
-    met = hashed.join(index, "_h")
-    return met.select("doc_id", "_text", "_n", "_at", F.explode("_lengths").alias("length")).distinct()
+    placed = sized.select(*keys, "_n", "_words", F.explode_outer(last).alias("_at")).filter(F.col("_at").isNotNull())
+    hashed = placed.select("*", _shingle_hash(F.col("_words"), F.col("_at")).alias("_h"))
+    if index.count() <= BROADCAST_ROWS:
+        met = hashed.join(F.broadcast(index), "_h").select(*keys, "_n", "_words", "_at", "_lengths")
+    else:
+        bare = hashed.select(*keys, "_at", "_h").join(index, "_h")
+        found = bare.groupBy(*keys).agg(F.collect_set(F.struct("_at", "_lengths")).alias("_found"))
+        same = F.col("s.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("s._text") == F.col("f._text"))
+        both = sized.alias("s").join(found.alias("f"), same)
+        each = both.select("s.doc_id", "s._text", "_n", "_words", F.explode("_found").alias("_one"))
+        met = each.select(*keys, "_n", "_words", "_one._at", "_one._lengths")
+    spread = met.select(*keys, "_n", "_words", "_at", F.explode("_lengths").alias("length"))
+    start = F.greatest(F.col("_at") + SHINGLE - F.col("length"), F.lit(0))
+    placed = spread.withColumn("_from", start)
+    context = F.slice("_words", F.col("_from") + 1, F.col("_at") + F.col("length") - F.col("_from"))
+    return placed.select(*keys, "_n", "_at", "length", "_from", context.alias("_context"))
 
 
 def item_windows(shared: DataFrame) -> DataFrame:
-    """``doc_id, _text, length, _first, _size``: every window of an item's size over a shared shingle, once.
+    """``doc_id, _text, length, first_word, _words``: every window of an item's size over a shared shingle, once.
 
     A window belongs to its first shared shingle, so each shingle opens those
-    windows that begin after the one before. Shorter documents are one window.
+    windows that begin after the one before; a repeated row opens none. Shorter
+    documents are one window.
     """
     order = Window.partitionBy("doc_id", "_text", "length").orderBy("_at")
     opens = shared.withColumn("_before", F.coalesce(F.lag("_at").over(order), F.lit(-1)))
     end = F.greatest(F.col("_n") - F.col("length"), F.lit(0))
-    low = F.greatest(F.col("_before") + 1, F.col("_at") + SHINGLE - F.col("length"), F.lit(0))
+    low = F.greatest(F.col("_before") + 1, F.col("_from"))
     high = F.least(F.col("_at"), end)
     # The last windows begin before a shared shingle near the end of the text.
     starts = F.when(low <= high, F.sequence(low, high))
-    found = opens.select("doc_id", "_text", "_n", "length", F.explode(starts).alias("_first"))
-    return found.select("doc_id", "_text", "length", "_first", F.least("length", "_n").alias("_size"))
+    found = opens.select("*", F.explode(starts).alias("first_word"))
+    words = F.slice("_context", F.col("first_word") - F.col("_from") + 1, F.least("length", "_n"))
+    return found.select("doc_id", "_text", "length", "first_word", words.alias("_words"))
 
 
 def _blocks(fingerprint: Column, radius: int) -> Column:
@@ -127,24 +143,9 @@ def contaminated(
     documents one; null ids are ids; other columns are ignored.
     """
     items = materialise(items_of(benchmark), "items")
-    windows = materialise(item_windows(materialise(shared_places(docs, items), "shared")), "windows")
-    # Only documents with windows are split again; their windows travel with them.
-    per_text = windows.groupBy("doc_id", "_text").agg(F.collect_list(F.struct("length", "_first", "_size")).alias("_windows"))
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("_text"), "text").alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d._text") == F.col("w._text"))
-    met = keyed.join(per_text.alias("w"), same).select("d.doc_id", "d._text", "d.text", "_windows")
-    # A window's words leave its text here, so no later row is larger than a window.
-    split = met.select("doc_id", "_text", normal_words(F.col("text")).alias("_all"), F.col("_windows"))
-    each = split.select("doc_id", "_text", "_all", F.explode("_windows").alias("_window"))
-    cut = each.select(
-        "doc_id",
-        "_text",
-        "_window.length",
-        "_window._first",
-        F.slice("_all", F.col("_window._first") + 1, F.col("_window._size")).alias("_words"),
-    )
-    own = cut.select("doc_id", "_text", "length", F.col("_first").alias("first_word"), "_words", F.lit(0).alias("_first"), F.size("_words").alias("_size"))
-    prints = _window_prints(own, ["doc_id", "_text", "length", "first_word"])
+    windows = item_windows(shared_places(docs, items))
+    sized = windows.select("*", F.lit(0).alias("_first"), F.size("_words").alias("_size"))
+    prints = _window_prints(sized, ["doc_id", "_text", "length", "first_word"])
     # Windows with the same shingles have the same answer; repeated passages are looked up once.
     keys = prints.select("*", F.array_sort("shingles").alias("_bag"))
     keys = materialise(keys.select("doc_id", "_text", "length", "first_word", "fingerprint", "shingles", F.xxhash64("_bag").alias("_same")), "prints")
