@@ -9,10 +9,6 @@ from pyspark.sql import types as T
 from aerocell.schemas import KNOTS_PER_MPS
 
 
-# Up to here a double still tells millionths apart, so the arithmetic is exact.
-_EXACT_LIMIT = 1e9
-
-
 def cents(value: Column) -> Column:
     """:func:`round2` of a value known to lie in [0, 1e9)."""
     millionths = F.rint(value * F.lit(1e6))
@@ -24,13 +20,9 @@ def round2(value: Column) -> Column:
 
     Six decimals first: that absorbs the noise a distributed sum leaves in the
     last bits, so the result does not depend on the order of partial sums. It
-    equals rounding through DECIMAL(18,6), in plain arithmetic that stays in
-    registers. Values too large for it are rounded as doubles.
+    equals rounding through decimals, for values of any size.
     """
-    size = F.abs(value)
-    # Adding zero turns a negative zero into zero.
-    exact = F.signum(value) * cents(size) + F.lit(0.0)
-    return F.when(size < _EXACT_LIMIT, exact).otherwise(F.round(value, 2))
+    return F.round(F.round(value, 6), 2)
 
 
 def safe_divide(numerator: Column, denominator: Column) -> Column:
@@ -51,7 +43,8 @@ def to_mb(size: Column) -> Column:
 
 
 def without_nan(value: Column) -> Column:
-    return F.nanvl(value, F.lit(None).cast("double"))
+    """NaN becomes null; the type stays."""
+    return F.when(~F.isnan(value), value)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -22,9 +22,14 @@ def cycle_day(epoch_seconds: Column) -> Column:
     return F.floor(epoch_seconds / F.lit(86400))
 
 
+# The last second of the year 9999.
+LAST_SECOND = 253402300799
+
+
 def recorded_date(epoch_seconds: Column) -> Column:
-    """UTC calendar day, independent of the session time zone."""
-    return F.date_from_unix_date(cycle_day(epoch_seconds).cast("int"))
+    """UTC calendar day, independent of the session time zone; null for a time beyond the year 9999."""
+    day = F.date_from_unix_date(cycle_day(epoch_seconds).try_cast("int"))
+    return F.when(epoch_seconds <= LAST_SECOND, day)
 
 
 def hour_start(ts: Column) -> Column:

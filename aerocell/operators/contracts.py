@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerocell.functions.time import LAST_SECOND
 from aerocell.schemas import FLIGHT_SCHEMA, SILVER_SCHEMA, WEATHER_SCHEMA
 
 # --- Fixed values: inclusive bounds; None leaves an end open ------------------
@@ -22,9 +23,10 @@ FLIGHT_REQUIRED = [
     "ingested_at",
 ]
 FLIGHT_LENGTHS = {"icao24": (4, 10), "callsign": (None, 12)}
+# A later time (in milliseconds, say) has no calendar day.
 FLIGHT_RANGES = {
-    "time_position": (0, None),
-    "last_contact": (0, None),
+    "time_position": (0, LAST_SECOND),
+    "last_contact": (0, LAST_SECOND),
     "longitude": (-180.0, 180.0),
     "latitude": (-90.0, 90.0),
     "velocity_mps": (0.0, None),
@@ -137,11 +139,29 @@ class Contract:
         kept = kept.withColumns(typed) if typed else kept
         return kept.drop("cast_errors") if "cast_errors" in df.columns else kept
 
+    def check(self, df: DataFrame) -> DataFrame:
+        """All rows with the names of the rules they break in ``rejection_reasons``, none for valid ones.
+
+        One pass for callers that need both sides; see :meth:`typed` for the
+        valid one.
+        """
+        return df.withColumn("rejection_reasons", self._broken(df))
+
+    def typed(self, checked: DataFrame) -> DataFrame:
+        """The valid rows of :meth:`check`, with the contract's types."""
+        kept = checked.filter(F.size("rejection_reasons") == 0).drop("rejection_reasons")
+        casts = {n: F.expr(value) for n, (value, cast) in self._values(kept).items() if cast}
+        kept = kept.withColumns(casts) if casts else kept
+        return kept.drop("cast_errors") if "cast_errors" in kept.columns else kept
+
+    def _broken(self, df: DataFrame):
+        broken = ", ".join(f"CASE WHEN NOT {rule} THEN '{name}' END" for name, rule in self.rules(df).items())
+        return F.expr(f"array_compact(array({broken}))")
+
     def quarantine(self, df: DataFrame) -> DataFrame:
         """Rows that break a rule, as they came, with the names of the broken rules."""
-        broken = ", ".join(f"CASE WHEN NOT {rule} THEN '{name}' END" for name, rule in self.rules(df).items())
         rejected = df.filter(f"NOT coalesce({self._holds(df)}, false)")
-        return rejected.withColumn("rejection_reasons", F.expr(f"array_compact(array({broken}))"))
+        return rejected.withColumn("rejection_reasons", self._broken(df))
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         return self.valid(df), self.quarantine(df)
@@ -153,13 +173,16 @@ def _bounds(value: str, low, high) -> str:
     Names the value once where it can: the optimizer moves these conditions
     below the cleaning of the value and repeats it for every mention.
     """
+    if high is None and isinstance(low, float):
+        # Spark orders NaN above every number, infinity included.
+        return f"({value} >= {_literal(low)} AND {value} < double('infinity'))"
     if high is None:
         return f"({value} >= {_literal(low)})"
     if low is None:
         return f"({value} <= {_literal(high)})"
     if low == -high:
         return f"(abs({value}) <= {_literal(high)})"
-    if isinstance(low, int):
+    if isinstance(low, int) and high < 1 << 30:
         # The distance from the middle, doubled to stay in whole numbers.
         return f"(abs(2 * {value} - {low + high}) <= {high - low})"
     return f"({value} BETWEEN {_literal(low)} AND {_literal(high)})"

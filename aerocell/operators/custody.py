@@ -6,6 +6,7 @@ import datetime as dt
 import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,8 +70,11 @@ def evict_partition(
     """Export a day, verify the copy, write the ledger, then drop the day.
 
     Any failure before the drop leaves the hot rows in place, and the call can
-    simply be repeated. A day that was already archived once (late rows) gets a
-    file name of its own, so an earlier archive is never overwritten.
+    simply be repeated: an earlier archive that holds exactly the hot rows is
+    taken instead of a second one. A day that was archived once and has other
+    rows now (late ones) gets a file name of its own, so an earlier archive is
+    never overwritten. Only the files that were compared are dropped: if the
+    day has others by then, it is kept and an error raised.
     """
     started = time.monotonic()
     hot = read_partition(spark, table, day)
@@ -83,16 +87,17 @@ def evict_partition(
         & (F.col("truncated_table_name") == short)
         & (F.col("eviction_status") == "SUCCESS")
     )
+    compared, wanted = _files(hot), _contents(hot)
+    for manifest in earlier.select(*AUDIT_SCHEMA.names).orderBy("archival_timestamp").toLocalIterator():
+        if _holds(spark, manifest["storage_destination_uri"], hot.columns, wanted):
+            _drop_compared(spark, table, day, compared)
+            return manifest.asDict()
     folder = f"{archive_root.rstrip('/')}/archives/{short}/{day}"
     name = f"{short}_{day}" if earlier.isEmpty() else f"{short}_{day}_{audit_id}"
     destination = f"{folder}/{name}.parquet"
 
     export_parquet(hot, destination, spec.cluster, mode="overwrite")
-    copy = spark.read.parquet(destination).select(*hot.columns)
-    # Compared with the hot rows as they are now: rows that came in since the
-    # export make this fail too, and the day is kept.
-    spark.catalog.refreshTable(table)
-    if _contents(copy) != _contents(read_partition(spark, table, day)):
+    if not _holds(spark, destination, hot.columns, wanted):
         raise RuntimeError(f"archive of {table} {day} does not match the table; nothing deleted")
 
     elapsed = round(time.monotonic() - started, 2)
@@ -113,10 +118,31 @@ def evict_partition(
     )
     row = ledger.first()
     write_audit(spark, audit_table, spark.createDataFrame([row], AUDIT_SCHEMA))
-    delete_partition(spark, table, day)
+    _drop_compared(spark, table, day, compared)
     return row.asDict()
 
 
+def _files(df: DataFrame) -> list[str]:
+    """The files behind the rows of one day."""
+    return sorted(df.inputFiles())
+
+
+def _holds(spark: SparkSession, uri: str, columns: list[str], wanted: tuple) -> bool:
+    """Whether an archive has these contents; one that cannot be read has not."""
+    try:
+        return _contents(spark.read.parquet(uri).select(*columns)) == wanted
+    except AnalysisException:
+        return False
+
+
+def _drop_compared(spark: SparkSession, table: str, day: dt.date, compared: list[str]) -> None:
+    """Drop a day if its files are still those that were compared."""
+    spark.catalog.refreshTable(table)
+    if _files(read_partition(spark, table, day)) != compared:
+        raise RuntimeError(f"{table} {day} has new rows; nothing deleted, evict it again")
+    delete_partition(spark, table, day)
+
+
 def evict_expired(
     spark: SparkSession,
     table: str,
@@ -170,7 +196,7 @@ def sync_archives(
     ``verify_only`` or ``dry_run`` nothing is copied and absent archives count
     as neither valid nor corrupted.
     """
-    ensure_folder(dest)
+    ensure_folder(spark, dest)
     manifests = success_manifests(audit).withColumn(
         "archive_key", archive_path(F.col("storage_destination_uri"), archive_root)
     )

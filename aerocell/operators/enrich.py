@@ -6,13 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerocell import functions as fn
+from aerocell.functions.numeric import nan_to_null
 from aerocell.operators.lookup import lookup_join
 from aerocell.schemas import GEOHASH_PRECISION, SILVER_SCHEMA, WEATHER_MEASURES
 
-# A hinted broadcast must stay below this even if every cell of the grid is present.
-BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
-OBSERVATION_BYTES = 128
-
 
 def tag_flights(df: DataFrame, precision: int = GEOHASH_PRECISION) -> DataFrame:
     """Add record id, cell, partition day and weather cycle to valid reports."""
@@ -75,21 +72,19 @@ def enrich(
     weather: DataFrame,
     keys: tuple[str, ...] = ("geohash",),
     keep: tuple[str, ...] = (),
-    precision: int = GEOHASH_PRECISION,
 ) -> DataFrame:
     """Every report with the weather of its cell and its risk score.
 
-    ``weather`` holds one row per key. Reports without weather are kept with
-    nulls and risk 0.0. Keyed by cell alone (one cycle), one row per cell is
-    enforced, so the weather side cannot pass ``32**precision`` rows: it is
-    broadcast when even a full grid fits. With more keys (a history of cycles)
-    nothing bounds it: see :func:`lookup_join` for what happens then.
+    Of several observations of a key the last counts, ties broken by the
+    measures, so a report stays one row whatever the keys and the precision of
+    the cells. Reports without weather are kept with nulls and risk 0.0; a NaN
+    measure is null. How the join runs is Spark's choice by the size of the
+    weather: see :func:`lookup_join`.
     """
-    right = weather.select(*keys, *[c for c in WEATHER_MEASURES if c in weather.columns])
-    if tuple(keys) == ("geohash",) and 32**precision * OBSERVATION_BYTES <= BROADCAST_LIMIT_BYTES:
-        joined = flights.join(F.broadcast(right.dropDuplicates(["geohash"])), "geohash", "left")
-    else:
-        joined = lookup_join(flights, right, keys, "left")
+    names = [c for c in WEATHER_MEASURES if c in weather.columns]
+    clean = nan_to_null(weather.select(*keys, *names))
+    right = latest_weather(clean, list(keys), sorted(names, key=lambda n: n != "weather_recorded_at"))
+    joined = lookup_join(flights, right, keys, "left")
     risk = fn.convective_risk(F.col("precipitation_mm"), F.col("wind_gusts_mps"), F.col("cloud_cover_pct"))
     scored = joined.withColumn("convective_risk_score", risk)
     return scored.select(*SILVER_SCHEMA.names, *keep)

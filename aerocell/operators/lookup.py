@@ -17,7 +17,9 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     exchange. A right side that was just aggregated by the same keys would
     reuse its partitioning and switch that off, so the keys' hash is joined on
     as well: it changes no match and makes the (small) right side exchange again.
+    A hash depends on the type, so the right side takes the types of the left.
     """
     match = F.xxhash64(*keys).alias("_match")
+    right = right.withColumns({k: F.col(k).cast(left.schema[k].dataType) for k in keys})
     joined = left.select("*", match).join(right.select("*", match), [*keys, "_match"], how)
     return joined.drop("_match")

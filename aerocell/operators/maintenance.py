@@ -8,10 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerocell import functions as fn
 from aerocell.operators.gold import gold_matrix, merge_gold, on_days
 from aerocell.operators.enrich import first_per_key
 from aerocell.schemas import GOLD, GOLD_KEYS, RETENTION_DAYS, SILVER
-from aerocell.session import materialise
+from aerocell.operators.lookup import lookup_join
+from aerocell.session import staged
 from aerocell.sources.tables import days_of, overwrite_days, partition_days, read_partition, write_table
 
 
@@ -24,45 +26,68 @@ def new_records(target: DataFrame, batch: DataFrame, key: str = "flight_record_i
     return batch.join(target.select(key).distinct(), key, "left_anti")
 
 
+def database_of(table: str) -> str:
+    return table.rsplit(".", 1)[0] if "." in table else "default"
+
+
 def insert_ignore(
     spark: SparkSession,
     table: str,
     batch: DataFrame,
     order: Sequence[str] = ("ingested_at",),
     key: str = "flight_record_id",
-    staged: bool = False,
-    days: Sequence[dt.date] | None = None,
+    stored: bool = False,
 ) -> int:
     """Append the rows with unseen keys, the first per key; returns how many were new.
 
-    The key is made from the report's time, so equal keys share a partition
-    day: only the days present in the batch are read from the target.
-    ``staged`` says the batch is a stored table and need not be written first;
-    ``days`` are its days where the caller knows them.
+    The key is made from the report's time, so equal keys share that time: of
+    the target only the days of the batch are read, and in them only the files
+    and row groups that reach into its span of time. ``stored`` says the batch
+    is a table and need not be written first.
     """
-    stored_batch = batch if staged else materialise(batch, "batch")
-    days = days_of(stored_batch) if days is None else days
-    if not days:
+    if not stored:
+        with staged(batch, database_of(table)) as written:
+            return insert_ignore(spark, table, written, order, key, stored=True)
+    # One row per day and batch, so this stays small for any batch.
+    spans = batch.groupBy("recorded_date").agg(F.min("time_position").alias("low"), F.max("time_position").alias("high"))
+    found = [r for r in spans.collect() if r["recorded_date"] is not None]
+    if not found:
         return 0
-    first = first_per_key(stored_batch, [key], [F.col(c) for c in order]).select(*SILVER.columns)
-    known = on_days(spark.table(table), days)
+    low, high = min(r["low"] for r in found), max(r["high"] for r in found)
+    first = first_per_key(batch, [key], [F.col(c) for c in order]).select(*SILVER.columns)
+    known = on_days(spark.table(table), sorted(r["recorded_date"] for r in found))
+    known = known.filter(F.col("time_position").between(F.lit(low), F.lit(high)))
     return write_table(new_records(known, first, key), table, SILVER)
 
 
-def upsert_gold(spark: SparkSession, table: str, delta: DataFrame, staged: bool = False) -> int:
+def upsert_gold(spark: SparkSession, table: str, delta: DataFrame, stored: bool = False) -> int:
     """Replace matched keys, insert new ones, keep the rest; returns the rows of the delta.
 
-    Only the days in the delta are read and rewritten. The merged days go to
-    the shared folder first, because a table must not be overwritten by a plan
-    that reads it. ``staged`` says the delta is a stored table already.
+    Only the days in the delta are read and rewritten. The merged days are
+    written aside first, because a table must not be overwritten by a plan that
+    reads it, and removed afterwards. ``stored`` says the delta is a table.
     """
-    stored_delta = delta if staged else materialise(delta, "delta")
-    days = days_of(stored_delta)
+    if not stored:
+        with staged(delta, database_of(table)) as written:
+            return upsert_gold(spark, table, written, stored=True)
+    days = days_of(delta)
+    if not days:
+        return 0
+    with staged(merge_gold(on_days(spark.table(table), days), delta, GOLD_KEYS), database_of(table)) as merged:
+        overwrite_days(merged, table, GOLD)
+    return delta.count()
+
+
+def refresh_touched(spark: SparkSession, silver: str, gold: str, rows: DataFrame) -> int:
+    """Recompute the matrix of the hours and cells that ``rows``, now part of ``silver``, fall into."""
+    hour = fn.hour_start(F.col("weather_recorded_at")).alias("_hour")
+    touched = rows.filter(F.col("weather_recorded_at").isNotNull()).select("recorded_date", hour, "geohash").distinct()
+    days = days_of(touched)
     if not days:
         return 0
-    merged = materialise(merge_gold(on_days(spark.table(table), days), stored_delta, GOLD_KEYS), "merged")
-    overwrite_days(merged, table, GOLD)
-    return stored_delta.count()
+    found = on_days(spark.table(silver), days).withColumn("_hour", hour)
+    again = lookup_join(found, touched, ["recorded_date", "_hour", "geohash"], "left_semi").drop("_hour")
+    return upsert_gold(spark, gold, gold_matrix(again))
 
 
 def refresh_gold(

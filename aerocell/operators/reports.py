@@ -34,6 +34,7 @@ INSPECT_COLUMNS = [
     "wind_gusts_mps",
     "geohash",
 ]
+# Columns of a manifest, in order.
 MANIFEST_COLUMNS = [
     "audit_id",
     "archival_timestamp",
@@ -44,8 +45,6 @@ MANIFEST_COLUMNS = [
     "storage_destination_uri",
     "truncated_table_name",
 ]
-# 32**4 cells of at most ~100 bytes each: a full grid stays broadcastable.
-MAX_BROADCAST_PRECISION = 4
 
 
 # --- day windows -------------------------------------------------------------
@@ -237,31 +236,29 @@ def latest_audit(audit: DataFrame, n: int = LATEST_AUDITS, nulls: str = "last")
 
 
 def success_manifests(audit: DataFrame) -> DataFrame:
-    """Manifests of completed evictions, newest day first."""
-    done = audit.filter(F.col("eviction_status") == "SUCCESS").select(*MANIFEST_COLUMNS)
-    return done.orderBy(F.desc("target_partition_date"))
+    """Manifests of completed evictions, in no order."""
+    return audit.filter(F.col("eviction_status") == "SUCCESS").select(*MANIFEST_COLUMNS)
 
 
-# --- silver and gold together ----------------------------------------------------
-def _in_cells(df: DataFrame, of: DataFrame, precision: int) -> DataFrame:
-    """Rows of ``df`` in the distinct cells of ``of``.
+def manifest_order(audit: DataFrame) -> DataFrame:
+    """Manifests of completed evictions, newest day first, then by audit id."""
+    return success_manifests(audit).orderBy(F.desc("target_partition_date"), "audit_id")
 
-    The cells are broadcast only where the grid itself bounds their number.
-    """
-    cells = of.select("geohash").distinct()
-    if precision <= MAX_BROADCAST_PRECISION:
-        return df.join(F.broadcast(cells), "geohash", "left_semi")
-    return lookup_join(df, cells, ["geohash"], "left_semi")
+
+# --- silver and gold together ----------------------------------------------------
+def _in_cells(df: DataFrame, of: DataFrame) -> DataFrame:
+    """Rows of ``df`` in the distinct cells of ``of``; Spark broadcasts the cells if they are few."""
+    return lookup_join(df, of.select("geohash").distinct(), ["geohash"], "left_semi")
 
 
-def flights_in_category(silver: DataFrame, gold: DataFrame, category: str, precision: int = 4) -> DataFrame:
+def flights_in_category(silver: DataFrame, gold: DataFrame, category: str) -> DataFrame:
     """Reports in the cells where a hazard category occurred."""
-    return _in_cells(silver, gold.filter(F.col("weather_condition_category") == category), precision)
+    return _in_cells(silver, gold.filter(F.col("weather_condition_category") == category))
 
 
-def cells_of_callsign(gold: DataFrame, silver: DataFrame, callsign: str, precision: int = 4) -> DataFrame:
+def cells_of_callsign(gold: DataFrame, silver: DataFrame, callsign: str) -> DataFrame:
     """Matrix rows of the cells a callsign was seen in."""
-    return _in_cells(gold, silver.filter(F.col("callsign") == callsign), precision)
+    return _in_cells(gold, silver.filter(F.col("callsign") == callsign))
 
 
 def silver_gold(silver: DataFrame, gold: DataFrame) -> DataFrame:
@@ -296,39 +293,39 @@ METRIC_NAMES = [
 ]
 
 
-def run_metrics(
-    raw: DataFrame,
-    valid: DataFrame,
-    weather: DataFrame,
-    silver: DataFrame,
-    committed: DataFrame | int,
-) -> DataFrame:
-    """One row with the counts of every stage of a run, from one distributed job."""
-
-    def count(df: DataFrame, metric: str) -> DataFrame:
-        return df.agg(F.count("*").alias("value")).select(F.lit(metric).alias("metric"), "value")
-
-    if isinstance(committed, int):
-        known = F.lit(committed).cast("bigint").alias("value")
-        stored = raw.sparkSession.range(1).select(F.lit("records_committed").alias("metric"), known)
-    else:
-        stored = count(committed, "records_committed")
-    stages = [
-        count(raw, "raw_flights"),
-        count(valid, "valid_flights"),
-        count(valid.select("geohash").distinct(), "unique_weather_grids"),
-        count(weather, "weather_observations"),
-        count(silver, "silver_records_produced"),
-        stored,
-    ]
-    rows = stages[0]
-    for stage in stages[1:]:
-        rows = rows.unionByName(stage)
-    wide = rows.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in METRIC_NAMES])
+def stage_counts(checked: DataFrame) -> DataFrame:
+    """Counts of a run from one pass over its checked reports.
+
+    ``checked`` has a boolean ``valid`` and, for valid reports, ``geohash`` and
+    ``flight_record_id``. The lookup of the weather adds no rows, so each valid
+    report is one enriched row.
+    """
+    own = F.col("valid")
+    return checked.agg(
+        F.count(F.lit(1)).alias("raw_flights"),
+        F.count_if(own).alias("valid_flights"),
+        F.countDistinct(F.when(own, F.col("geohash"))).alias("unique_weather_grids"),
+        F.count_if(own).alias("silver_records_produced"),
+        F.countDistinct(F.when(own, F.col("flight_record_id"))).alias("records_committed"),
+    )
+
+
+def run_metrics(checked: DataFrame, weather: DataFrame, committed: int | None = None) -> DataFrame:
+    """One row with the counts of every stage of a run.
+
+    ``checked`` as in :func:`stage_counts`; each row of ``weather`` is an
+    observation. ``committed`` is how many records a store took, where one did.
+    """
+    counts = stage_counts(checked)
+    if committed is not None:
+        counts = counts.withColumn("records_committed", F.lit(committed).cast("bigint"))
+    seen = weather.agg(F.count(F.lit(1)).alias("weather_observations"))
+    # Both are one row, an aggregate without groups; each leaves the other's columns null.
+    both = counts.unionByName(seen, allowMissingColumns=True)
+    both = both.agg(*(F.max(c).alias(c) for c in METRIC_NAMES))
     status = F.when(F.col("raw_flights") == 0, "SKIPPED_EMPTY_FLIGHTS").otherwise("SUCCESS")
-    return wide.withColumns(
-        {
-            "quarantined_flights": F.col("raw_flights") - F.col("valid_flights"),
-            "status": status,
-        }
+    return both.select(
+        *METRIC_NAMES,
+        (F.col("raw_flights") - F.col("valid_flights")).alias("quarantined_flights"),
+        status.alias("status"),
     )

@@ -10,14 +10,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerocell import functions as fn
 from aerocell.operators import contracts, custody, enrich, gold, maintenance, reports
 from aerocell.plans import fixtures as fx
-from aerocell.plans.pipeline import KEY, checked_flights, located, silver_rows, tagged_flights
+from aerocell.plans.pipeline import KEY, checked_flights, flagged_flights, located, silver_rows, tagged_flights
 from aerocell.schemas import BOXES, GOLD, GOLD_KEYS, GOLD_SCHEMA, SILVER, SILVER_SCHEMA, BoundingBox
 from aerocell.session import materialise, prepare, scratch_database, shared_dir
 from aerocell.sources import archive, payloads, tables
@@ -96,8 +96,7 @@ def _s02(spark, sf):
         "inner": BoundingBox(38.5, 39.5, -78.0, -77.0),
         "latitude_only": BoundingBox(lamin=39.0, lamax=40.0, lomin=-79.0),
     }
-    parts = [payloads.bbox_filter(rows, box).withColumn("box", F.lit(name)) for name, box in boxes.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return payloads.in_boxes(rows, boxes)
 
 
 @register("s03_parse_weather_payload")
@@ -158,9 +157,13 @@ def _s09(spark, sf):
 
 @register("s10_file_digests")
 def _s10(spark, sf):
-    path = f"{shared_dir(spark)}/export"
-    archive.export_parquet(fx.silver(spark, sf), path, SILVER.cluster)
-    return archive.file_digests(spark, path).select("file_name", "length", "sha256_checksum")
+    """Files of known bytes: one line per day with its number of reports."""
+    path = f"{shared_dir(spark)}/lines"
+    line = F.concat_ws(",", F.col("recorded_date").cast("string"), "n").alias("value")
+    days = _per_day(fx.silver(spark, sf)).select(F.col("recorded_date").cast("string").alias("day"), line)
+    days.write.partitionBy("day").text(path)
+    found = archive.file_digests(spark, path, "part-*")
+    return found.select(F.regexp_extract("path", "day=([0-9-]+)", 1).alias("day"), "length", "sha256_checksum")
 
 
 @register("s11_restore_archives")
@@ -327,12 +330,17 @@ def _verdicts(split: tuple[DataFrame, DataFrame], *keys: str) -> DataFrame:
 
 @register("f01_flight_contract")
 def _f01(spark, sf):
-    return _verdicts(checked_flights(fx.flights_raw(spark, sf)), *ROW)
+    """Some clocks in milliseconds or nanoseconds among them; both sides from one pass."""
+    raw = fx.with_bad_clocks(fx.flights_raw(spark, sf))
+    checked = contracts.FLIGHT_CONTRACT.check(payloads.normalise_flights(located(raw)))
+    reasons = F.array_join("rejection_reasons", ",")
+    return checked.select(*ROW, (reasons == "").alias("valid"), reasons.alias("reasons"))
 
 
 @register("f02_weather_contract")
 def _f02(spark, sf):
-    return _verdicts(contracts.validate_weather(fx.weather_raw(spark, sf)), "o")
+    """Some measures not a number among them."""
+    return _verdicts(contracts.validate_weather(fx.with_nan(fx.weather_raw(spark, sf))), "o")
 
 
 @register("f03_silver_contract")
@@ -363,6 +371,13 @@ def _f07(spark, sf):
     return reports.success_manifests(fx.audit(spark, sf))
 
 
+@register("t03_manifest_order")
+def _t03(spark, sf):
+    """The place of each manifest in the order it is shown in."""
+    newest = Window.orderBy(F.desc("target_partition_date"), "audit_id")
+    return reports.manifest_order(fx.audit(spark, sf)).select("audit_id", F.row_number().over(newest).alias("place"))
+
+
 @register("f08_hazard_alerts")
 def _f08(spark, sf):
     return reports.hazard_alerts(fx.silver(spark, sf))
@@ -377,7 +392,27 @@ def _f09(spark, sf):
 @register("j01_enrich")
 def _j01(spark, sf):
     """Every valid report with its weather, copies included."""
-    return silver_rows(fx.flights_raw(spark, sf), fx.weather_table(spark, sf), keep=tuple(ROW))
+    return silver_rows(fx.flights_raw(spark, sf), fx.weather(spark, sf), keep=tuple(ROW))
+
+
+def _enriched_at(spark: SparkSession, sf: str, precision: int, keys: tuple[str, ...]) -> DataFrame:
+    """Every valid report with the last of all readings of its cell, cells of any size."""
+    readings = fx.weather_raw(spark, sf)
+    readings = readings.withColumn("geohash", fn.geohash(F.col("lat"), F.col("lon"), precision))
+    flights = enrich.tag_flights(contracts.FLIGHT_CONTRACT.valid(_normalised(spark, sf)), precision)
+    return enrich.enrich(flights, readings, keys, tuple(ROW))
+
+
+@register("j01_enrich_many_readings")
+def _j01m(spark, sf):
+    """Cells of precision 4, the readings of all cycles."""
+    return _enriched_at(spark, sf, 4, ("geohash",))
+
+
+@register("j01_enrich_small_cells")
+def _j01s(spark, sf):
+    """Cells of precision 5, the readings of each cycle."""
+    return _enriched_at(spark, sf, 5, ("cycle_id", "geohash"))
 
 
 @register("j02_latest_weather")
@@ -478,10 +513,7 @@ def _a06(spark, sf):
 
 @register("a07_run_metrics")
 def _a07(spark, sf):
-    raw, weather = fx.flights_raw(spark, sf), fx.weather_table(spark, sf)
-    valid = tagged_flights(raw)
-    produced = silver_rows(raw, weather)
-    return reports.run_metrics(located(raw), valid, weather, produced, produced.select(KEY).distinct())
+    return reports.run_metrics(flagged_flights(fx.flights_raw(spark, sf)), fx.weather(spark, sf))
 
 
 @register("a08_verify_summary")
@@ -535,10 +567,10 @@ def _d01(spark, sf):
     database = scratch_database(spark)
     tables.create_tables(spark, database)
     table = f"{database}.silver"
-    batch = materialise(silver_rows(fx.flights_raw(spark, sf), fx.weather_table(spark, sf), keep=tuple(ROW)), "batch")
+    batch = materialise(silver_rows(fx.flights_raw(spark, sf), fx.weather(spark, sf), keep=tuple(ROW)), "batch")
     early = batch.filter(F.col("recorded_date") <= F.lit(fx.FLAGSHIP_DAY))
     for rows in (early, batch):
-        maintenance.insert_ignore(spark, table, rows, ROW, staged=True)
+        maintenance.insert_ignore(spark, table, rows, ROW, stored=True)
     return spark.table(table).select(*SILVER_SCHEMA.names)
 
 
@@ -565,17 +597,15 @@ def _d03(spark, sf):
 def _d04(spark, sf):
     database = _silver_table(spark, sf)
     table, ledger = f"{database}.silver", f"{database}.audit"
-    custody.evict_partition(spark, table, fx.FLAGSHIP_DAY, shared_dir(spark), ledger)
-    row = spark.table(ledger).select("eviction_status", "record_count_evicted", "storage_destination_uri").first()
-    hot = spark.table(table).agg(F.count("*").alias("hot_rows"))
-    # One row on each side by construction: the number of hot rows and the ledger row.
-    archived = spark.read.parquet(row["storage_destination_uri"]).count()
-    return hot.select(
-        F.lit(row["eviction_status"]).alias("eviction_status"),
-        F.lit(row["record_count_evicted"]).cast("bigint").alias("record_count_evicted"),
-        "hot_rows",
-        F.lit(archived).cast("bigint").alias("archived_rows"),
-    )
+    root = shared_dir(spark)
+    custody.evict_partition(spark, table, fx.FLAGSHIP_DAY, root, ledger)
+    # One row on each side: aggregates without groups, and the ledger of one eviction.
+    one = F.lit(1).alias("one")
+    kept = spark.table(ledger).select(one, "eviction_status", "record_count_evicted")
+    hot = spark.table(table).agg(F.count("*").alias("hot_rows")).select(one, "hot_rows")
+    cold = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/archives")
+    archived = cold.agg(F.count("*").alias("archived_rows")).select(one, "archived_rows")
+    return kept.join(hot, "one").join(archived, "one").drop("one")
 
 
 @register("d05_write_audit")
@@ -643,32 +673,68 @@ def _to_files(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{root}/out")
 
 
-def _streamed(spark: SparkSession, sf: str) -> streams.Sink:
+def _database(spark: SparkSession) -> str:
     database = scratch_database(spark)
     tables.create_tables(spark, database)
-    sink = streams.Sink.in_database(spark, database)
-    weather = materialise(fx.weather(spark, sf), "weather")
-    query = streams.run_stream(
-        _event_stream(spark, sf), weather, sink, f"{shared_dir(spark)}/checkpoint", order=tuple(ROW)
-    )
-    query.awaitTermination()
+    return database
+
+
+def _in_three(spark: SparkSession, sf: str, start) -> None:
+    """Run a stream to its end after each third of the events; every third spans all days.
+
+    ``start`` takes the stream of raw reports and a checkpoint folder.
+    """
+    folder, checkpoint = shared_dir(spark), shared_dir(spark)
+    for n in range(3):
+        fx.events(spark, sf).filter(F.col("event_id") % 3 == n).write.mode("append").parquet(folder)
+        start(fx.flights_from(streams.read_files(spark, folder, fx.EVENTS)), checkpoint).awaitTermination()
+
+
+def _stored_weather(spark: SparkSession, sf: str) -> DataFrame:
+    return materialise(fx.weather(spark, sf), "weather")
+
+
+def _silver_from(reports: DataFrame, weather: DataFrame) -> DataFrame:
+    return enrich.enrich(tagged_flights(reports), weather, ("cycle_id", "geohash"), tuple(ROW))
+
+
+def _streamed(spark: SparkSession, sf: str) -> streams.Sink:
+    """The pipeline over three batches of reports that each span all days."""
+    sink, weather = streams.Sink.in_database(spark, _database(spark)), _stored_weather(spark, sf)
+    _in_three(spark, sf, lambda rows, checkpoint: streams.run_stream(rows, weather, sink, checkpoint, order=tuple(ROW)))
     return sink
 
 
 def _stream_silver(spark: SparkSession, sf: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    weather = materialise(fx.weather(spark, sf), "weather")
     flights = tagged_flights(_event_stream(spark, sf))
-    return enrich.enrich(flights, weather, ("cycle_id", "geohash"), keep)
+    return enrich.enrich(flights, _stored_weather(spark, sf), ("cycle_id", "geohash"), keep)
 
 
 @register("st1_stream_pipeline")
 def _st1(spark, sf):
-    return spark.table(_streamed(spark, sf).gold).select(*GOLD_SHOWN)
+    """Two cycles; the weather of the second arrives between them, in a table read anew by each batch."""
+    database = _database(spark)
+    sink = streams.Sink.in_database(spark, database)
+    weather, table = _stored_weather(spark, sf), f"{database}.weather"
+    second = F.col("cycle_id") >= 19723 + 15
+    late = F.col("ts") >= F.lit(dt.datetime(2024, 1, 16))
+    folder, checkpoint = shared_dir(spark), shared_dir(spark)
+    for readings, events in ((~second, ~late), (second, late)):
+        weather.filter(readings).write.mode("append").saveAsTable(table)
+        fx.events(spark, sf).filter(events).write.mode("append").parquet(folder)
+        reports = fx.flights_from(streams.read_files(spark, folder, fx.EVENTS))
+        streams.run_stream(reports, table, sink, checkpoint, order=tuple(ROW)).awaitTermination()
+    return spark.table(sink.gold).select(*GOLD_SHOWN)
 
 
 @register("st2_stream_dedupe")
 def _st2(spark, sf):
-    return _to_files(streams.dedupe_stream(tagged_flights(_event_stream(spark, sf)))).select(KEY)
+    """Three batches that each span all days: the first copy to arrive of every id."""
+    table, weather = f"{_database(spark)}.silver", _stored_weather(spark, sf)
+    _in_three(
+        spark, sf, lambda rows, to: streams.dedupe_stream(_silver_from(rows, weather), table, to, tuple(ROW))
+    )
+    return spark.table(table).select(*SILVER_SCHEMA.names)
 
 
 @register("st3_stream_enrich")
@@ -678,17 +744,19 @@ def _st3(spark, sf):
 
 @register("st4_stream_gold")
 def _st4(spark, sf):
-    """Hours closed by the watermark; the open tail is not emitted."""
-    return _to_files(streams.gold_stream(_stream_silver(spark, sf))).select(*GOLD_SHOWN)
+    """The matrix of three batches that each span all days, open hours included."""
+    sink, weather = streams.Sink.in_database(spark, _database(spark)), _stored_weather(spark, sf)
+    _in_three(
+        spark, sf, lambda rows, to: streams.gold_stream(_silver_from(rows, weather), sink, to, tuple(ROW))
+    )
+    return spark.table(sink.gold).select(*GOLD_SHOWN)
 
 
 @register("st5_refresh_touched_days")
 def _st5(spark, sf):
     """Two batches, the second with late rows for days already rolled up."""
-    database = scratch_database(spark)
-    tables.create_tables(spark, database)
-    sink = streams.Sink.in_database(spark, database)
-    raw, weather = fx.flights_raw(spark, sf), materialise(fx.weather(spark, sf), "weather")
+    sink = streams.Sink.in_database(spark, _database(spark))
+    raw, weather = fx.flights_raw(spark, sf), _stored_weather(spark, sf)
     afternoon = F.hour(F.timestamp_seconds("server_time")) >= 12
     streams.process_batch(raw.filter(afternoon), 0, weather, sink, order=tuple(ROW))
     streams.process_batch(raw.filter(~afternoon), 1, weather, sink, order=tuple(ROW))
@@ -697,10 +765,25 @@ def _st5(spark, sf):
 
 @register("st6_stream_metrics")
 def _st6(spark, sf):
-    """Counts of all micro-batches of a run."""
-    names = ["raw_flights", "valid_flights", "quarantined_flights", "silver_records_produced", "records_committed"]
+    """The metrics of every micro-batch."""
     metrics = spark.table(_streamed(spark, sf).metrics)
-    return metrics.agg(*[F.sum(n).alias(n) for n in names])
+    return metrics.select("iteration_id", *reports.METRIC_NAMES, "quarantined_flights", "status")
+
+
+@register("st8_empty_batch")
+def _st8(spark, sf):
+    """A batch, an empty one and a dry run: only the first writes."""
+    sink = streams.Sink.in_database(spark, _database(spark))
+    raw, weather = fx.with_bad_clocks(fx.flights_raw(spark, sf)), _stored_weather(spark, sf)
+    streams.process_batch(raw, 0, weather, sink, order=tuple(ROW))
+    streams.process_batch(raw.limit(0), 1, weather, sink, order=tuple(ROW))
+    streams.process_batch(raw, 2, weather, sink, order=tuple(ROW), dry_run=True)
+    return (
+        spark.table(sink.metrics)
+        .select("iteration_id", "raw_flights", "records_committed", "quarantined_flights")
+        .withColumn("stored", F.lit(spark.table(sink.silver).count()))
+        .withColumn("rejected", F.lit(spark.table(sink.quarantine).count()))
+    )
 
 
 @register("st7_stream_alerts")
@@ -712,5 +795,5 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Which cells, hours and hazards slowed aircraft most on one day."""
     prepare(spark)
     raw = fx.flights_raw(spark, sf)
-    silver = silver_rows(raw, fx.weather_table(spark, sf), first_by=ROW)
+    silver = silver_rows(raw, fx.weather(spark, sf), first_by=ROW)
     return gold.gold_matrix(silver, fx.FLAGSHIP_DAY).orderBy(F.desc("velocity_deficit_pct"), *GOLD_KEYS)

@@ -18,7 +18,6 @@ from aerocell.operators.custody import archive_key
 from aerocell.operators.enrich import latest_weather
 from aerocell.operators.gold import gold_matrix
 from aerocell.plans.pipeline import silver_rows
-from aerocell.session import lookup_table
 from aerocell.sources.payloads import WEATHER_VARIABLES
 
 AS_OF = dt.date(2024, 1, 30)
@@ -101,6 +100,18 @@ def flights_raw(spark: SparkSession, sf: str) -> DataFrame:
     return flights_from(events(spark, sf))
 
 
+def with_bad_clocks(flights: DataFrame) -> DataFrame:
+    """Some times in milliseconds and in nanoseconds."""
+    scale = F.expr("CASE event_id % 500 WHEN 77 THEN 1000L WHEN 177 THEN 1000000000L ELSE 1L END")
+    return flights.withColumn("time_position", F.col("time_position") * scale)
+
+
+def with_nan(observations: DataFrame) -> DataFrame:
+    """Some rain that is not a number."""
+    rain = F.when(F.col("o") % 13 == 0, F.lit(float("nan"))).otherwise(F.col("precipitation_mm"))
+    return observations.withColumn("precipitation_mm", rain)
+
+
 def observations_from(orders: DataFrame) -> DataFrame:
     """Weather readings, several per cell and cycle, numbered by ``o``."""
     base = orders.select(F.col("o_orderkey").alias("o"))
@@ -118,13 +129,8 @@ def weather(spark: SparkSession, sf: str) -> DataFrame:
     return latest_weather(readings, ["cycle_id", "geohash"], ["o"]).drop("o")
 
 
-def weather_table(spark: SparkSession, sf: str) -> DataFrame:
-    """:func:`weather`, ready to be looked up."""
-    return lookup_table(weather(spark, sf))
-
-
 def silver(spark: SparkSession, sf: str) -> DataFrame:
-    return silver_rows(flights_raw(spark, sf), weather_table(spark, sf), first_by=["event_id", "copy"])
+    return silver_rows(flights_raw(spark, sf), weather(spark, sf), first_by=["event_id", "copy"])
 
 
 def gold(spark: SparkSession, sf: str) -> DataFrame:

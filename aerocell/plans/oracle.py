@@ -321,10 +321,36 @@ MERGED_GOLD = (
 PER_DAY = f"SELECT {text('recorded_date')} AS recorded_date, count(*) AS n"
 _lat, _lon = centre("geohash")
 CELLS = f"SELECT geohash, {_lat} AS lat, {_lon} AS lon FROM (SELECT DISTINCT geohash FROM tagged)"
+# Which copy of a record arrives first when the events come in three batches.
+ARRIVED = (
+    "SELECT *, row_number() OVER (PARTITION BY flight_record_id ORDER BY event_id % 3, event_id, copy) AS nth FROM enriched"
+)
+BAD_CLOCK = "event_id % 500 IN (77, 177) AND given IS NOT NULL"
 HOUR = "date_trunc('hour', weather_recorded_at)"
 INNER_BOX = "latitude BETWEEN CAST(38.5 AS DOUBLE) AND CAST(39.5 AS DOUBLE) AND longitude BETWEEN -78 AND -77"
 
 
+MEASURES = SILVER_COLUMNS[18:27]
+
+
+def _enriched_at(precision: int, keys: tuple[str, ...]) -> str:
+    """Reports with the last reading of their key; ties by the measures, nulls last."""
+    lat = "CAST(38 AS DOUBLE) + ((o * 41) % 2800) / CAST(1000 AS DOUBLE)"
+    lon = "CAST(-79 AS DOUBLE) + ((o * 59) % 3200) / CAST(1000 AS DOUBLE)"
+    newest = ", ".join(f"{m} DESC NULLS LAST" for m in MEASURES)
+    same = " AND ".join(f"f.{k} = w.{k}" for k in keys)
+    readings = f"SELECT * EXCLUDE (geohash), {cell(lat, lon, precision)} AS geohash FROM weather_raw"
+    last = (
+        f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {newest}) AS nth"
+        f" FROM ({readings})) WHERE nth = 1"
+    )
+    flights = f"SELECT * EXCLUDE (geohash), {cell('latitude', 'longitude', precision)} AS geohash FROM tagged"
+    score = risk("w.precipitation_mm", "w.wind_gusts_mps", "w.cloud_cover_pct")
+    measures = ", ".join(f"w.{m}" for m in MEASURES)
+    joined = f"SELECT f.*, {measures}, {score} AS convective_risk_score FROM ({flights}) f LEFT JOIN ({last}) w ON {same}"
+    return f"SELECT event_id, copy, {shown(SILVER_COLUMNS)} FROM ({joined})"
+
+
 def sql_by_name() -> dict[str, str]:
     """Query name -> SQL."""
     raw = "event_id, copy"
@@ -354,6 +380,9 @@ def sql_by_name() -> dict[str, str]:
         "s08_table_layout": f"{PER_DAY}, min(geohash) AS first_cell, max(geohash) AS last_cell FROM silver GROUP BY recorded_date",
         "s09_parameterised_sql": "SELECT geohash, count(*) AS n, max(convective_risk_score) AS worst FROM silver"
         " WHERE recorded_date = DATE '2024-01-15' AND convective_risk_score >= 50 GROUP BY geohash",
+        "s10_file_digests": "SELECT day, CAST(strlen(line) + 1 AS BIGINT) AS length, sha256(line || chr(10)) AS sha256_checksum"
+        f" FROM (SELECT {text('recorded_date')} AS day, {text('recorded_date')} || ',' || count(*) AS line FROM silver"
+        " GROUP BY recorded_date)",
         "s11_restore_archives": f"{PER_DAY} FROM silver GROUP BY recorded_date",
         "s11_sync_archives": "SELECT n AS total_manifests_evaluated, n AS newly_downloaded, n AS verified_valid,"
         " CAST(0 AS BIGINT) AS corrupted_detected FROM (SELECT count(DISTINCT recorded_date) AS n FROM silver"
@@ -391,9 +420,15 @@ def sql_by_name() -> dict[str, str]:
         "p22_map_layer": "SELECT longitude, latitude, baro_altitude_m AS elevation, color, callsign, icao24, baro_altitude_m,"
         " velocity_mps, hazard_category, convective_risk_score, precipitation_mm, wind_gusts_mps, velocity_deficit_pct FROM explorer",
         # contracts and filters
-        "f01_flight_contract": f"SELECT {raw}, reasons = '' AS valid, reasons FROM checked",
-        "f02_weather_contract": "SELECT o, cloud_cover_pct <= 100 AS valid,"
-        " CASE WHEN cloud_cover_pct > 100 THEN 'cloud_cover_pct_range' ELSE '' END AS reasons FROM weather_raw",
+        "f01_flight_contract": f"SELECT {raw}, reasons = '' AS valid, reasons FROM (SELECT {raw}, concat_ws(',',"
+        " nullif(regexp_extract(reasons, '^icao24_length'), ''), nullif(regexp_extract(reasons, 'callsign_length'), ''),"
+        f" CASE WHEN {BAD_CLOCK} THEN 'time_position_range' END,"
+        " nullif(regexp_replace(regexp_replace(reasons, '(icao24|callsign)_length,?', '', 'g'), ',$', ''), '')) AS reasons"
+        " FROM checked JOIN (SELECT event_id AS e, copy AS c, time_position AS given FROM flights_raw)"
+        " ON e = event_id AND c = copy)",
+        "f02_weather_contract": "SELECT o, reasons = '' AS valid, reasons FROM (SELECT o, concat_ws(',',"
+        " CASE WHEN o % 13 = 0 THEN 'precipitation_mm_range' END,"
+        " CASE WHEN cloud_cover_pct > 100 THEN 'cloud_cover_pct_range' END) AS reasons FROM weather_raw)",
         "f03_silver_contract": "SELECT flight_record_id, origin_country <> 'Unknown' AS valid,"
         " CASE WHEN origin_country = 'Unknown' THEN 'origin_country_required' ELSE '' END AS reasons FROM silver",
         "f04_gold_eligible": f"SELECT {shown(SILVER_COLUMNS)} FROM silver WHERE recorded_date = DATE '2024-01-15'"
@@ -406,6 +441,8 @@ def sql_by_name() -> dict[str, str]:
         "f09_today": f"SELECT {shown(SILVER_COLUMNS)} FROM silver WHERE recorded_date = DATE '2024-01-30'",
         # joins
         "j01_enrich": f"SELECT {raw}, {shown(SILVER_COLUMNS)} FROM enriched",
+        "j01_enrich_many_readings": _enriched_at(4, ("geohash",)),
+        "j01_enrich_small_cells": _enriched_at(5, ("cycle_id", "geohash")),
         "j02_latest_weather": "SELECT cycle_id, geohash, CAST(weather_recorded_at AS VARCHAR) AS weather_recorded_at,"
         " temperature_c, relative_humidity_pct, precipitation_mm, wind_speed_mps, wind_direction_deg, wind_gusts_mps,"
         " cloud_cover_pct, visibility_m FROM weather",
@@ -461,6 +498,8 @@ def sql_by_name() -> dict[str, str]:
         " ORDER BY weather_recorded_at DESC NULLS LAST, flight_record_id LIMIT 2000)",
         "t01_latest_silver_nulls_first": f"SELECT {shown(SILVER_COLUMNS)} FROM (SELECT * FROM silver WHERE recorded_date = DATE '2024-01-15'"
         " ORDER BY weather_recorded_at DESC NULLS FIRST, flight_record_id LIMIT 2000)",
+        "t03_manifest_order": "SELECT audit_id, CAST(row_number() OVER (ORDER BY target_partition_date DESC, audit_id)"
+        " AS INTEGER) AS place FROM audit WHERE eviction_status = 'SUCCESS'",
         "t02_latest_audit": f"SELECT {_audit_shown(AUDIT_COLUMNS)} FROM (SELECT * FROM audit ORDER BY archival_timestamp DESC, audit_id LIMIT 50)",
         # maintenance and custody
         "d01_insert_ignore": f"SELECT {shown(SILVER_COLUMNS)} FROM silver",
@@ -483,16 +522,26 @@ def sql_by_name() -> dict[str, str]:
         "v03_archival_audit_trail": f"SELECT {AUDIT_VIEW} FROM audit",
         # streams
         "st1_stream_pipeline": ALL_GOLD,
-        "st2_stream_dedupe": "SELECT DISTINCT flight_record_id FROM tagged",
+        "st2_stream_dedupe": f"SELECT {shown(SILVER_COLUMNS)} FROM ({ARRIVED}) WHERE nth = 1",
         "st3_stream_enrich": f"SELECT {raw}, {shown(SILVER_COLUMNS)} FROM enriched",
-        # One micro-batch: hours that end an hour or more before the newest weather are closed.
-        "st4_stream_gold": f"SELECT {shown(GOLD_COLUMNS)} FROM ({gold_from('enriched')}) WHERE window_end <="
-        " (SELECT max(weather_recorded_at) - INTERVAL 1 HOUR FROM enriched WHERE velocity_mps IS NOT NULL)",
+        "st4_stream_gold": f"SELECT {shown(GOLD_COLUMNS)} FROM ({gold_from(f'(SELECT * FROM ({ARRIVED}) WHERE nth = 1)')})",
         "st5_refresh_touched_days": ALL_GOLD,
-        "st6_stream_metrics": "SELECT (SELECT count(*) FROM flights) AS raw_flights, (SELECT count(*) FROM tagged) AS valid_flights,"
-        " (SELECT count(*) FROM checked WHERE reasons <> '') AS quarantined_flights,"
-        " (SELECT count(*) FROM enriched) AS silver_records_produced,"
-        " (SELECT count(DISTINCT flight_record_id) FROM tagged) AS records_committed",
+        "st6_stream_metrics": f"""SELECT c.iteration_id, raw_flights, valid_flights, unique_weather_grids,
+            weather_observations, valid_flights AS silver_records_produced, coalesce(n, 0) AS records_committed,
+            raw_flights - valid_flights AS quarantined_flights, 'SUCCESS' AS status
+          FROM (SELECT event_id % 3 AS iteration_id, count(*) AS raw_flights, count(*) FILTER (reasons = '') AS valid_flights
+                FROM checked GROUP BY event_id % 3) c
+          JOIN (SELECT event_id % 3 AS iteration_id, count(DISTINCT geohash) AS unique_weather_grids,
+                  count(DISTINCT CASE WHEN weather_recorded_at IS NOT NULL THEN geohash || {text("weather_recorded_at")} END)
+                    AS weather_observations FROM enriched GROUP BY event_id % 3) e ON e.iteration_id = c.iteration_id
+          LEFT JOIN (SELECT event_id % 3 AS iteration_id, count(*) AS n FROM ({ARRIVED}) WHERE nth = 1
+                GROUP BY event_id % 3) s ON s.iteration_id = c.iteration_id""",
+        "st8_empty_batch": f"""SELECT CAST(0 AS BIGINT) AS iteration_id, raw_flights, stored AS records_committed,
+            raw_flights - good AS quarantined_flights, stored, raw_flights - good AS rejected
+          FROM (SELECT count(*) AS raw_flights, count(*) FILTER (reasons = '' AND NOT bad) AS good,
+                  count(DISTINCT CASE WHEN reasons = '' AND NOT bad THEN sha256(icao24 || '_' || time_position) END) AS stored
+                FROM (SELECT *, {BAD_CLOCK} AS bad FROM checked
+                      JOIN (SELECT event_id AS e, copy AS c, time_position AS given FROM flights_raw) ON e = event_id AND c = copy))""",
         "st7_stream_alerts": f"SELECT {ALERT} FROM enriched WHERE convective_risk_score >= 50",
     }
     return {name: q(select) for name, select in selects.items()}

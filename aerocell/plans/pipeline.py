@@ -24,6 +24,12 @@ def checked_flights(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return validate_flights(normalise_flights(located(raw)))
 
 
+def flagged_flights(raw: DataFrame) -> DataFrame:
+    """Located reports with the rules they break and whether they are ``valid``, all tagged; one pass."""
+    checked = FLIGHT_CONTRACT.check(normalise_flights(located(raw)))
+    return tag_flights(checked.withColumn("valid", F.size("rejection_reasons") == 0))
+
+
 def tagged_flights(raw: DataFrame) -> DataFrame:
     """Valid reports with record id, cell, partition day and weather cycle."""
     return tag_flights(FLIGHT_CONTRACT.valid(normalise_flights(located(raw))))
@@ -43,5 +49,6 @@ def silver_rows(
     """
     flights = tagged_flights(raw)
     if first_by:
-        flights = first_per_key(flights, [KEY], [F.col(c) for c in first_by])
+        # An id fixes its day; with the day in the key, a filter on days goes below the exchange.
+        flights = first_per_key(flights, ["recorded_date", KEY], [F.col(c) for c in first_by])
     return enrich(flights, weather, keys, keep)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -22,11 +21,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
-# Spark's default limit for planning a broadcast.
-LAZY_LOOKUP_BYTES = 10 * 1024 * 1024
-
-_local_scratch: dict[str, str] = {}
-
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
@@ -54,18 +48,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+    """A fresh folder below ``spark.checkpoint.dir``, or below the warehouse where that is unset.
 
-    Only a local master may fall back to a temporary folder of this machine:
-    executors of a cluster could not see it.
+    Executors reach either, as tables live in the warehouse.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        app = context.applicationId
-        root = _local_scratch.setdefault(app, tempfile.mkdtemp(prefix="aerocell-"))
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/aerocell-{uuid.uuid4().hex}"
 
 
@@ -88,16 +75,20 @@ def materialise(df, name: str = "table"):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def lookup_table(df):
-    """A frame about to be the looked-up side of a join.
+@contextmanager
+def staged(df, database: str):
+    """``df`` as a table of ``database`` for the duration of a block; its files go with it.
 
-    Spark decides on a broadcast from its estimate, and the estimate of a
-    derived frame is often far too large: both sides would be shuffled for a
-    table of a few rows. So a frame whose estimate is too large for a broadcast
-    is written first, and the join is planned from the size of its files.
+    For what one micro-batch reads several times: unlike :func:`materialise`,
+    nothing of it is left when the batch is done.
     """
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df if int(str(estimate)) <= LAZY_LOOKUP_BYTES else materialise(df, "lookup")
+    spark = df.sparkSession
+    table = f"{database}.staged_{uuid.uuid4().hex}"
+    try:
+        df.write.format("parquet").saveAsTable(table)
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 @contextmanager

@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 from aerocell.functions import round2
 from aerocell.schemas import ZSTD_LEVEL
 
+# Names Spark lists a store under, and the ones pyarrow opens it by.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss", "gcs": "gs"}
+
 # Keeps every exported file far below the 2 GB that one digest row can hold.
 MAX_ROWS_PER_FILE = 2_000_000
 
@@ -104,8 +107,13 @@ def uncompressed_width(schema: T.StructType) -> Column:
 
 
 def row_fingerprint(columns: list[str]) -> Column:
-    """Order-free fingerprint of a set of rows; equal sets give equal sums."""
-    return F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).cast("string")
+    """Order-free fingerprint of a set of rows; equal sets give equal sums.
+
+    The hash passes over nulls, so each column is hashed with whether it is
+    null: a value moved to another column makes a difference.
+    """
+    marked = [part for c in columns for part in (F.col(c), F.col(c).isNull())]
+    return F.sum(F.xxhash64(*marked).cast("decimal(38,0)")).cast("string")
 
 
 def export_artifact(spark: SparkSession, path: str) -> DataFrame:
@@ -139,12 +147,18 @@ def _copier():
     pyarrow, not this package.
     """
 
+    schemes = dict(SCHEMES)
+
+    def renamed(uri: str) -> str:
+        scheme, _, rest = uri.partition("://")
+        return f"{schemes.get(scheme, scheme)}://{rest}"
+
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sizes = []
             for source, target in zip(batch["source"], batch["target"]):
-                source_fs, source_path = fs.FileSystem.from_uri(source)
-                target_fs, target_path = fs.FileSystem.from_uri(target)
+                source_fs, source_path = fs.FileSystem.from_uri(renamed(source))
+                target_fs, target_path = fs.FileSystem.from_uri(renamed(target))
                 folder = target_path.rsplit("/", 1)[0]
                 target_fs.create_dir(folder, recursive=True)
                 # Renamed when whole: a retried task never leaves half a file.
@@ -182,12 +196,28 @@ def _bare(root: str) -> str:
     return "/" + root.split(":", 1)[1].lstrip("/") if "://" in root else root
 
 
-def ensure_folder(path: str) -> str:
+def resolved(spark: SparkSession, path: str) -> str:
+    """A location as a URI; without a scheme it lies in the cluster's default file system."""
+    if "://" in path:
+        return path.rstrip("/")
+    if path.startswith("file:"):
+        return "file:///" + path.removeprefix("file:").strip("/")
+    default = spark.conf.get("spark.hadoop.fs.defaultFS", "file://")
+    return default.rstrip("/") + "/" + path.strip("/") if default.rstrip("/") != "file:" else "file:///" + path.strip("/")
+
+
+def opened(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a URI, whichever name Spark has for the store."""
+    scheme, _, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
+
+
+def ensure_folder(spark: SparkSession, path: str) -> str:
     """Create a folder if needed; returns it as a URI."""
-    uri = path if "://" in path else "file://" + path
-    target_fs, folder = fs.FileSystem.from_uri(uri)
+    uri = resolved(spark, path)
+    target_fs, folder = opened(uri)
     target_fs.create_dir(folder, recursive=True)
-    return uri.rstrip("/")
+    return uri
 
 
 def missing_files(spark: SparkSession, source: str, dest: str, only: DataFrame | None = None) -> DataFrame:
@@ -209,7 +239,7 @@ def restore_archives(
 
     Every task streams its own files; nothing passes through the driver.
     """
-    target = ensure_folder(dest)
+    target = ensure_folder(spark, dest)
     to_uri = F.when(F.col("path").startswith("file:"), F.regexp_replace("path", "^file:/*", "file:///"))
     work = missing_files(spark, source, dest, only).select(
         F.coalesce(to_uri, F.col("path")).alias("source"),

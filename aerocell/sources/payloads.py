@@ -132,6 +132,20 @@ def bbox_filter(
     return df
 
 
+def in_boxes(df: DataFrame, boxes: dict[str, BoundingBox]) -> DataFrame:
+    """Each report once per box that holds it, with the box's name in ``box``; one pass over the reports."""
+
+    def inside(box: BoundingBox) -> Column:
+        held = F.lit(True)
+        for column, low, high in (("latitude", box.lamin, box.lamax), ("longitude", box.lomin, box.lomax)):
+            if low is not None and high is not None:
+                held = held & F.col(column).between(F.lit(low), F.lit(high))
+        return held
+
+    named = F.array_compact(F.array(*(F.when(inside(box), F.lit(name)) for name, box in boxes.items())))
+    return df.select("*", F.explode(named).alias("box"))
+
+
 def weather_request_plan(
     centroids: DataFrame, chunk: int = WEATHER_CHUNK, by: tuple[str, ...] = (), prefix: int = 2
 ) -> DataFrame:
@@ -206,5 +220,5 @@ def parse_weather_payload(
         *keep,
         F.col("_pair._cells").alias("geohash"),
         recorded.alias("weather_recorded_at"),
-        *[current[v].alias(name) for v, name in WEATHER_VARIABLES.items()],
+        *[without_nan(current[v]).alias(name) for v, name in WEATHER_VARIABLES.items()],
     )

@@ -1,8 +1,15 @@
-"""Structured Streaming: the micro-batch pipeline and the continuous operators."""
+"""Structured Streaming: the micro-batch pipeline and the continuous operators.
+
+Nothing here drops a late row: ids are remembered by the stored table, not by a
+watermark, and a matrix cell is rebuilt from the table whenever a row of it
+arrives, however late.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,24 +17,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from aerocell.operators.enrich import enrich
-from aerocell.operators.gold import GROUP, finish_gold, fold_aircraft, gold_eligible, per_aircraft
-from aerocell.operators.maintenance import insert_ignore, refresh_gold
-from aerocell.operators.reports import METRIC_NAMES, hazard_alerts, run_metrics
-from aerocell.plans.pipeline import KEY, checked_flights, located, silver_rows
-from aerocell.schemas import IMPACT_RISK, POLL_SECONDS, TableSpec
-from aerocell.session import materialise
-from aerocell.sources.tables import create_table, days_of, overwrite_days
-
+from aerocell.operators.contracts import FLIGHT_CONTRACT
+from aerocell.operators.enrich import enrich, tag_flights
+from aerocell.operators.maintenance import database_of, insert_ignore, refresh_touched
+from aerocell.operators.reports import METRIC_NAMES, hazard_alerts
+from aerocell.plans.pipeline import checked_flights, located
+from aerocell.schemas import FLIGHT_SCHEMA, IMPACT_RISK, POLL_SECONDS, TableSpec
+from aerocell.session import staged
+from aerocell.sources.payloads import normalise_flights, parse_state_payload
+from aerocell.sources.tables import create_table, write_table
+
+# A run is one start of a stream, an iteration one of its micro-batches.
 METRICS = TableSpec(
     T.StructType(
         [T.StructField(n, T.LongType()) for n in (*METRIC_NAMES, "quarantined_flights")]
-        + [T.StructField("status", T.StringType()), T.StructField("batch_id", T.LongType())]
+        + [
+            T.StructField("status", T.StringType()),
+            T.StructField("run_id", T.StringType()),
+            T.StructField("iteration_id", T.LongType()),
+            T.StructField("duration_seconds", T.DoubleType()),
+            T.StructField("run_date", T.DateType()),
+        ]
+    ),
+    "run_date",
+    ("run_id", "iteration_id"),
+)
+QUARANTINE = TableSpec(
+    T.StructType(
+        [T.StructField(f.name, f.dataType) for f in FLIGHT_SCHEMA]
+        + [
+            T.StructField("rejection_reasons", T.StringType()),
+            T.StructField("run_id", T.StringType()),
+            T.StructField("iteration_id", T.LongType()),
+            T.StructField("run_date", T.DateType()),
+        ]
     ),
-    "batch_id",
-    ("status",),
+    "run_date",
+    ("run_id", "iteration_id"),
 )
 
+# Weather of a batch: a frame, the name of a table read anew for every batch, or
+# a function of the session and the batch number.
+Weather = DataFrame | str | Callable[[SparkSession, int], DataFrame]
+
 
 @dataclass(frozen=True)
 class Sink:
@@ -36,11 +68,13 @@ class Sink:
     silver: str
     gold: str
     metrics: str
+    quarantine: str
 
     @staticmethod
     def in_database(spark: SparkSession, database: str) -> Sink:
         create_table(spark, f"{database}.metrics", METRICS)
-        return Sink(f"{database}.silver", f"{database}.gold", f"{database}.metrics")
+        create_table(spark, f"{database}.quarantine", QUARANTINE)
+        return Sink(*(f"{database}.{name}" for name in ("silver", "gold", "metrics", "quarantine")))
 
 
 def read_files(
@@ -62,61 +96,126 @@ def start(writer: DataStreamWriter, checkpoint: str, once: bool, interval: int =
 
 
 # --- one micro-batch -----------------------------------------------------------
-def refresh_touched_days(spark: SparkSession, sink: Sink, days: list[dt.date]) -> int:
-    """Rebuild the matrix of every day a batch has rows for, late days included."""
-    return refresh_gold(spark, sink.silver, sink.gold, days) if days else 0
+def weather_now(spark: SparkSession, weather: Weather, batch_id: int) -> DataFrame:
+    """The weather as it is when the batch runs."""
+    if isinstance(weather, str):
+        spark.catalog.refreshTable(weather)
+        return spark.table(weather)
+    return weather(spark, batch_id) if callable(weather) else weather
+
+
+def _of_batch(spark: SparkSession, table: str, run_id: str, batch_id: int) -> DataFrame:
+    same = (F.col("run_id") == run_id) & (F.col("iteration_id") == batch_id)
+    return spark.table(table).filter(same)
 
 
 def process_batch(
     raw: DataFrame,
     batch_id: int,
-    weather: DataFrame,
+    weather: Weather,
     sink: Sink,
     keys: tuple[str, ...] = ("cycle_id", "geohash"),
     order: tuple[str, ...] = (),
-) -> None:
-    """Validate, bin, enrich and store one micro-batch, then refresh its days.
-
-    Every write is idempotent, so a batch replayed after a failure adds no
-    rows. An empty batch does nothing. ``order`` names the columns that decide
-    which copy of a record comes first.
+    run_id: str = "",
+    dry_run: bool = False,
+) -> dict:
+    """Validate, bin, enrich and store one micro-batch, then refresh the hours and cells it touches.
+
+    The source is read once. Every write is idempotent, so a batch replayed
+    after a failure adds no rows and keeps its first metrics row. Rejected
+    reports go to the quarantine with their reasons. An empty batch does
+    nothing. ``order`` names the columns that decide which copy of a record
+    comes first. A ``dry_run`` counts all stages and writes nothing but what is
+    removed at the end. Returns the metrics, empty for an empty batch.
     """
-    if raw.isEmpty():
+    spark, started = raw.sparkSession, time.monotonic()
+    checked = FLIGHT_CONTRACT.check(normalise_flights(located(raw)))
+    with staged(checked, database_of(sink.silver)) as reports:
+        if reports.isEmpty():
+            return {}
+        valid = FLIGHT_CONTRACT.typed(reports)
+        rows = enrich(tag_flights(valid), weather_now(spark, weather, batch_id), keys, order)
+        with staged(rows, database_of(sink.silver)) as silver:
+            added = 0
+            if not dry_run:
+                added = insert_ignore(spark, sink.silver, silver, order or ("ingested_at",), stored=True)
+                refresh_touched(spark, sink.silver, sink.gold, silver)
+                _store_rejected(spark, reports, sink, run_id, batch_id)
+            observed = silver.filter(F.col("weather_recorded_at").isNotNull())
+            n_raw, n_valid = reports.count(), silver.count()
+            metrics = {
+                "raw_flights": n_raw,
+                "valid_flights": n_valid,
+                "unique_weather_grids": silver.select("geohash").distinct().count(),
+                "weather_observations": observed.select("geohash", "weather_recorded_at").distinct().count(),
+                "silver_records_produced": n_valid,
+                "records_committed": added,
+                "quarantined_flights": n_raw - n_valid,
+                "status": "SUCCESS",
+                "run_id": run_id,
+                "iteration_id": batch_id,
+                "duration_seconds": round(time.monotonic() - started, 3),
+                "run_date": dt.datetime.now(dt.timezone.utc).date(),
+            }
+            if not dry_run and _of_batch(spark, sink.metrics, run_id, batch_id).isEmpty():
+                write_table(spark.createDataFrame([metrics], METRICS.schema), sink.metrics, METRICS)
+            return metrics
+
+
+def _store_rejected(spark: SparkSession, reports: DataFrame, sink: Sink, run_id: str, batch_id: int) -> None:
+    """Rejected reports with their reasons, once per run and iteration."""
+    if not _of_batch(spark, sink.quarantine, run_id, batch_id).isEmpty():
         return
-    spark = raw.sparkSession
-    staged = materialise(silver_rows(raw, weather, keys, keep=order), "staged")
-    days = days_of(staged)
-    added = insert_ignore(spark, sink.silver, staged, order or ("ingested_at",), staged=True, days=days)
-    refresh_touched_days(spark, sink, days)
-    observed = staged.filter(F.col("weather_recorded_at").isNotNull())
-    metrics = run_metrics(
-        located(raw), staged, observed.select("geohash", "weather_recorded_at").distinct(), staged, added
+    rejected = reports.filter(F.size("rejection_reasons") > 0)
+    named = rejected.withColumns(
+        {
+            "rejection_reasons": F.array_join("rejection_reasons", ","),
+            "run_id": F.lit(run_id),
+            "iteration_id": F.lit(batch_id).cast("bigint"),
+            "run_date": F.current_date(),
+        }
     )
-    overwrite_days(metrics.withColumn("batch_id", F.lit(batch_id).cast("bigint")), sink.metrics, METRICS)
+    write_table(named, sink.quarantine, QUARANTINE)
 
 
 def run_stream(
     reports: DataFrame,
-    weather: DataFrame,
+    weather: Weather,
     sink: Sink,
     checkpoint: str,
     once: bool = True,
     interval: int = POLL_SECONDS,
     order: tuple[str, ...] = (),
+    run_id: str | None = None,
+    dry_run: bool = False,
 ) -> StreamingQuery:
-    """The whole pipeline on a stream of raw reports."""
+    """The whole pipeline on a stream of raw reports.
+
+    A ``run_id`` names the metrics of one checkpoint; by default it is the
+    checkpoint's folder, so that a restart goes on with the same run.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, weather, sink, order=order)
+        process_batch(batch, batch_id, weather, sink, order=order, run_id=run_id or checkpoint, dry_run=dry_run)
 
     return start(reports.writeStream.foreachBatch(handle), checkpoint, once, interval)
 
 
+def reports_of(payloads: DataFrame) -> DataFrame:
+    """Raw reports of a stream (or table) of response texts."""
+    return parse_state_payload(payloads)
+
+
 # --- continuous operators ---------------------------------------------------------
-def dedupe_stream(flights: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """First report of every record id; ids are remembered for the watermark's delay."""
-    timed = flights.withColumn("event_time", F.timestamp_seconds("time_position"))
-    return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark([KEY])
+def dedupe_stream(
+    silver: DataFrame, table: str, checkpoint: str, order: tuple[str, ...] = ("ingested_at",), once: bool = True
+) -> StreamingQuery:
+    """First report of every record id, appended to ``table``; the table remembers the ids for good."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        insert_ignore(batch.sparkSession, table, batch, order)
+
+    return start(silver.writeStream.foreachBatch(handle), checkpoint, once)
 
 
 def enrich_stream(
@@ -126,20 +225,22 @@ def enrich_stream(
     return enrich(flights, weather, keys)
 
 
-def gold_stream(silver: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """The matrix as closed hours of a stream of enriched rows.
+def gold_stream(
+    silver: DataFrame, sink: Sink, checkpoint: str, order: tuple[str, ...] = ("ingested_at",), once: bool = True
+) -> StreamingQuery:
+    """The matrix of a stream of enriched rows, open hours and late rows included.
 
-    Two chained windows: the first keeps one state row per aircraft, the second
-    counts them. The distinct count is exact and no state row grows with the
-    traffic of its cell, as a collected set of aircraft would.
+    Each micro-batch stores its new rows and rebuilds the hours and cells they
+    fall into, so a replayed batch changes nothing and counts stay exact.
     """
-    timed = silver.withWatermark("weather_recorded_at", delay)
-    aircraft = per_aircraft(gold_eligible(timed), F.window("weather_recorded_at", "1 hour").alias("hour"))
-    hour = F.window(F.window_time("hour"), "1 hour")
-    rest = [c for c in GROUP if c != "window_start"]
-    folded = aircraft.groupBy(hour.alias("closed"), *rest).agg(*fold_aircraft())
-    windowed = folded.withColumns({"window_start": F.col("closed.start"), "window_end": F.col("closed.end")})
-    return finish_gold(windowed, F.current_timestamp())
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        with staged(batch, database_of(sink.silver)) as rows:
+            insert_ignore(spark, sink.silver, rows, order, stored=True)
+            refresh_touched(spark, sink.silver, sink.gold, rows)
+
+    return start(silver.writeStream.foreachBatch(handle), checkpoint, once)
 
 
 def alerts_stream(silver: DataFrame, min_risk: float = IMPACT_RISK) -> DataFrame:

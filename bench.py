@@ -63,7 +63,7 @@ def on_stored_tables(spark) -> dict:
         "stored_gold_one_day": lambda: gold.gold_matrix(spark.table(silver), fx.FLAGSHIP_DAY),
         "stored_hourly_trends": lambda: reports.hourly_trends(spark.table(matrix), fx.AS_OF),
         "stored_latest_silver": lambda: reports.latest_silver(spark.table(silver)),
-        "stored_upsert_gold": lambda: maintenance.upsert_gold(spark, matrix, delta, staged=True),
+        "stored_upsert_gold": lambda: maintenance.upsert_gold(spark, matrix, delta, stored=True),
     }
 
 

@@ -1,6 +1,8 @@
+import datetime as dt
 import random
 from collections import Counter
 
+import pytest
 from helpers import STAMP, flight, plan, rows_of
 from pyspark.sql import functions as F
 
@@ -8,8 +10,8 @@ from aerocell.operators import enrich
 from aerocell.schemas import FLIGHT_SCHEMA, SILVER_SCHEMA, WEATHER_SCHEMA
 
 STORM = {
-    "geohash": "dr5r", "weather_recorded_at": STAMP, "temperature_c": 20.0, "precipitation_mm": 2.5,
-    "wind_gusts_mps": 18.0, "cloud_cover_pct": 80.0,
+    "geohash": "gc7x", "weather_recorded_at": STAMP, "temperature_c": 11.5, "precipitation_mm": 1.4,
+    "wind_gusts_mps": 12.0, "cloud_cover_pct": 65.0,
 }
 
 
@@ -18,10 +20,11 @@ def tagged(spark, rows):
 
 
 def test_scores_reports_with_the_weather_of_their_cell(spark):
-    flights = tagged(spark, [flight(latitude=40.7128, longitude=-74.006), flight(latitude=51.47, longitude=-0.4543)])
+    flights = tagged(spark, [flight(), flight(latitude=-33.95, longitude=151.18)])
     rows = enrich.enrich(flights, rows_of(spark, WEATHER_SCHEMA, [STORM])).orderBy("geohash").collect()
-    assert [r["geohash"] for r in rows] == ["dr5r", "gcps"]
-    assert rows[0]["convective_risk_score"] == 80.5 and rows[0]["temperature_c"] == 20.0
+    assert [r["geohash"] for r in rows] == ["gc7x", "r3gw"]
+    # 1.4 * 15 + 12 * 1.5 + 65 * 0.2
+    assert rows[0]["convective_risk_score"] == 52.0 and rows[0]["temperature_c"] == 11.5
     # No weather: the report stays, with nulls and no risk.
     assert rows[1]["convective_risk_score"] == 0.0 and rows[1]["temperature_c"] is None
     assert rows[0].asDict().keys() == set(SILVER_SCHEMA.names)
@@ -33,11 +36,24 @@ def test_no_weather_at_all(spark):
     assert [r["convective_risk_score"] for r in rows] == [0.0, 0.0]
 
 
-def test_single_cycle_lookup_is_broadcast_and_never_multiplies(spark):
-    flights = tagged(spark, [flight(latitude=40.7128, longitude=-74.006)])
-    joined = enrich.enrich(flights, rows_of(spark, WEATHER_SCHEMA, [STORM, STORM]))
-    assert joined.count() == 1
-    assert "BroadcastHashJoin" in plan(joined)
+@pytest.mark.parametrize("precision", [3, 4, 5, 8])
+@pytest.mark.parametrize("keys", [("geohash",), ("cycle_id", "geohash")])
+def test_last_observation_counts_whatever_the_key(spark, precision, keys):
+    flights = enrich.tag_flights(rows_of(spark, FLIGHT_SCHEMA, [flight()]), precision)
+    cell, cycle = flights.select("geohash", "cycle_id").first()
+    earlier = {"weather_recorded_at": STAMP - dt.timedelta(hours=1), "temperature_c": 30.0}
+    nan = {"wind_gusts_mps": float("nan")}
+    readings = [{**STORM, **change, "geohash": cell} for change in ({}, {}, earlier, {**earlier, **nan})]
+    weather = rows_of(spark, WEATHER_SCHEMA, readings).withColumn("cycle_id", F.lit(cycle))
+    (row,) = enrich.enrich(flights, weather, keys).collect()
+    assert row["temperature_c"] == 11.5 and row["convective_risk_score"] == 52.0
+
+
+def test_nan_weather_is_no_weather(spark):
+    flights = tagged(spark, [flight()])
+    weather = rows_of(spark, WEATHER_SCHEMA, [{**STORM, "wind_gusts_mps": float("nan")}])
+    (row,) = enrich.enrich(flights, weather).collect()
+    assert row["wind_gusts_mps"] is None and row["convective_risk_score"] == 34.0
 
 
 def test_hot_cell_is_split_by_the_join(spark):

@@ -8,11 +8,11 @@ from aerocell.operators import gold, maintenance, reports
 from aerocell.schemas import GOLD_KEYS, GOLD_SCHEMA, SILVER
 from aerocell.sources import tables
 
-DAY = dt.date(2026, 10, 8)
+DAY = dt.date(2027, 5, 19)
 
 
 def at(hour, minute=0, day=8):
-    return dt.datetime(2026, 10, day, hour, minute, tzinfo=UTC)
+    return dt.datetime(2027, 5, day, hour, minute, tzinfo=UTC)
 
 
 STORM = dict(
@@ -50,7 +50,7 @@ def test_matrix_equals_brute_force_with_a_hot_cell(spark):
                 icao24=f"a{rng.randrange(40)}",
                 # A third of the reports in one cell.
                 geohash="dr5r" if n % 3 == 0 else rng.choice(["dr72", "gcps", "u09t"]),
-                recorded_date=dt.date(2026, 10, rng.choice([7, 8])),
+                recorded_date=dt.date(2027, 5, rng.choice([7, 8])),
                 weather_recorded_at=rng.choice([None, at(rng.randrange(24), rng.randrange(60))]),
                 velocity_mps=rng.choice([None, round(rng.uniform(50, 300), 2)]),
                 baro_altitude_m=rng.choice([None, 2999.0, 3000.0, 9000.0]),
@@ -89,12 +89,12 @@ def test_matrix_equals_brute_force_with_a_hot_cell(spark):
 
 
 def test_days_prune_partitions(spark, database):
-    rows = [silver_row(n, recorded_date=dt.date(2026, 10, 1 + n % 10)) for n in range(40)]
+    rows = [silver_row(n, recorded_date=dt.date(2027, 5, 1 + n % 10)) for n in range(40)]
     tables.write_table(silver_of(spark, rows), f"{database}.silver", SILVER)
-    matrix = gold.gold_matrix(spark.table(f"{database}.silver"), [DAY, dt.date(2026, 10, 9)])
+    matrix = gold.gold_matrix(spark.table(f"{database}.silver"), [DAY, dt.date(2027, 5, 20)])
     text = plan(matrix)
     filters = next(line for line in text.splitlines() if "PartitionFilters" in line)
-    assert "recorded_date" in filters and "2026-10-08" in filters
+    assert "recorded_date" in filters and "2027-05-19" in filters
     columns = next(line for line in text.splitlines() if "ReadSchema" in line)
     assert "callsign" not in columns and "squawk" not in columns
 
@@ -105,9 +105,9 @@ def _gold(spark, table):
 
 def test_upsert_replaces_inserts_and_keeps_stale_keys(spark, database):
     silver, target = f"{database}.silver", f"{database}.gold"
-    first = [silver_row(1, velocity_mps=100.0), silver_row(2, geohash="gcps", recorded_date=dt.date(2026, 10, 7))]
+    first = [silver_row(1, velocity_mps=100.0), silver_row(2, geohash="gcps", recorded_date=dt.date(2027, 5, 7))]
     tables.write_table(silver_of(spark, first), silver, SILVER)
-    assert maintenance.refresh_gold(spark, silver, target, [DAY, dt.date(2026, 10, 7)]) == 2
+    assert maintenance.refresh_gold(spark, silver, target, [DAY, dt.date(2027, 5, 7)]) == 2
     before = _gold(spark, target)
     # The cell turns stormy and a second aircraft appears: a new key, the old one stays.
     delta = gold.gold_matrix(silver_of(spark, [silver_row(3, velocity_mps=150.0, **STORM), silver_row(4, velocity_mps=120.0)]))

@@ -6,7 +6,7 @@ from aerocell.operators import maintenance
 from aerocell.schemas import SILVER
 from aerocell.sources import tables
 
-OCT = [dt.date(2026, 10, d) for d in range(32) if d]
+MAY = [dt.date(2027, 5, d) for d in range(32) if d]
 
 
 def ids(spark, table):
@@ -46,35 +46,35 @@ def test_only_the_days_of_the_batch_are_read(spark, database):
     from aerocell.operators.gold import on_days
 
     table = f"{database}.silver"
-    tables.write_table(silver_of(spark, [silver_row(n, recorded_date=OCT[n]) for n in range(20)]), table, SILVER)
-    read = on_days(spark.table(table), [OCT[3], OCT[4]])
+    tables.write_table(silver_of(spark, [silver_row(n, recorded_date=MAY[n]) for n in range(20)]), table, SILVER)
+    read = on_days(spark.table(table), [MAY[3], MAY[4]])
     assert read.count() == 2
     assert "PartitionFilters: [recorded_date" in plan(read)
 
 
 def test_delete_partition_counts_and_frees_one_day(spark, database):
     table = f"{database}.silver"
-    tables.write_table(silver_of(spark, [silver_row(n, recorded_date=OCT[n % 3]) for n in range(30)]), table, SILVER)
-    assert maintenance.delete_partition(spark, table, OCT[1]) == 10
-    assert maintenance.delete_partition(spark, table, OCT[1]) == 0
+    tables.write_table(silver_of(spark, [silver_row(n, recorded_date=MAY[n % 3]) for n in range(30)]), table, SILVER)
+    assert maintenance.delete_partition(spark, table, MAY[1]) == 10
+    assert maintenance.delete_partition(spark, table, MAY[1]) == 0
     assert spark.table(table).count() == 20 and len(ids(spark, table)) == 20
 
 
 def test_overwrite_days_leaves_other_days(spark, database):
     table = f"{database}.silver"
-    tables.write_table(silver_of(spark, [silver_row(n, recorded_date=OCT[n % 3]) for n in range(30)]), table, SILVER)
-    tables.overwrite_days(silver_of(spark, [silver_row(99, recorded_date=OCT[0])]), table, SILVER)
+    tables.write_table(silver_of(spark, [silver_row(n, recorded_date=MAY[n % 3]) for n in range(30)]), table, SILVER)
+    tables.overwrite_days(silver_of(spark, [silver_row(99, recorded_date=MAY[0])]), table, SILVER)
     counts = {r["recorded_date"]: r["count"] for r in spark.table(table).groupBy("recorded_date").count().collect()}
-    assert counts == {OCT[0]: 1, OCT[1]: 10, OCT[2]: 10}
+    assert counts == {MAY[0]: 1, MAY[1]: 10, MAY[2]: 10}
 
 
 def test_expired_days(spark, database):
     table = f"{database}.silver"
-    tables.write_table(silver_of(spark, [silver_row(n, recorded_date=OCT[n]) for n in range(20)]), table, SILVER)
-    as_of = OCT[14]
+    tables.write_table(silver_of(spark, [silver_row(n, recorded_date=MAY[n]) for n in range(20)]), table, SILVER)
+    as_of = MAY[14]
     due = maintenance.expired_partitions(spark, table, as_of).orderBy("recorded_date").collect()
-    assert [r[0] for r in due] == OCT[:8]
+    assert [r[0] for r in due] == MAY[:8]
     exact = maintenance.expired_partitions(spark, table, as_of, exact=True).collect()
-    assert [r[0] for r in exact] == [OCT[7]]
+    assert [r[0] for r in exact] == [MAY[7]]
     stored = maintenance.expired_days(spark.table(table), as_of)
     assert stored.count() == 8

@@ -14,7 +14,7 @@ from helpers import plan  # noqa: E402
 # Queries of the optional training-data package have tests of their own.
 QUERIES = {n: q for n, q in spark_entry.queries().items() if n in spark_entry.catalog.QUERIES}
 SQL = {n: s for n, s in spark_entry.oracle_sql().items() if n in QUERIES}
-ROWS_ONLY = {"s10_file_digests"}
+ROWS_ONLY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -33,11 +33,6 @@ def test_query_equals_sql(spark, duck, sf, name):
     assert canonical(got) == canonical(expected)
 
 
-def test_file_digests(spark, sf):
-    row = QUERIES["s10_file_digests"](spark, sf).first()
-    assert len(row["sha256_checksum"]) == 64 and row["length"] > 0
-
-
 def test_flagship(spark):
     df = spark_entry.entry(spark)
     assert df.count() > 0 and "velocity_deficit_pct" in df.columns
@@ -57,3 +52,16 @@ def test_scans_read_only_needed_columns(spark, sf):
     text = plan(QUERIES["p01_norm_icao24"](spark, sf))
     schema = next(line for line in text.splitlines() if "ReadSchema" in line)
     assert "event_id" in schema and "props" not in schema and "value" not in schema
+
+
+@pytest.mark.parametrize("name", ["f06_last_days", "f09_today", "f04_gold_eligible", "t01_latest_silver_nulls_first"])
+def test_day_filter_goes_below_the_exchange(spark, sf, name):
+    """Only the wanted days are hashed and sorted by record id."""
+    text = plan(QUERIES[name](spark, sf), "simple")
+    above = text[: text.index("WindowGroupLimit")]
+    assert all("recorded_date" not in line for line in above.splitlines() if "Filter" in line)
+
+
+@pytest.mark.parametrize("name, scans", [("f01_flight_contract", 1), ("s02_bounding_box", 1), ("a07_run_metrics", 2)])
+def test_tables_are_read_once(spark, sf, name, scans):
+    assert plan(QUERIES[name](spark, sf), "simple").count("FileScan") == scans

@@ -14,9 +14,9 @@ from aerocell.sources import archive, payloads, tables
 
 def vector(**changes):
     base = dict(
-        icao24=" A1B2C3", callsign="UAL1  ", country="Canada", time=100, contact=101, lon=-73.9, lat=40.7,
-        alt=10500.0, ground=False, speed=240.5, track=90.0, rate=0.0, sensors=[1, 2], geo=10600.0, squawk="1200",
-        spi=False, source=0,
+        icao24=" 4CA9D1", callsign="EIN4K  ", country="Ireland", time=100, contact=103, lon=-6.1, lat=53.5,
+        alt=8230.0, ground=False, speed=198.3, track=271.0, rate=-2.6, sensors=[7], geo=8410.0, squawk="6315",
+        spi=False, source=2,
     )
     base.update(changes)
     return list(base.values())
@@ -32,7 +32,7 @@ def test_state_payload_keeps_usable_vectors(spark):
     rows = parse(spark, document).collect()
     assert len(rows) == 2
     first = next(r for r in rows if r["time_position"] == 100)
-    assert (first["icao24"], first["callsign"], first["geo_altitude_m"]) == ("a1b2c3", "UAL1", 10600.0)
+    assert (first["icao24"], first["callsign"], first["geo_altitude_m"]) == ("4ca9d1", "EIN4K", 8410.0)
     late = next(r for r in rows if r["time_position"] == 500)
     assert late["last_contact"] == 500
 
@@ -53,10 +53,10 @@ def test_unreadable_fields_are_named(spark):
 
 
 def test_weather_payload_pairs_by_position(spark):
-    current = {"time": "2026-10-08T16:00", "temperature_2m": 18.5, "relative_humidity_2m": 65, "visibility": 9000}
+    current = {"time": "2027-05-19T16:00", "temperature_2m": 18.5, "relative_humidity_2m": 65, "visibility": 9000}
     data = [
         (json.dumps([{"current": current}, {"current": {}}, {"current": current}]), ["dr5r", "dr72"]),
-        (json.dumps({"current": {**current, "time": "2026-10-08T16:00+05:00"}}), ["gcps"]),
+        (json.dumps({"current": {**current, "time": "2027-05-19T16:00+05:00"}}), ["gcps"]),
         (json.dumps([{}]), ["u0"]),
         ("[]", ["u1"]),
         ("oops", ["u2"]),
@@ -65,7 +65,7 @@ def test_weather_payload_pairs_by_position(spark):
     now = dt.datetime(2030, 1, 1, tzinfo=UTC)
     rows = {r["geohash"]: r for r in payloads.parse_weather_payload(df, now=F.lit(now)).collect()}
     assert set(rows) == {"dr5r", "dr72", "gcps", "u0"}
-    sixteen = dt.datetime(2026, 10, 8, 16)
+    sixteen = dt.datetime(2027, 5, 19, 16)
     assert rows["dr5r"]["weather_recorded_at"] == sixteen and rows["dr5r"]["relative_humidity_pct"] == 65.0
     assert rows["gcps"]["weather_recorded_at"] == sixteen
     assert rows["dr72"]["weather_recorded_at"] == rows["u0"]["weather_recorded_at"] == now.replace(tzinfo=None)
@@ -119,7 +119,7 @@ def test_box_implies_a_range_of_codes_at_the_scan(spark, database):
 def test_json_append_keeps_duplicates_and_drops_unknown_fields(spark, database):
     path, table = shared_dir(spark), f"{database}.silver"
     os.makedirs(path)
-    record = {**silver_row(1), "ingested_at": "2026-10-08T16:00:00Z", "recorded_date": "2026-10-08", "extra": 1}
+    record = {**silver_row(1), "ingested_at": "2027-05-19T16:00:00Z", "recorded_date": "2027-05-19", "extra": 1}
     record["weather_recorded_at"] = None
     with open(f"{path}/a.json", "w") as out:
         out.write(json.dumps(record) + "\n" + json.dumps(record) + "\n")
@@ -134,13 +134,13 @@ def test_json_append_keeps_duplicates_and_drops_unknown_fields(spark, database):
 
 
 def test_partition_read_scans_one_day(spark, database):
-    days = [dt.date(2026, 10, d) for d in (7, 8, 9)]
+    days = [dt.date(2027, 5, d) for d in (7, 8, 9)]
     rows = [silver_row(n, recorded_date=days[n % 3]) for n in range(30)]
     tables.write_table(silver_of(spark, rows), f"{database}.silver", SILVER)
     df = tables.read_partition(spark, f"{database}.silver", days[1])
     assert df.count() == 10
     text = plan(df)
-    assert "PartitionFilters: [isnotnull(recorded_date" in text and "2026-10-08" in text
+    assert "PartitionFilters: [isnotnull(recorded_date" in text and "2027-05-08" in text
     assert [r[0] for r in tables.partition_days(spark, f"{database}.silver").orderBy("recorded_date").collect()] == days
 
 
@@ -151,7 +151,7 @@ def test_layout_sorts_each_file_and_splits_a_hot_day(spark):
             value = F.substring(F.sha2("flight_record_id", 256), 1, 4)
         elif field.name == "recorded_date":
             # Nearly everything on one day.
-            value = F.when(F.rand(1) < 0.95, F.lit(dt.date(2026, 10, 8))).otherwise(F.lit(dt.date(2026, 10, 9)))
+            value = F.when(F.rand(1) < 0.95, F.lit(dt.date(2027, 5, 19))).otherwise(F.lit(dt.date(2027, 5, 20)))
         elif field.name == "flight_record_id":
             continue
         else:
