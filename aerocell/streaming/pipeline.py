@@ -22,7 +22,7 @@ from aerocell.operators.enrich import enrich, tag_flights
 from aerocell.operators.maintenance import database_of, insert_ignore, refresh_touched
 from aerocell.operators.reports import METRIC_NAMES, hazard_alerts
 from aerocell.plans.pipeline import checked_flights, located
-from aerocell.schemas import FLIGHT_SCHEMA, IMPACT_RISK, POLL_SECONDS, TableSpec
+from aerocell.schemas import FLIGHT_SCHEMA, IMPACT_RISK, POLL_SECONDS, SILVER, TableSpec
 from aerocell.session import staged
 from aerocell.sources.payloads import normalise_flights, parse_state_payload
 from aerocell.sources.tables import create_table, write_table
@@ -134,7 +134,8 @@ def process_batch(
         if reports.isEmpty():
             return {}
         valid = FLIGHT_CONTRACT.typed(reports)
-        rows = enrich(tag_flights(valid), weather_now(spark, weather, batch_id), keys, order)
+        keep = tuple(c for c in order if c not in SILVER.columns)
+        rows = enrich(tag_flights(valid), weather_now(spark, weather, batch_id), keys, keep)
         with staged(rows, database_of(sink.silver)) as silver:
             added = 0
             if not dry_run:
