@@ -124,13 +124,18 @@ def edited_texts(docs: DataFrame) -> DataFrame:
         .select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("_to"), "_take")
         .join(facts.select("doc_id", "_lends", "_rows"), "doc_id")
     )
-    lent = rows.join(lends, "doc_id").filter(F.col("_text") == F.col("_lends"))
-    lent = lent.select(F.col("_to").alias("doc_id"), F.left("text", F.col("_take")).alias("_head"), "_rows")
+    # Both joins take the same rows with the same columns, so that Spark deals out the texts once.
+    named = rows.filter(F.col("doc_id").isNotNull())
+    # Written as a difference, the second condition does not become a second key of the join.
+    lent = named.join(lends, "doc_id").filter(F.col("_text").bitwiseXOR(F.col("_lends")) == 0)
+    lent = lent.select(F.col("_to").alias("doc_id"), F.left("text", F.least("_take", "_n")).alias("_head"), "_rows")
     # Rows repeated under one id lend the same text; one of them is enough.
     heads = lent.filter("_rows = 1").select("doc_id", "_head").union(
         lent.filter("_rows > 1").groupBy("doc_id").agg(F.first("_head").alias("_head"))
     )
-    joined = rows.join(heads, "doc_id", "left")
+    joined = named.join(heads, "doc_id", "left")
+    nameless = rows.filter(F.col("doc_id").isNull()).withColumn("_head", F.lit(None).cast("string"))
+    joined = joined.union(nameless)
     kept = F.left("text", F.col("_n") - half)
     edited = F.concat(kept, F.coalesce(F.left("_head", half), F.lit("")))
     return joined.select("doc_id", "text", F.col("_n").cast("long").alias("n_chars"), edited.alias("edited"), "_text")
