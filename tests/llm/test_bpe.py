@@ -41,18 +41,22 @@ def test_query_equals_tiktoken(spark, tmp_path, exact):
         assert rows[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest() and rows[i].whole
 
 
+@pytest.fixture(scope="module")
+def tokenizer():
+    return bpe.load(VOCABULARY, PATTERN)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text())
-def test_any_text(exact, text):
-    tokenizer = bpe.load(VOCABULARY, PATTERN)
+def test_any_text(exact, tokenizer, text):
     (packed,) = tokenizer.encode_packed([text])
     ids = list(struct.unpack(f"<{len(packed) // 4}I", packed))
     assert ids == exact.encode_ordinary(text) and tokenizer.decode(ids) == text.encode()
 
 
-def test_table_that_starts_anew(exact, monkeypatch):
+def test_table_that_starts_anew(exact, tokenizer, monkeypatch):
     monkeypatch.setattr(bpe, "CACHED_MATCHES", 50)
-    tokenizer = bpe.load(VOCABULARY, PATTERN)
+    monkeypatch.setattr(tokenizer, "known", {})
     texts = [prose(i, 60) for i in range(20)]
     for text in texts + texts:
         (packed,) = tokenizer.encode_packed([text])
