@@ -7,26 +7,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerocell.llm.components import components
+from aerocell.llm.bands import BANDS, ROWS, band_members, bounded, largest_hash, linked, signatures
 from aerocell.session import materialise
 
 SHINGLE = 7
 SIMILARITY = 0.8
-# At similarity 0.8 a pair shares a band with probability 1 - (1 - 0.8^3)^10 = 0.9992.
-BANDS = 10
-ROWS = 3
-# Minima are taken in 2^5 parts of the hash range, one per permutation.
-_PREFIX_BITS = 5
-_REST = 64 - _PREFIX_BITS
-# Hashes kept per part: a part of a long line is empty with probability e^-7.
-_PER_PART = 7
-# Sides up to this many rows (of some 50 bytes) are broadcast, larger ones shuffled.
-BROADCAST_ROWS = 500_000
 
 # Parts of the sketch that rules out pairs; a power of two.
 SKETCH = 64
-# Lines more frequent than this rank alike.
-_RANKED = (1 << 22) - 1
 
 _WIDTH = 4  # bytes of a character in UTF-32
 
@@ -52,51 +40,14 @@ def _shingle(encoded: Column, place: Column, size: int) -> Column:
 
 
 def _signatures(lines: DataFrame, size: int, minima: int) -> DataFrame:
-    """``node, n, m0...``: the number of such lines, and the least hash under each permutation.
-
-    Permutation k flips the leading bits of a hash so that part k of the range
-    comes first; when a line has none there, the next part by the flipped bits
-    decides. Hashes too large to be the least of their part are left out before
-    the sums: on average ``_PER_PART`` of each part stay.
-    """
-    parts = 1 << _PREFIX_BITS
+    """``node, n, m0...``: the number of such lines, and the least hash under each permutation."""
     encoded = lines.select("node", _encoded(F.col("_line")).alias("_bytes"))
     counted = encoded.select("*", _n_shingles(F.col("_bytes"), size).alias("_n"))
-    share = F.least(F.lit(1.0), F.lit(float(_PER_PART * parts)) / F.col("_n"))
-    bounded = counted.select("*", (share * float((1 << _REST) - 1024)).cast("long").alias("_most"))
     # Place -1 stands for the line itself, to count it.
     places = F.explode_outer(F.sequence(F.lit(-1), F.col("_n") - 1)).alias("_at")
-    each = bounded.select("node", "_bytes", "_most", places)
+    each = counted.select("node", "_bytes", largest_hash(F.col("_n")).alias("_most"), places)
     shingle = F.when(F.col("_at") >= 0, _shingle(F.col("_bytes"), F.col("_at"), size))
-    hashed = each.select("node", "_most", shingle.alias("_h"))
-    small = hashed.filter(F.col("_h").isNull() | (F.col("_h").bitwiseAND(F.lit((1 << _REST) - 1)) <= F.col("_most")))
-    flips = [k << _REST for k in range(minima)]
-    least = [F.min(F.col("_h").bitwiseXOR(F.lit(f - (1 << 64) if f >> 63 else f))).alias(f"m{k}") for k, f in enumerate(flips)]
-    return small.groupBy("node").agg(F.count_if(F.col("_h").isNull()).alias("n"), *least)
-
-
-def _bounded(df: DataFrame) -> DataFrame:
-    """``df``, a written table, to be broadcast if it is small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
-def _buckets(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """``_key, node, rep``: the lines of every band that has several, and the most frequent of them.
-
-    Counted before the shuffle, so a band that a third of all lines share
-    arrives as a few rows; its members are then found by a join that Spark can
-    split. The most frequent line is likely the one the others are copies of.
-    """
-    signed = _signatures(lines, size, bands * rows)
-    keys = [F.xxhash64(F.lit(b), *(F.col(f"m{b * rows + i}") for i in range(rows))) for b in range(bands)]
-    spread = materialise(signed.select("node", "n", F.explode(F.array(*keys)).alias("_key")), "bands")
-    # Frequent first, then by hash: one number, so that the sums stay in fixed-width rows.
-    rank = F.shiftleft(-F.least(F.col("n"), F.lit(_RANKED)), 40) + F.col("node").bitwiseAND(F.lit((1 << 40) - 1))
-    shared = spread.groupBy("_key").agg(
-        F.min_by("node", rank).alias("rep"), F.min("node").alias("_low"), F.max("node").alias("_high")
-    )
-    shared = materialise(shared.filter("_low <> _high").select("_key", "rep"), "shared")
-    return materialise(spread.join(_bounded(shared), "_key").select("_key", "node", "rep"), "members")
+    return signatures(each.select("node", (F.col("_at") < 0).alias("_first"), "_most", shingle.alias("_h")), minima)
 
 
 def _sketched(texts: DataFrame, size: int) -> DataFrame:
@@ -161,21 +112,14 @@ def similar_lines(
 ) -> DataFrame:
     """``node, root`` of every distinct line that is similar to another one; lines of one root are connected.
 
-    Each line of a band is checked against the band's most frequent one. Where
-    that leaves a band in several components, the lines outside the main one
-    are checked against the lines of other components, so no verified link
-    between two components of a band is missed, yet a large group of near
-    copies is not compared pair by pair. Sketches rule out most pairs that are
-    far from similar before their shingles are compared.
+    The lines of a band are linked as ``linked`` says. Sketches rule out most
+    pairs that are far from similar before their shingles are compared.
     """
-    if bands * rows > 1 << _PREFIX_BITS:
-        raise ValueError("more minima than parts of the hash range")
     lines = _line_rows(docs)
-    members = _buckets(lines, size, bands, rows)
+    members = band_members(_signatures(lines, size, bands * rows), bands, rows)
     wanted = materialise(members.select("node").distinct(), "wanted")
-    found = lines.join(_bounded(wanted), "node").select("node", _encoded(F.col("_line")).alias("_bytes"))
+    found = lines.join(bounded(wanted), "node").select("node", _encoded(F.col("_line")).alias("_bytes"))
     texts = materialise(found.distinct(), "texts")
-    stars = members.filter("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
     sketches = materialise(_sketched(texts, size), "sketches")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -183,18 +127,7 @@ def similar_lines(
         scored = _scored(promising, texts, size)
         return materialise(scored.filter(F.col("score") >= similarity).select("a", "b"), "links")
 
-    links = verified(stars)
-    roots = materialise(components(links), "roots")
-    main = roots.select(F.col("node").alias("rep"), F.col("root").alias("_root"))
-    labelled = members.join(roots, "node", "left").join(main, "rep", "left")
-    label, own = F.coalesce("root", "node").alias("_label"), F.coalesce("_root", "rep").alias("_main")
-    labelled = materialise(labelled.select("_key", "node", "rep", label, own), "labelled")
-    apart = labelled.filter("_label <> _main").select("_key", F.col("node").alias("a"), F.col("_label").alias("_la"))
-    # The frequent line was compared already; two lines outside the main component meet once.
-    others = labelled.filter("node <> rep")
-    new = (F.col("_la") != F.col("_label")) & ((F.col("_label") == F.col("_main")) | (F.col("a") < F.col("node")))
-    more = verified(apart.join(others, "_key").filter(new).select("a", F.col("node").alias("b")))
-    return components(links.union(more)) if more.head(1) else roots
+    return linked(members, verified)
 
 
 def duplicate_lines(docs: DataFrame, **options) -> DataFrame:
@@ -217,7 +150,7 @@ def duplicate_lines(docs: DataFrame, **options) -> DataFrame:
     linked = labelled.join(kept, "root").select("node", "_kept")
     equal = firsts.filter("_n > 1").join(linked.select("node"), "node", "left_anti").select("node", F.col("_first").alias("_kept"))
     keepers = materialise(linked.union(equal), "keepers")
-    lost = placed.join(_bounded(keepers), "node").filter(~F.col("_place").eqNullSafe(F.col("_kept")))
+    lost = placed.join(bounded(keepers), "node").filter(~F.col("_place").eqNullSafe(F.col("_kept")))
     per_text = lost.groupBy(F.col("_place.doc_id").alias("doc_id"), F.col("_place._text").alias("_text")).agg(
         F.array_sort(F.collect_set("_place._no")).alias("dropped")
     )

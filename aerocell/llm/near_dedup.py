@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerocell.llm.bands import BANDS, ROWS, band_members, bounded, largest_hash, linked, signatures
 from aerocell.llm.components import components
 from aerocell.llm.votes import as_hex, ascii_lower, fingerprints, hamming, place_of_terms, words_of
 from aerocell.session import materialise
@@ -106,6 +107,80 @@ def _similar(links: DataFrame, texts: DataFrame, size: int, similarity: float) -
     return joined.filter(F.col("_both") >= similarity * (F.col("_na") + F.col("_nb") - F.col("_both"))).select("a", "b")
 
 
+def _sequences(docs: DataFrame) -> DataFrame:
+    """``doc_id, node, _words``: the words of every text; a node is the hash of their sequence."""
+    split = docs.select("doc_id", words_of(ascii_lower(F.col("text"))).alias("_words"))
+    return split.select("doc_id", F.xxhash64(F.concat_ws(" ", "_words")).alias("node"), "_words")
+
+
+def _shingle(words: str, place: Column, size: int) -> Column:
+    """Hash of the shingle at ``place``, from 1; fewer words are one shingle."""
+    return F.xxhash64(F.concat_ws(" ", *(F.get(words, place + (i - 1)) for i in range(size))))
+
+
+def _word_signatures(texts: DataFrame, size: int, minima: int) -> DataFrame:
+    """``node, n, m0...`` of the texts with words: see ``signatures``."""
+    placed = texts.select("node", "_words", place_of_terms(F.col("_words"), size).alias("_at")).filter("_at IS NOT NULL")
+    most = largest_hash(F.greatest(F.size("_words") - (size - 1), F.lit(1)))
+    hashed = placed.select(
+        "node", (F.col("_at") == 1).alias("_first"), most.alias("_most"), _shingle("_words", F.col("_at"), size).alias("_h")
+    )
+    return signatures(hashed, minima)
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The distinct pairs whose ``sets`` (``node, _n, _set``) have that Jaccard similarity.
+
+    Sets of too different sizes cannot have it; they are not moved.
+    """
+    sizes = sets.select("node", "_n")
+    sized = (
+        pairs.select("a", "b").distinct()
+        .join(sizes.select(F.col("node").alias("a"), F.col("_n").alias("_na")), "a")
+        .join(sizes.select(F.col("node").alias("b"), F.col("_n").alias("_nb")), "b")
+    )
+    fit = materialise(sized.filter(F.least("_na", "_nb") >= similarity * F.greatest("_na", "_nb")), "pairs")
+    one = sets.select(F.col("node").alias("a"), F.col("_set").alias("_one"))
+    two = sets.select(F.col("node").alias("b"), F.col("_set").alias("_two"))
+    both = F.size(F.array_intersect("_one", "_two")).alias("_both")
+    met = fit.join(one, "a").join(two, "b").select("a", "b", "_na", "_nb", both)
+    return met.filter(F.col("_both") >= similarity * (F.col("_na") + F.col("_nb") - F.col("_both"))).select("a", "b")
+
+
+def _similar_texts(docs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """``node, root`` of every word sequence that is similar to another one; those of one root are connected."""
+    texts = _sequences(docs)
+    members = band_members(_word_signatures(texts, size, BANDS * ROWS), BANDS, ROWS)
+    wanted = materialise(members.select("node").distinct(), "wanted")
+    found = texts.join(bounded(wanted), "node").select("node", "_words").distinct()
+    places = F.sequence(F.lit(1), F.greatest(F.size("_words") - (size - 1), F.lit(1)))
+    terms = F.array_distinct(F.transform(places, lambda i: _shingle("_words", i, size)))
+    sets = materialise(found.select("node", terms.alias("_set")), "sets").select("node", F.size("_set").alias("_n"), "_set")
+    return linked(members, lambda pairs: materialise(_alike(pairs, sets, similarity), "links"))
+
+
+def similar_documents(docs: DataFrame, similarity: float = 0.8, size: int = 5) -> DataFrame:
+    """``doc_id, node, component_id`` of every row of ``docs``, by the exact Jaccard similarity of shingles.
+
+    Texts are linked whose shingles of ``size`` words have that similarity;
+    ``component_id`` is the smallest ``doc_id`` that links reach. Candidates
+    share a band of minima of these shingles, whatever kind of edit parts them:
+    at 0.8 a pair does with a probability of 0.9992. Texts with the same words
+    in the same order are one ``node``; all texts without words are.
+    """
+    rows = materialise(_sequences(docs).select("doc_id", "node"), "nodes")
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("_least"))
+    return rows.join(_least_ids(_similar_texts(docs, size, similarity), nodes), "node")
+
+
+def _least_ids(rooted: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, component_id`` of all ``nodes`` (``node, _least``): the least id under a node's root."""
+    rooted = rooted.join(nodes, "node")
+    least = rooted.groupBy("root").agg(F.min("_least").alias("component_id"))
+    of_linked = rooted.join(least, "root").select("node", "component_id")
+    return nodes.join(of_linked, "node", "left").select("node", F.coalesce("component_id", "_least").alias("component_id"))
+
+
 def near_duplicates(
     docs: DataFrame,
     size: int = 3,
@@ -148,10 +223,7 @@ def near_duplicates(
         same = F.col("k.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("k._text") == F.col("c._text"))
         texts = keyed.dropDuplicates(["doc_id", "_text"]).alias("k").join(chosen.alias("c"), same)
         links = _similar(links, texts.select("node", "text"), similarity_words, similarity)
-    rooted = components(links).join(nodes, "node")
-    least = rooted.groupBy("root").agg(F.min("_least").alias("component_id"))
-    linked = rooted.join(least, "root").select("node", "component_id")
-    all_nodes = nodes.join(linked, "node", "left").select("node", F.coalesce("component_id", "_least").alias("component_id"))
+    all_nodes = _least_ids(components(links), nodes)
     shown = F.concat(*(as_hex(F.col(n)) for n in names)).alias("fingerprint")
     rows = prints.alias("a").select("doc_id", "n_rows", shown, _node(names, "a").alias("node")).join(all_nodes, "node")
     out = rows.select("doc_id", "fingerprint", "component_id", "n_rows")
@@ -165,8 +237,13 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stand for their group of near duplicates, all columns as they were.
 
     Each component keeps the document whose id is the component's; of repeated
-    rows with that id all stay, as an id is taken to name one document.
+    rows with that id all stay, as an id is taken to name one document. With a
+    ``similarity`` groups are those of ``similar_documents``, without fingerprints.
     """
-    found = near_duplicates(docs, **options).select("doc_id", "component_id").distinct()
+    if options.get("similarity"):
+        found = similar_documents(docs, options["similarity"], options.get("similarity_words", 5))
+    else:
+        found = near_duplicates(docs, **options)
+    found = found.select("doc_id", "component_id").distinct()
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")

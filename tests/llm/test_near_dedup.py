@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -5,6 +6,7 @@ import pytest
 import xxhash
 from small import AWKWARD, docs_of, prose, saved
 
+import corpus_pipeline
 from aerocell.llm.components import components
 from aerocell.llm.near_dedup import near_duplicates, near_links, one_of_each
 from aerocell.llm.queries import QUERIES
@@ -128,3 +130,44 @@ def test_similarity_is_verified(spark):
     options = dict(size=1, words=2, parts=3, distinct_words=True, radius=11)
     assert len({r.component_id for r in near_duplicates(docs, **options).collect()}) == 1
     assert len({r.component_id for r in near_duplicates(docs, similarity=0.8, **options).collect()}) == 2
+
+
+def block_edited(text, seed, similarity, kind):
+    """``text`` with a new tail, without its tail or with a new block inside, at least as similar in five-word shingles."""
+    words, fresh = text.split(), [f"{seed}x{i}" for i in range(len(text.split()))]
+    n = len(words) - 4
+    if kind == "appended":
+        return " ".join(words + fresh[: int(n / similarity - n)])
+    if kind == "truncated":
+        return " ".join(words[: 4 + math.ceil(similarity * n)])
+    # k new words inside spoil k + 4 shingles on either side.
+    k = int(n * (1 - similarity) / (1 + similarity)) - 4
+    return " ".join(words[:60] + fresh[:k] + words[60 + k :])
+
+
+def word_shingles(text):
+    words = text.split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def test_block_edits_are_found(spark):
+    texts, seed = [], 0
+    for kind in ("appended", "truncated", "replaced"):
+        for similarity in (0.8, 0.85, 0.9, 0.95):
+            for _ in range(12):
+                seed += 1
+                base = prose(seed, 204, 20000)
+                texts += [base, block_edited(base, seed, similarity, kind)]
+                a, b = map(word_shingles, texts[-2:])
+                assert similarity <= len(a & b) / len(a | b) < similarity + 0.02
+    kept = one_of_each(docs_of(spark, texts), similarity=0.8, similarity_words=5)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, len(texts), 2))
+
+
+def test_stage_finds_block_edits(spark):
+    texts = []
+    for seed in range(40):
+        base = prose(seed, 404, 20000)
+        texts += [base, block_edited(base, seed, 0.8, "appended")]
+    kept = corpus_pipeline.near_dedup(spark, docs_of(spark, texts), "")
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 80, 2))
