@@ -3,8 +3,10 @@
 With ``s`` segments, two fingerprints that differ in at most ``2 s - 1`` bits
 have a segment in which they differ in at most one. So each segment is indexed
 as it is and once with every bit left out, and an equality join finds all pairs
-within that radius; the full distance is checked inside the join. Pairs further
-apart are found if some segment differs in at most one bit all the same.
+within that radius; the full distance is checked inside the join.
+
+Or, where a similarity is asked, by bands of minima of the shingles that it is
+measured on, and the exact similarity of the candidates.
 """
 
 from __future__ import annotations
@@ -85,32 +87,15 @@ def guaranteed(words: int, parts: int) -> int:
     return 2 * words * parts - 1
 
 
-def _similar(links: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The links whose texts share enough shingles of ``size`` words (exact Jaccard of the sets)."""
-    pairs = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = materialise(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    split = texts.join(wanted, "node", "left_semi").select("node", words_of(ascii_lower(F.col("text"))).alias("_words"))
-    placed = split.select("node", "_words", place_of_terms(F.col("_words"), size).alias("_at"))
-    term = F.xxhash64(F.concat_ws(" ", *(F.get("_words", F.col("_at") + (i - 1)) for i in range(size))))
-    terms = materialise(placed.select("node", F.when(F.col("_at").isNotNull(), term).alias("_h")).distinct(), "terms")
-    sizes = terms.groupBy("node").agg(F.count("_h").alias("_n"))
-    shared = (
-        pairs.join(terms.select(F.col("node").alias("a"), "_h"), "a")
-        .join(terms.select(F.col("node").alias("b"), "_h"), ["b", "_h"])
-        .groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("_both"))
-    )
-    joined = shared.join(sizes.select(F.col("node").alias("a"), F.col("_n").alias("_na")), "a").join(
-        sizes.select(F.col("node").alias("b"), F.col("_n").alias("_nb")), "b"
-    )
-    return joined.filter(F.col("_both") >= similarity * (F.col("_na") + F.col("_nb") - F.col("_both"))).select("a", "b")
-
-
 def _sequences(docs: DataFrame) -> DataFrame:
     """``doc_id, node, _words``: the words of every text; a node is the hash of their sequence."""
     split = docs.select("doc_id", words_of(ascii_lower(F.col("text"))).alias("_words"))
-    return split.select("doc_id", F.xxhash64(F.concat_ws(" ", "_words")).alias("node"), "_words")
+    return split.select("doc_id", _sequence(F.col("_words")).alias("node"), "_words")
+
+
+def _sequence(words: Column) -> Column:
+    """Hash of the words in their order."""
+    return F.xxhash64(F.concat_ws(" ", words))
 
 
 def _shingle(words: str, place: Column, size: int) -> Column:
@@ -196,36 +181,37 @@ def near_duplicates(
     The fingerprint (hexadecimal) is the unweighted SimHash of the shingles of
     ``size`` words, in ``words`` times 64 bits; documents at most ``radius`` bits
     apart are linked, and ``component_id`` is the smallest ``doc_id`` that links
-    reach. With ``similarity``, a link between different fingerprints also needs
-    that Jaccard similarity of the two texts' shingles of ``similarity_words``
-    words, and one fingerprint's documents are represented by the least id; the
-    radius may then go beyond the guaranteed one, where pairs are found with
-    high probability only.
-
-    Documents with one fingerprint are one node, so exact copies cost nothing.
-    Fewer words than a shingle make one shingle; texts without words (null
-    ones, too) have fingerprint 0 and are linked like any other. Repeated rows
-    give repeated rows. A null ``doc_id`` is a document, but never the smallest
-    id unless its component has no other. Other columns are ignored.
+    reach. With ``similarity``, links are those of ``similar_documents`` with
+    shingles of ``similarity_words`` words instead, whatever the fingerprints:
+    equal ones of different texts link nothing unseen, and no radius hides a pair.
+
+    Documents with one fingerprint, or with ``similarity`` with the same words in
+    the same order, are one node, so exact copies cost nothing. Fewer words than
+    a shingle make one shingle; texts without words (null ones, too) have
+    fingerprint 0 and are linked like any other. Repeated rows give repeated
+    rows. A null ``doc_id`` is a document, but never the smallest id unless its
+    component has no other. Other columns are ignored.
     """
     if not similarity and radius > guaranteed(words, parts):
         raise ValueError("this radius needs more segments")
     names = [f"f{i}" for i in range(words)]
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_text"))
-    prints = fingerprints(keyed, ["doc_id", "_text"], F.col("text"), size, words, distinct_words)
+    keys = ["doc_id", "_text"]
+    if similarity:
+        keyed, keys = keyed.withColumn("_sequence", _sequence(words_of(ascii_lower(F.col("text"))))), [*keys, "_sequence"]
+    prints = fingerprints(keyed, keys, F.col("text"), size, words, distinct_words)
     prints = materialise(prints, "fingerprints")
-    groups = prints.groupBy(*names).agg(F.min("doc_id").alias("_least"))
-    links = near_links(groups.select(*names), names, radius, parts)
-    nodes = groups.alias("a").select(_node(names, "a").alias("node"), "_least")
+    node = F.col("_sequence") if similarity else _node(names, "a")
     if similarity:
-        stands = prints.groupBy(*names).agg(F.min(F.struct("doc_id", "_text")).alias("_one"))
-        chosen = stands.alias("a").select(_node(names, "a").alias("node"), "_one.doc_id", "_one._text")
-        same = F.col("k.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("k._text") == F.col("c._text"))
-        texts = keyed.dropDuplicates(["doc_id", "_text"]).alias("k").join(chosen.alias("c"), same)
-        links = _similar(links, texts.select("node", "text"), similarity_words, similarity)
-    all_nodes = _least_ids(components(links), nodes)
+        nodes = prints.groupBy(node.alias("node")).agg(F.min("doc_id").alias("_least"))
+        rooted = _similar_texts(docs, similarity_words, similarity)
+    else:
+        groups = prints.groupBy(*names).agg(F.min("doc_id").alias("_least"))
+        nodes = groups.alias("a").select(node.alias("node"), "_least")
+        rooted = components(near_links(groups.select(*names), names, radius, parts))
+    all_nodes = _least_ids(rooted, nodes)
     shown = F.concat(*(as_hex(F.col(n)) for n in names)).alias("fingerprint")
-    rows = prints.alias("a").select("doc_id", "n_rows", shown, _node(names, "a").alias("node")).join(all_nodes, "node")
+    rows = prints.alias("a").select("doc_id", "n_rows", shown, node.alias("node")).join(all_nodes, "node")
     out = rows.select("doc_id", "fingerprint", "component_id", "n_rows")
     # Repeated rows were counted, not kept; few texts have any.
     many = out.filter("n_rows > 1").select("*", F.explode(F.sequence(F.lit(1).cast("long"), "n_rows")))

@@ -171,3 +171,25 @@ def test_stage_finds_block_edits(spark):
         texts += [base, block_edited(base, seed, 0.8, "appended")]
     kept = corpus_pipeline.near_dedup(spark, docs_of(spark, texts), "")
     assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 80, 2))
+
+
+def test_equal_word_sets_are_verified(spark):
+    words = prose(11, 200).split()
+    shifted = words[100:] + words[:100]
+    # The same word set throughout; the cyclic shift alone shares most shingles with the text.
+    texts = [" ".join(words), " ".join(words[::-1]), " ".join(shifted), "yes no no", "no yes", "NO  yes"]
+    options = dict(size=1, words=2, parts=3, distinct_words=True, radius=24, similarity=0.8)
+    rows = {r.doc_id: r for r in near_duplicates(docs_of(spark, texts), **options).collect()}
+    assert rows[0].fingerprint == rows[1].fingerprint and rows[3].fingerprint == rows[4].fingerprint
+    assert [rows[i].component_id for i in range(6)] == [0, 1, 0, 3, 4, 4]
+    kept = corpus_pipeline.near_dedup(spark, docs_of(spark, texts), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 3, 4]
+
+
+def test_any_member_of_a_word_set_links(spark):
+    # Texts 0 and 1 have one word set; only text 1, not the least id, is like text 2.
+    words = prose(12, 200).split()
+    texts = [" ".join(words[::-1]), " ".join(words), " ".join(words + ["more", "words"])]
+    options = dict(size=1, words=2, parts=3, distinct_words=True, radius=24, similarity=0.8)
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs_of(spark, texts), **options).collect()}
+    assert got == {0: 0, 1: 1, 2: 1}
