@@ -15,6 +15,8 @@ SIMILARITY = 0.8
 
 # Parts of the sketch that rules out pairs; a power of two.
 SKETCH = 64
+# Lines of fewer shingles have no sketch: its parts would hang together too closely.
+SKETCHED_FROM = 100
 
 _WIDTH = 4  # bytes of a character in UTF-32
 
@@ -51,11 +53,16 @@ def _signatures(lines: DataFrame, size: int, minima: int) -> DataFrame:
 
 
 def _sketched(texts: DataFrame, size: int) -> DataFrame:
-    """``node, _s0...``: the low bytes of the least hash in each of SKETCH parts, eight to a number."""
+    """``node, _n, _s0...``: how many distinct shingles, and the sketch of a line that has enough of them, or nulls.
+
+    A sketch is the low bytes of the least hash in each of SKETCH parts, eight to a number.
+    """
     bits = SKETCH.bit_length() - 1
-    places = F.explode(F.sequence(F.lit(0), _n_shingles(F.col("_bytes"), size) - 1)).alias("_at")
-    each = texts.select("node", "_bytes", places)
-    hashed = each.select("node", _shingle(F.col("_bytes"), F.col("_at"), size).alias("_h"))
+    sets = texts.select("node", _hashes("_bytes", size).alias("_set"))
+    sized = sets.select("node", F.size("_set").alias("_n"), "_set")
+    # A line without a sketch needs none of its hashes.
+    used = F.when(F.col("_n") >= SKETCHED_FROM, F.col("_set")).otherwise(F.slice("_set", 1, 1))
+    hashed = sized.select("node", "_n", F.explode(used).alias("_h"))
     flips = [k << (64 - bits) for k in range(SKETCH)]
     least = [F.min(F.col("_h").bitwiseXOR(F.lit(f - (1 << 64) if f >> 63 else f))).alias(f"m{k}") for k, f in enumerate(flips)]
     packed = []
@@ -63,19 +70,19 @@ def _sketched(texts: DataFrame, size: int) -> DataFrame:
         number = F.lit(0).cast("long")
         for k in range(8):
             number = number.bitwiseOR(F.shiftleft(F.col(f"m{first + k}").bitwiseAND(F.lit(255)), 8 * k))
-        packed.append(number.alias(f"_s{first // 8}"))
-    return hashed.groupBy("node").agg(*least).select("node", *packed)
+        packed.append(F.when(F.col("_n") >= SKETCHED_FROM, number).alias(f"_s{first // 8}"))
+    return hashed.groupBy("node", "_n").agg(*least).select("node", "_n", *packed)
 
 
 def _promising(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
-    """The distinct pairs whose sketches agree often enough.
+    """The distinct pairs whose sizes allow the similarity and whose sketches, if both have one, agree often enough.
 
     Of 64 parts a pair at the limit agrees in 51 on average, with a deviation of
     3; pairs more than four deviations below are left out.
     """
     names = [f"_s{i}" for i in range(SKETCH // 8)]
-    one = sketches.select(F.col("node").alias("a"), *(F.col(n).alias("x" + n) for n in names))
-    two = sketches.select(F.col("node").alias("b"), *(F.col(n).alias("y" + n) for n in names))
+    one = sketches.select(F.col("node").alias("a"), F.col("_n").alias("_na"), *(F.col(n).alias("x" + n) for n in names))
+    two = sketches.select(F.col("node").alias("b"), F.col("_n").alias("_nb"), *(F.col(n).alias("y" + n) for n in names))
     met = pairs.select("a", "b").distinct().join(one, "a").join(two, "b")
     agree = F.lit(0)
     for n in names:
@@ -83,7 +90,9 @@ def _promising(pairs: DataFrame, sketches: DataFrame, similarity: float) -> Data
         for k in range(8):
             agree = agree + (F.shiftrightunsigned(differ, 8 * k).bitwiseAND(F.lit(255)) == 0).cast("int")
     least = SKETCH * similarity - 4 * math.sqrt(SKETCH * similarity * (1 - similarity))
-    return met.filter(agree >= least).select("a", "b")
+    fit = F.least("_na", "_nb") >= similarity * F.greatest("_na", "_nb")
+    short = F.least("_na", "_nb") < SKETCHED_FROM
+    return met.filter(fit & (short | (agree >= least))).select("a", "b")
 
 
 def _scored(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -112,8 +121,9 @@ def similar_lines(
 ) -> DataFrame:
     """``node, root`` of every distinct line that is similar to another one; lines of one root are connected.
 
-    The lines of a band are linked as ``linked`` says. Sketches rule out most
-    pairs that are far from similar before their shingles are compared.
+    The lines of a band are linked as ``linked`` says. Sizes and, between long
+    lines, sketches rule out most pairs that are far from similar before their
+    shingles are compared.
     """
     lines = _line_rows(docs)
     members = band_members(_signatures(lines, size, bands * rows), bands, rows)

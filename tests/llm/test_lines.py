@@ -93,3 +93,17 @@ def test_ids_and_empty_tables(spark):
         ("1", "x\na line that repeats"), ("1", "x\na line that repeats"), ("3", ""), ("None", ""),
     ]
     assert duplicate_lines(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("length", [10, 18, 26])
+def test_short_lines_with_a_tail(spark, length):
+    # The longest tail that leaves a similarity of 0.8; random letters make no other pair similar.
+    tail, pick, texts = (length - 6) // 4, random.Random(length), []
+    for _ in range(400):
+        line = "".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=length + tail))
+        assert len(grams(line[:length])) >= 0.8 * len(grams(line))
+        texts += [line[:length], line]
+    got = {r.doc_id: list(r.dropped) for r in duplicate_lines(docs_of(spark, texts)).collect()}
+    assert all(got[i] == [] for i in range(0, 800, 2))
+    # The bands alone miss less than one pair in a thousand.
+    assert sum(got[i] == [0] for i in range(1, 800, 2)) >= 399
