@@ -1,10 +1,10 @@
-"""Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact verification.
+"""Benchmark decontamination: item-sized windows around shared shingles, exact similarity.
 
 A window can only be similar to an item if they share a shingle, so the windows
 are those of an item's size around the shingles that the document shares with
-an item of that size. Their fingerprints are looked up block by block among the
-items', and every hit is verified by the exact similarity of the shingles,
-weighted by how often each occurs.
+an item of that size. Each is compared with all items of its size that it
+shares a shingle with, by the exact similarity of the shingles, weighted by how
+often each occurs; nothing is ruled out by chance.
 """
 
 from __future__ import annotations
@@ -12,14 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerocell.llm.votes import hamming, majority, vote_sums
 from aerocell.session import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
-# At similarity 0.8 about 10 of 64 bits differ, with a deviation of 3.
-RADIUS = 16
-BITS = 64
 # The shingle index of the benchmark is broadcast up to this many rows (of some
 # 50 bytes); a larger one is joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -40,17 +36,15 @@ def _places(first: Column, words_in_window: Column) -> Column:
     return F.sequence(first, first + words_in_window - SHINGLE)
 
 
-def _window_prints(windows: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys..., fingerprint, shingles`` of windows ``keys..., _words, _first, _size``.
+def _window_shingles(windows: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys..., shingles`` of windows ``keys..., _words, _first, _size``.
 
-    Rows repeated whole are one: they double all votes alike, and each place
-    gives its shingle once.
+    Rows repeated whole are one: each place gives its shingle once.
     """
     placed = windows.select(*keys, "_words", F.explode_outer(_places(F.col("_first"), F.col("_size"))).alias("_at"))
     hashed = placed.select(*keys, "_at", _shingle_hash(F.col("_words"), F.col("_at")).alias("_h"))
     each = F.collect_set(F.struct("_at", "_h"))
-    sums = hashed.groupBy(*keys).agg(F.transform(each, lambda x: x["_h"]).alias("shingles"), *vote_sums([F.col("_h")]))
-    return sums.select(*keys, majority().alias("fingerprint"), "shingles")
+    return hashed.groupBy(*keys).agg(F.transform(each, lambda x: x["_h"]).alias("shingles"))
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
@@ -110,26 +104,16 @@ def item_windows(shared: DataFrame) -> DataFrame:
     return found.select("doc_id", "_text", "length", "first_word", words.alias("_words"))
 
 
-def _blocks(fingerprint: Column, radius: int) -> Column:
-    """Array of ``(block, value)``: with one more block than the radius, some block of a near pair is equal."""
-    edges = [BITS * i // (radius + 1) for i in range(radius + 2)]
-    parts = []
-    for number, (a, b) in enumerate(zip(edges, edges[1:])):
-        value = F.shiftrightunsigned(fingerprint, a).bitwiseAND(F.lit((1 << (b - a)) - 1 if b - a < BITS else -1))
-        parts.append(F.struct(F.lit(number).alias("block"), value.alias("value")))
-    return F.array(*parts)
-
-
 def _numbered(shingles: Column) -> Column:
     """The k-th occurrence of a shingle as an element of its own, so that sets count occurrences."""
-    return F.transform(
+    repeats = F.transform(
         shingles, lambda x, i: F.xxhash64(x, F.size(F.filter(F.slice(shingles, 1, i), lambda y: y == x)))
     )
+    single = F.transform(shingles, lambda x: F.xxhash64(x, F.lit(0)))
+    return F.when(F.size(F.array_distinct(shingles)) == F.size(shingles), single).otherwise(repeats)
 
 
-def contaminated(
-    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS
-) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, item_id, similarity, first_word, n_windows``: the items that a document repeats.
 
     ``similarity`` is that of the most similar window (ties: the first), the
@@ -145,27 +129,23 @@ def contaminated(
     items = materialise(items_of(benchmark), "items")
     windows = item_windows(shared_places(docs, items))
     sized = windows.select("*", F.lit(0).alias("_first"), F.size("_words").alias("_size"))
-    prints = _window_prints(sized, ["doc_id", "_text", "length", "first_word"])
+    own = _window_shingles(sized, ["doc_id", "_text", "length", "first_word"])
     # Windows with the same shingles have the same answer; repeated passages are looked up once.
-    keys = prints.select("*", F.array_sort("shingles").alias("_bag"))
-    keys = materialise(keys.select("doc_id", "_text", "length", "first_word", "fingerprint", "shingles", F.xxhash64("_bag").alias("_same")), "prints")
-    asked = keys.groupBy("length", "fingerprint", "_same").agg(F.first("shingles").alias("shingles"))
+    keys = own.select("*", F.xxhash64(F.array_sort("shingles")).alias("_same"))
+    keys = materialise(keys, "windows")
+    asked = keys.groupBy("length", "_same").agg(F.first("shingles").alias("shingles"))
     numbered = items.select("item_id", "length", "_words", F.lit(0).alias("_first"), F.col("length").alias("_size"))
-    known = _window_prints(numbered, ["item_id", "length"])
-    a = asked.select("*", F.explode(_blocks(F.col("fingerprint"), radius)).alias("_block")).alias("a")
-    b = known.select("*", F.explode(_blocks(F.col("fingerprint"), radius)).alias("_block")).alias("b")
-    near = hamming(F.col("a.fingerprint"), F.col("b.fingerprint")) <= radius
-    hits = a.join(b, (F.col("a.length") == F.col("b.length")) & (F.col("a._block") == F.col("b._block")) & near)
-    pairs = hits.select(
-        "a.length", F.col("a.fingerprint").alias("fingerprint"), "a._same", "b.item_id",
-        F.col("a.shingles").alias("_one"), F.col("b.shingles").alias("_two"),
-    ).dropDuplicates(["length", "fingerprint", "_same", "item_id"])
-    shared = F.size(F.array_intersect(_numbered(F.col("_one")), _numbered(F.col("_two"))))
-    scored = pairs.select(
-        "length", "fingerprint", "_same", "item_id",
-        (shared / (F.size("_one") + F.size("_two") - shared)).alias("similarity"),
+    known = _window_shingles(numbered, ["item_id", "length"])
+    a = asked.select("length", "_same", F.size("shingles").alias("_na"), F.explode(_numbered(F.col("shingles"))).alias("_h"))
+    b = known.select("length", "item_id", F.size("shingles").alias("_nb"), F.explode(_numbered(F.col("shingles"))).alias("_h"))
+    b = materialise(b, "numbered")
+    # An index that fits is broadcast: most shingles of a window are no item's and need not be moved.
+    b = F.broadcast(b) if b.count() <= BROADCAST_ROWS else b
+    both = a.join(b, ["length", "_h"]).groupBy("length", "_same", "item_id", "_na", "_nb").agg(F.count(F.lit(1)).alias("_both"))
+    scored = both.select(
+        "length", "_same", "item_id", (F.col("_both") / (F.col("_na") + F.col("_nb") - F.col("_both"))).alias("similarity")
     ).filter(F.col("similarity") >= similarity)
-    found = keys.join(scored, ["length", "fingerprint", "_same"])
+    found = keys.join(scored, ["length", "_same"])
     best = F.max(F.struct("similarity", (-F.col("first_word")).alias("_back"))).alias("_best")
     rows = found.groupBy("doc_id", "item_id").agg(best, F.count(F.lit(1)).alias("n_windows"))
     return rows.select(

@@ -105,3 +105,25 @@ def test_null_and_repeated_ids(spark):
     rows = [(None, PASSAGES[2]), (1, PASSAGES[2]), (1, PASSAGES[2]), (1, PASSAGES[3])]
     got = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), benchmark).collect()
     assert sorted((str(r.doc_id), str(r.item_id)) for r in got) == [("1", "2"), ("1", "None"), ("None", "2")]
+
+
+def test_windows_at_the_limit(spark):
+    # Each document has the first words of its item and then others: a similarity of 0.8 or just more.
+    items, texts = [], []
+    for i in range(300):
+        words = prose(1000 + i, 9 + 9 * (i % 3), 20000).split()
+        n = len(words) - 4
+        if n == 5:
+            texts.append(" ".join(words[:-1]))
+        else:
+            lost = n // 9
+            texts.append(" ".join(words[: len(words) - lost] + [f"{i}y{k}" for k in range(40)]))
+        items.append((i, " ".join(words)))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = found(contaminated(docs_of(spark, texts), benchmark).collect())
+    # An item meets only its own document.
+    want = {}
+    for i, item in enumerate(items):
+        want |= {(i, item[0]): v for v in brute([texts[i]], [item]).values()}
+    assert len(want) == 300 and min(a for a, _, _ in want.values()) == 0.8
+    assert got == {k: (round(a, 9), b, c) for k, (a, b, c) in want.items()}
