@@ -14,6 +14,7 @@ from aerocell.llm.lengths import context_limits, length_histogram
 from aerocell.llm.licenses import scan_licenses
 from aerocell.llm.lines import duplicate_lines
 from aerocell.llm.near_dedup import near_duplicates
+from aerocell.llm.negatives import hard_negatives
 from aerocell.llm.simhash import document_fingerprints, likeness
 from aerocell.llm.votes import as_hex
 
@@ -139,3 +140,35 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join("labels", ",").alias("labels"),
         "score",
     )
+
+
+@register
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """For every hundredth vector and its positives, the best rows of other labels just below them."""
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet")
+    # Some labels are made wrong on purpose.
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", wrong), F.col("vec_id") % 100 == 0)
+
+
+ORACLE_SQL["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r AND len(a.x) = len(b.x) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id, br) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.ar, p.br ORDER BY n.score DESC, n.vec_id, n.br) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.ar = p.ar AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY row_number() OVER (PARTITION BY p.ar, p.br ORDER BY n.score DESC, n.vec_id, n.br) <= 5
+"""
