@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerocell.llm import bpe, language, pii, quality
+from aerocell.llm.conversations import audit_conversations
 from aerocell.llm.decontaminate import contaminated
 from aerocell.llm.lengths import context_limits, length_histogram
 from aerocell.llm.licenses import scan_licenses
@@ -172,3 +173,91 @@ SELECT p.anchor_id, p.vec_id AS positive_id,
 FROM positives p JOIN pairs n ON n.ar = p.ar AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
 QUALIFY row_number() OVER (PARTITION BY p.ar, p.br ORDER BY n.score DESC, n.vec_id, n.br) <= 5
 """
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """``conv_id, turn, role, text, present``: every 20th row dropped, emptied, cut, repeated or given to the user."""
+    blank = F.lit(" ")
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), blank) for c in ("conv_id", "turn")))
+    kind = F.crc32(key) % 20
+    role, text = (F.coalesce(F.col(c), blank) for c in ("role", "text"))
+    copies = F.explode(F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(kind == 1, F.lit("")).when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        (kind != 0).alias("present"),
+        copies.alias("copy"),
+    ).drop("copy")
+
+
+@register
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults of every conversation after damage, and its cheapest repair."""
+    rows = damaged(spark.read.parquet(f"{sf}/conversations.parquet"))
+    return audit_conversations(rows, F.col("present")).drop("most_pending")
+
+
+# The cheapest repair step by step: every row goes from each state with none, one or two turns inserted before it.
+ORACLE_SQL["op12_conversation_repair"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, n)) AS tab
+), src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(4294967295, list_reduce(list_transform(
+      string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+      lambda ch: CAST(ascii(ch) AS BIGINT)), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295)) % 20 AS kind
+  FROM conversations, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM src, (VALUES (1), (2)) AS copies(n) WHERE kind <> 0 AND (n = 1 OR kind = 3)
+), counted AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth FROM damaged
+), numbered AS (
+  SELECT *, row_number() OVER w AS i, lag(left(role, 1)) OVER w AS before, left(role, 1) AS initial,
+    regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare
+  FROM counted WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, nth)
+), checked AS (
+  SELECT *, CASE WHEN bare = '' THEN 1 WHEN nth > 1 THEN 2 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault
+  FROM numbered
+), inserts(old, n, mid, turns) AS (VALUES
+  ('', 0, '', ''), ('', 1, 'u', E'\nuser:'), ('', 2, 'a', E'\nuser:\nassistant:'),
+  ('s', 0, 's', ''), ('s', 1, 'u', E'\nuser:'), ('s', 2, 'a', E'\nuser:\nassistant:'),
+  ('u', 0, 'u', ''), ('u', 1, 'a', E'\nassistant:'), ('u', 2, 'u', E'\nassistant:\nuser:'),
+  ('a', 0, 'a', ''), ('a', 1, 'u', E'\nuser:'), ('a', 2, 'a', E'\nuser:\nassistant:')
+), follows(mid, next) AS (VALUES ('', 's'), ('', 'u'), ('s', 'u'), ('a', 'u'), ('u', 'a')
+), ways(edit, old, n, turns, initial, next, price) AS (
+  SELECT 'D', old, n, turns, NULL, mid, 3 FROM inserts
+  UNION ALL SELECT 'K', old, n, turns, next, next, 0 FROM inserts JOIN follows USING (mid)
+  UNION ALL SELECT 'R', old, n, turns, NULL, next, 2 FROM inserts JOIN follows USING (mid) WHERE next <> 's'
+), steps(conv_id, i, state, cost, audit, body) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), '', 0, '', '' FROM checked
+  UNION ALL
+  SELECT conv_id, i, state, cost, audit, body FROM (
+    SELECT s.conv_id, c.i, w.next AS state, s.cost + 2 * w.n + w.price + CASE WHEN fault = 3 AND edit <> 'D' THEN 1 ELSE 0 END AS cost,
+      s.audit || repeat('I', w.n) || w.edit AS audit,
+      s.body || w.turns || CASE w.edit WHEN 'D' THEN '' WHEN 'K' THEN E'\n' || c.role || ':' || c.text
+        ELSE E'\n' || CASE w.next WHEN 'u' THEN 'user:' ELSE 'assistant:' END || c.text END AS body
+    FROM steps s JOIN checked c ON c.conv_id IS NOT DISTINCT FROM s.conv_id AND c.i = s.i + 1
+      JOIN ways w ON w.old = s.state AND (w.edit = 'D' OR c.fault NOT IN (1, 2)) AND (w.initial IS NULL OR w.initial = c.initial)
+  ) QUALIFY row_number() OVER (PARTITION BY conv_id, i, state ORDER BY cost, audit) = 1
+), sums AS (
+  SELECT conv_id, max(i) AS last, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM checked GROUP BY conv_id
+), repaired AS (
+  SELECT u.*, s.cost + 2 * n AS cost, s.audit || repeat('I', n) AS audit, substr(s.body || turns, 2) AS body
+  FROM sums u JOIN steps s ON s.conv_id IS NOT DISTINCT FROM u.conv_id AND s.i = u.last
+    JOIN inserts ON old = s.state AND mid IN ('', 'a')
+  QUALIFY row_number() OVER (PARTITION BY u.conv_id ORDER BY s.cost + 2 * n, s.audit || repeat('I', n)) = 1
+)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256,
+  CAST(length(replace(coalesce(audit, ''), 'D', '')) AS BIGINT) AS n_repaired
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
