@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerocell.llm import bpe, language, pii, quality
+from aerocell.llm import bpe, language, pii, quality, scoring
 from aerocell.llm.conversations import audit_conversations
 from aerocell.llm.decontaminate import contaminated
 from aerocell.llm.lengths import context_limits, length_histogram
@@ -261,3 +261,10 @@ SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0)
   CAST(length(replace(coalesce(audit, ''), 'D', '')) AS BIGINT) AS n_repaired
 FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM a.conv_id
 """
+
+
+@register
+def op13_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """Log-probability of every document, learnt from the documents that are not held out."""
+    docs = documents(spark, sf)
+    return scoring.score_texts(docs, scoring.train_on_rest(docs), language.remainder(parts=7) == 2)
