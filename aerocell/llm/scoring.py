@@ -235,7 +235,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 def _averaged(blobs: DataFrame, parts: int) -> np.ndarray | None:
     """The mean of the models by their weights, a few dozen at a time, so that no task holds many."""
 
-    def mean(key, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def mean(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole, weight = 0.0, 0.0
         for batch in batches:
             for w, params in zip(batch.column("weight").to_pylist(), batch.column("params").to_pylist()):

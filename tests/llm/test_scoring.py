@@ -101,13 +101,12 @@ def test_held_out_texts_are_likelier_than_by_counts(spark, model):
     assert rows[0] > rows[1] + 0.12 * 40 * 61
 
 
-def test_training_finds_what_follows(monkeypatch):
-    monkeypatch.setattr(scoring, "RATE", 0.2)
+def test_training_finds_what_follows():
     counts = np.zeros(CLASSES)
     counts[:8] = 1000
     trainer = Trainer(Network.start(counts), counts, 1)
     cycle = np.tile(np.arange(8), 4000)
-    for _ in range(3):
+    for _ in range(4):
         trainer.learn(cycle[2:], cycle[1:-1], cycle[:-2])
     totals = trainer.network.log_totals(np.arange(8))
     net = trainer.network
