@@ -72,18 +72,25 @@ def enrich(
     weather: DataFrame,
     keys: tuple[str, ...] = ("geohash",),
     keep: tuple[str, ...] = (),
+    weather_order: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Every report with the weather of its cell and its risk score.
 
-    Of several observations of a key the last counts, ties broken by the
-    measures, so a report stays one row whatever the keys and the precision of
-    the cells. Reports without weather are kept with nulls and risk 0.0; a NaN
-    measure is null. How the join runs is Spark's choice by the size of the
-    weather: see :func:`lookup_join`.
+    Of several observations of a key the last counts, by the columns of
+    ``weather_order``; by default by their time, ties broken by the measures. So
+    a report stays one row whatever the keys and the precision of the cells. An
+    empty order says that ``weather`` has one row per key already. Reports without weather are kept with
+    nulls and risk 0.0; a NaN measure is null. How the join runs is Spark's
+    choice by the size of the weather: see :func:`lookup_join`.
     """
     names = [c for c in WEATHER_MEASURES if c in weather.columns]
-    clean = nan_to_null(weather.select(*keys, *names))
-    right = latest_weather(clean, list(keys), sorted(names, key=lambda n: n != "weather_recorded_at"))
+    if weather_order is None:
+        weather_order = tuple(sorted(names, key=lambda n: n != "weather_recorded_at"))
+    others = [c for c in weather_order if c not in names]
+    right = nan_to_null(weather.select(*keys, *names, *others))
+    if weather_order:
+        # A struct cannot be aggregated by hash; one row per key leaves each map task here too.
+        right = first_per_key(right, list(keys), [F.desc(c) for c in weather_order]).drop(*others)
     joined = lookup_join(flights, right, keys, "left")
     risk = fn.convective_risk(F.col("precipitation_mm"), F.col("wind_gusts_mps"), F.col("cloud_cover_pct"))
     scored = joined.withColumn("convective_risk_score", risk)

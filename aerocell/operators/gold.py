@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerocell import functions as fn
 from aerocell.functions.hazard import silver_category
@@ -16,6 +17,7 @@ from aerocell.schemas import (
     DEFAULT_VISIBILITY_M,
     GOLD_SCHEMA,
     IMPACT_RISK,
+    TableSpec,
 )
 
 GROUP = ["window_start", "recorded_date", "geohash", "weather_condition_category"]
@@ -36,6 +38,18 @@ def gold_eligible(silver: DataFrame, days: dt.date | Sequence[dt.date] | None =
     )
 
 
+MEASURES = [
+    "avg_velocity_mps",
+    "avg_precipitation_mm",
+    "max_precipitation_mm",
+    "avg_wind_speed_mps",
+    "peak_wind_gust_mps",
+    "avg_cloud_cover_pct",
+    "min_visibility_m",
+    "mean_convective_risk",
+]
+
+
 def _measures() -> dict[str, tuple[str, Column]]:
     """Measure -> how it is folded and over what; nulls count as the stated value."""
 
@@ -77,6 +91,19 @@ def per_aircraft(silver: DataFrame, window: Column) -> DataFrame:
     )
 
 
+def merge_partials(partials: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Partial sums of the same cell and aircraft (and ``by``) added up; sums of sums, greatest of greatest."""
+    folds = [(F.sum if how == "avg" else getattr(F, how))(name).alias(name) for name, (how, _) in _measures().items()]
+    counts = [F.sum(name).alias(name) for name in ("reports", "cruising", "impacted")]
+    return partials.groupBy(*GROUP, "icao24", *by).agg(*counts, *folds)
+
+
+def fold_partials(partials: DataFrame) -> DataFrame:
+    """Cells of the matrix, not yet rounded, from partial sums of any number of batches."""
+    folded = merge_partials(partials).groupBy(*GROUP).agg(*fold_aircraft())
+    return folded.withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 1 HOUR"))
+
+
 def fold_aircraft() -> list[Column]:
     """Aggregates that combine the partial sums of :func:`per_aircraft`."""
     folds = []
@@ -93,6 +120,24 @@ def fold_aircraft() -> list[Column]:
     ]
 
 
+# Partial sums as they are stored: a row per batch, hour, cell, category and aircraft.
+PARTIALS = TableSpec(
+    T.StructType(
+        [
+            T.StructField("window_start", T.TimestampType()),
+            *(T.StructField(n, T.StringType()) for n in ("geohash", "weather_condition_category", "icao24")),
+            *(T.StructField(n, T.LongType()) for n in ("reports", "cruising", "impacted")),
+            *(T.StructField(n, T.DoubleType()) for n in MEASURES),
+            T.StructField("run_id", T.StringType()),
+            T.StructField("iteration_id", T.LongType()),
+            T.StructField("recorded_date", T.DateType()),
+        ]
+    ),
+    "recorded_date",
+    ("geohash", "window_start"),
+)
+
+
 def finish_gold(folded: DataFrame, computed_at: Column) -> DataFrame:
     """Constants, derived deficit and rounding; the deficit uses the unrounded mean."""
     base = F.lit(BASELINE_VELOCITY_MPS)
@@ -129,4 +174,4 @@ def merge_gold(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> Data
     A cell whose category changed keeps its old row, as an upsert by key must.
     """
     kept = target.join(delta.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(delta)
+    return kept.unionByName(delta, allowMissingColumns=True)

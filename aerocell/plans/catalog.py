@@ -392,7 +392,7 @@ def _f09(spark, sf):
 @register("j01_enrich")
 def _j01(spark, sf):
     """Every valid report with its weather, copies included."""
-    return silver_rows(fx.flights_raw(spark, sf), fx.weather(spark, sf), keep=tuple(ROW))
+    return silver_rows(fx.flights_raw(spark, sf), fx.readings(spark, sf), keep=tuple(ROW), weather_order=("o",))
 
 
 def _enriched_at(spark: SparkSession, sf: str, precision: int, keys: tuple[str, ...]) -> DataFrame:
@@ -567,7 +567,8 @@ def _d01(spark, sf):
     database = scratch_database(spark)
     tables.create_tables(spark, database)
     table = f"{database}.silver"
-    batch = materialise(silver_rows(fx.flights_raw(spark, sf), fx.weather(spark, sf), keep=tuple(ROW)), "batch")
+    rows = silver_rows(fx.flights_raw(spark, sf), fx.readings(spark, sf), keep=tuple(ROW), weather_order=("o",))
+    batch = materialise(rows, "batch")
     early = batch.filter(F.col("recorded_date") <= F.lit(fx.FLAGSHIP_DAY))
     for rows in (early, batch):
         maintenance.insert_ignore(spark, table, rows, ROW, stored=True)
@@ -695,7 +696,7 @@ def _stored_weather(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _silver_from(reports: DataFrame, weather: DataFrame) -> DataFrame:
-    return enrich.enrich(tagged_flights(reports), weather, ("cycle_id", "geohash"), tuple(ROW))
+    return enrich.enrich(tagged_flights(reports), weather, ("cycle_id", "geohash"), tuple(ROW), weather_order=())
 
 
 def _streamed(spark: SparkSession, sf: str) -> streams.Sink:
@@ -707,7 +708,7 @@ def _streamed(spark: SparkSession, sf: str) -> streams.Sink:
 
 def _stream_silver(spark: SparkSession, sf: str, keep: tuple[str, ...] = ()) -> DataFrame:
     flights = tagged_flights(_event_stream(spark, sf))
-    return enrich.enrich(flights, _stored_weather(spark, sf), ("cycle_id", "geohash"), keep)
+    return enrich.enrich(flights, _stored_weather(spark, sf), ("cycle_id", "geohash"), keep, weather_order=())
 
 
 @register("st1_stream_pipeline")
@@ -795,5 +796,5 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Which cells, hours and hazards slowed aircraft most on one day."""
     prepare(spark)
     raw = fx.flights_raw(spark, sf)
-    silver = silver_rows(raw, fx.weather(spark, sf), first_by=ROW)
+    silver = silver_rows(raw, fx.readings(spark, sf), first_by=ROW, weather_order=("o",))
     return gold.gold_matrix(silver, fx.FLAGSHIP_DAY).orderBy(F.desc("velocity_deficit_pct"), *GOLD_KEYS)

@@ -123,14 +123,19 @@ def weather_raw(spark: SparkSession, sf: str) -> DataFrame:
     return observations_from(orders(spark, sf))
 
 
+def readings(spark: SparkSession, sf: str) -> DataFrame:
+    """All readings; the last one of a cell and cycle is that with the largest ``o``."""
+    return weather_raw(spark, sf).drop("lat", "lon")
+
+
 def weather(spark: SparkSession, sf: str) -> DataFrame:
     """The last reading of every cell and cycle."""
-    readings = weather_raw(spark, sf).drop("lat", "lon")
-    return latest_weather(readings, ["cycle_id", "geohash"], ["o"]).drop("o")
+    return latest_weather(readings(spark, sf), ["cycle_id", "geohash"], ["o"]).drop("o")
 
 
 def silver(spark: SparkSession, sf: str) -> DataFrame:
-    return silver_rows(flights_raw(spark, sf), weather(spark, sf), first_by=["event_id", "copy"])
+    flights, last = flights_raw(spark, sf), ("o",)
+    return silver_rows(flights, readings(spark, sf), first_by=["event_id", "copy"], weather_order=last)
 
 
 def gold(spark: SparkSession, sf: str) -> DataFrame:

@@ -41,6 +41,7 @@ def silver_rows(
     keys: tuple[str, ...] = ("cycle_id", "geohash"),
     first_by: Sequence[str] = (),
     keep: tuple[str, ...] = (),
+    weather_order: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Enriched rows, one per record id when an order is given.
 
@@ -51,4 +52,4 @@ def silver_rows(
     if first_by:
         # An id fixes its day; with the day in the key, a filter on days goes below the exchange.
         flights = first_per_key(flights, ["recorded_date", KEY], [F.col(c) for c in first_by])
-    return enrich(flights, weather, keys, keep)
+    return enrich(flights, weather, keys, keep, weather_order)

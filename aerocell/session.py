@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 RUNTIME_SETTINGS = {
     # Hour windows and partition dates are defined in UTC.
@@ -76,21 +76,52 @@ def materialise(df, name: str = "table"):
 
 
 @contextmanager
-def staged(df, database: str):
+def staged(df, database: str, *seen):
     """``df`` as a table of ``database`` for the duration of a block; its files go with it.
 
     For what one micro-batch reads several times: unlike :func:`materialise`,
-    nothing of it is left when the batch is done.
+    nothing of it is left when the batch is done. With aggregates ``seen`` the
+    block gets the table and a dict of their values, taken while writing.
     """
     spark = df.sparkSession
     table = f"{database}.staged_{uuid.uuid4().hex}"
+    watched = Observation()
     try:
-        df.write.format("parquet").saveAsTable(table)
-        yield spark.table(table)
+        rows = df.observe(watched, *seen) if seen else df
+        rows.write.format("parquet").saveAsTable(table)
+        yield (spark.table(table), watched.get) if seen else spark.table(table)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def _folder(spark: SparkSession, path: str):
+    """A folder and the file system that Spark reaches it by."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def make_folder(spark: SparkSession, path: str) -> str:
+    """Create an empty folder; returns it as Spark names it."""
+    hadoop, files = _folder(spark, path)
+    files.mkdirs(hadoop)
+    return files.makeQualified(hadoop).toString()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it; an absent one is fine."""
+    hadoop, files = _folder(spark, path)
+    files.delete(hadoop, True)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """``(path, bytes, seconds of last change)`` of what lies directly in a folder, none if it is absent."""
+    hadoop, files = _folder(spark, path)
+    if not files.exists(hadoop):
+        return []
+    found = files.listStatus(hadoop)
+    return sorted((f.getPath().toString(), f.getLen(), f.getModificationTime() // 1000) for f in found)
+
+
 @contextmanager
 def runtime_conf(spark: SparkSession, key: str, value: str):
     """Set one runtime setting for the duration of a block."""

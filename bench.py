@@ -58,7 +58,7 @@ def on_stored_tables(spark) -> dict:
     delta = gold.gold_matrix(spark.table(silver).filter(F.col("recorded_date") >= F.lit(fx.UPSERT_FROM)))
     delta = materialise(delta, "delta")
     return {
-        "stored_enrich": lambda: enrich.enrich(flights, weather, ("cycle_id", "geohash")),
+        "stored_enrich": lambda: enrich.enrich(flights, weather, ("cycle_id", "geohash"), weather_order=()),
         "stored_gold_matrix": lambda: gold.gold_matrix(spark.table(silver)),
         "stored_gold_one_day": lambda: gold.gold_matrix(spark.table(silver), fx.FLAGSHIP_DAY),
         "stored_hourly_trends": lambda: reports.hourly_trends(spark.table(matrix), fx.AS_OF),
