@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 import uuid
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,17 @@ from aerocell.sources.archive import (
     restore_archives,
     row_fingerprint,
 )
-from aerocell.sources.tables import days_of, read_partition, write_table
+from aerocell.session import list_folder, move_file, read_text, remove_folder, write_text
+from aerocell.sources.tables import (
+    day_folder,
+    days_of,
+    new_day_folder,
+    partition_days,
+    point_days,
+    read_partition,
+    table_folder,
+    write_table,
+)
 
 SKIPPED = "SKIPPED_EMPTY_PARTITION"
 
@@ -74,9 +86,11 @@ def evict_partition(
     taken instead of a second one. A day that was archived once and has other
     rows now (late ones) gets a file name of its own, so an earlier archive is
     never overwritten. Only the files that were compared are dropped: if the
-    day has others by then, it is kept and an error raised.
+    day has others by then, it is kept and an error raised; rows that arrive
+    even later open a folder of their own, or are put back into one.
     """
     started = time.monotonic()
+    finish_evictions(spark, table, day, spec)
     hot = read_partition(spark, table, day)
     if hot.isEmpty():
         return {"status": SKIPPED, "record_count": 0}
@@ -90,7 +104,7 @@ def evict_partition(
     compared, wanted = _files(hot), _contents(hot)
     for manifest in earlier.select(*AUDIT_SCHEMA.names).orderBy("archival_timestamp").toLocalIterator():
         if _holds(spark, manifest["storage_destination_uri"], hot.columns, wanted):
-            _drop_compared(spark, table, day, compared)
+            _drop_compared(spark, table, day, compared, spec)
             return manifest.asDict()
     folder = f"{archive_root.rstrip('/')}/archives/{short}/{day}"
     name = f"{short}_{day}" if earlier.isEmpty() else f"{short}_{day}_{audit_id}"
@@ -118,7 +132,7 @@ def evict_partition(
     )
     row = ledger.first()
     write_audit(spark, audit_table, spark.createDataFrame([row], AUDIT_SCHEMA))
-    _drop_compared(spark, table, day, compared)
+    _drop_compared(spark, table, day, compared, spec)
     return row.asDict()
 
 
@@ -128,19 +142,65 @@ def _files(df: DataFrame) -> list[str]:
 
 
 def _holds(spark: SparkSession, uri: str, columns: list[str], wanted: tuple) -> bool:
-    """Whether an archive has these contents; one that cannot be read has not."""
+    """Whether an archive has these contents; one that is lost, damaged or of another shape has not."""
     try:
         return _contents(spark.read.parquet(uri).select(*columns)) == wanted
-    except AnalysisException:
+    except (PySparkException, Py4JJavaError):
         return False
 
 
-def _drop_compared(spark: SparkSession, table: str, day: dt.date, compared: list[str]) -> None:
-    """Drop a day if its files are still those that were compared."""
+def _marks(spark: SparkSession, table: str, day: dt.date) -> str:
+    return f"{table_folder(spark, table).rstrip('/')}/_detached/{day.isoformat()}"
+
+
+def _drop_compared(spark: SparkSession, table: str, day: dt.date, compared: list[str], spec: TableSpec) -> None:
+    """Drop the files of a day that were compared, and no others.
+
+    If the day has other files already it is kept, and an error raised. Then
+    the catalog points the day to an empty folder, where rows are written from
+    now on, so the old folder stands still; what reached it in between is put
+    back. A note of it is written first: after a failure
+    :func:`finish_evictions` goes on from there.
+    """
     spark.catalog.refreshTable(table)
     if _files(read_partition(spark, table, day)) != compared:
         raise RuntimeError(f"{table} {day} has new rows; nothing deleted, evict it again")
-    delete_partition(spark, table, day)
+    note = {"folder": day_folder(spark, table, spec, day), "compared": compared}
+    path = f"{_marks(spark, table, day)}/{uuid.uuid4().hex}"
+    write_text(spark, path, json.dumps(note))
+    point_days(spark, table, spec, {day: new_day_folder(spark, table, spec, day)})
+    _finish(spark, table, day, path, note, spec)
+
+
+def _finish(spark: SparkSession, table: str, day: dt.date, path: str, note: dict, spec: TableSpec) -> None:
+    """Put back the rows that a detached folder got after the comparison, then remove it and its note."""
+    folder, known = note["folder"], {f.rsplit("/", 1)[-1] for f in note["compared"]}
+    now = day_folder(spark, table, spec, day)
+    if now.rstrip("/") == folder.rstrip("/"):
+        # Failed before the day was pointed elsewhere: nothing is detached.
+        remove_folder(spark, path)
+        return
+    late = [f for f, _, _ in list_folder(spark, folder) if f.endswith(".parquet") and f.rsplit("/", 1)[-1] not in known]
+    # Moved, not written anew: a repeated call finds them moved already.
+    for path_of_late in late:
+        move_file(spark, path_of_late, now)
+    remove_folder(spark, folder)
+    spark.catalog.refreshTable(table)
+    if not list_folder(spark, now):
+        delete_partition(spark, table, day, spec.partition)
+    remove_folder(spark, path)
+
+
+def finish_evictions(spark: SparkSession, table: str, day: dt.date, spec: TableSpec = SILVER) -> int:
+    """Finish what a failed eviction of a day has begun; returns how many there were."""
+    notes = [path for path, _, _ in list_folder(spark, _marks(spark, table, day)) if not path.endswith((".part", ".crc"))]
+    for path in notes:
+        note = json.loads(read_text(spark, path))
+        if day in days_of(partition_days(spark, table, spec.partition), spec.partition):
+            _finish(spark, table, day, path, note, spec)
+        else:
+            remove_folder(spark, path)
+    return len(notes)
 
 
 def evict_expired(

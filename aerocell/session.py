@@ -113,6 +113,33 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(hadoop, True)
 
 
+def move_file(spark: SparkSession, path: str, folder: str) -> None:
+    """Move a file into a folder under its own name; one that is there already is not moved again."""
+    hadoop, files = _folder(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder, hadoop.getName())
+    if files.exists(target):
+        files.delete(hadoop, False)
+    else:
+        files.rename(hadoop, target)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written whole under another name and then renamed."""
+    hadoop, files = _folder(spark, path)
+    partial = hadoop.suffix(".part")
+    out = files.create(partial, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    files.rename(partial, hadoop)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file that :func:`write_text` has written."""
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+
+
 def list_folder(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     """``(path, bytes, seconds of last change)`` of what lies directly in a folder, none if it is absent."""
     hadoop, files = _folder(spark, path)
