@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerocell import functions as fn
+from aerocell.functions.sql import register_sql_functions
 from aerocell.operators import contracts, custody, enrich, gold, maintenance, reports
 from aerocell.plans import fixtures as fx
 from aerocell.plans.pipeline import KEY, checked_flights, flagged_flights, located, silver_rows, tagged_flights
@@ -155,6 +156,30 @@ def _s09(spark, sf):
     return tables.query(spark, sql, params, silver_rows=fx.silver(spark, sf))
 
 
+@register("s09_sql_functions")
+def _s09f(spark, sf):
+    """Identity, cell, risk and category of every valid report by functions called in SQL."""
+    register_sql_functions(spark)
+    weather = fx.weather(spark, sf)
+    sql = """
+      SELECT event_id, copy, record_id(icao24, time_position) AS flight_record_id,
+             geohash(latitude, longitude) AS geohash, convective_risk(precipitation_mm, wind_gusts_mps, cloud_cover_pct) AS risk,
+             hazard_category(convective_risk(precipitation_mm, wind_gusts_mps, cloud_cover_pct), precipitation_mm,
+                             wind_speed_mps, wind_gusts_mps, visibility_m) AS category
+      FROM flights LEFT JOIN weather
+        ON weather.geohash = geohash(latitude, longitude) AND weather.cycle_id = time_position DIV 86400
+    """
+    return tables.query(spark, sql, flights=_valid(spark, sf), weather=weather)
+
+
+@register("s02_stored_box")
+def _s02b(spark, sf):
+    """A box over the stored table, by the ranges of codes that cover it."""
+    stored = spark.table(f"{_silver_table(spark, sf)}.silver")
+    rows = payloads.bbox_filter(stored, BoundingBox(38.4, 39.9, -78.6, -76.1), geohash_col="geohash")
+    return rows.select(KEY, "geohash", "latitude", "longitude")
+
+
 @register("s10_file_digests")
 def _s10(spark, sf):
     """Files of known bytes: one line per day with its number of reports."""

@@ -380,6 +380,10 @@ def sql_by_name() -> dict[str, str]:
         "s08_table_layout": f"{PER_DAY}, min(geohash) AS first_cell, max(geohash) AS last_cell FROM silver GROUP BY recorded_date",
         "s09_parameterised_sql": "SELECT geohash, count(*) AS n, max(convective_risk_score) AS worst FROM silver"
         " WHERE recorded_date = DATE '2024-01-15' AND convective_risk_score >= 50 GROUP BY geohash",
+        "s09_sql_functions": f"SELECT {raw}, flight_record_id, geohash, convective_risk_score AS risk,"
+        f" {category()} AS category FROM enriched",
+        "s02_stored_box": "SELECT flight_record_id, geohash, latitude, longitude FROM silver"
+        " WHERE latitude BETWEEN 38.4 AND 39.9 AND longitude BETWEEN -78.6 AND -76.1",
         "s10_file_digests": "SELECT day, CAST(strlen(line) + 1 AS BIGINT) AS length, sha256(line || chr(10)) AS sha256_checksum"
         f" FROM (SELECT {text('recorded_date')} AS day, {text('recorded_date')} || ',' || count(*) AS line FROM silver"
         " GROUP BY recorded_date)",

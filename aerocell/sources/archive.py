@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -16,9 +17,12 @@ from aerocell.schemas import ZSTD_LEVEL
 
 # Names Spark lists a store under, and the ones pyarrow opens it by.
 SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss", "gcs": "gs"}
+# Stores that speak the S3 protocol under an address of their own, set as
+# ``spark.hadoop.fs.<scheme>.endpoint``.
+S3_LIKE = ("r2",)
 
-# Keeps every exported file far below the 2 GB that one digest row can hold.
-MAX_ROWS_PER_FILE = 2_000_000
+# How much of a file a task holds while it copies or hashes it.
+BLOCK_BYTES = 1 << 20
 
 
 def export_parquet(
@@ -40,21 +44,27 @@ def export_parquet(
         .option("compression", "zstd")
         .option("parquet.compression.codec.zstd.level", str(level))
         .option("parquet.enable.dictionary", "true")
-        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
         .parquet(path)
     )
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """``(path, file_name, length)`` of every file below a folder, without reading contents."""
+    """``(path, file_name, length)`` of every file below a folder that has a byte, without reading contents."""
     return _binary(spark, path, pattern).select("path", _file_name(), "length")
 
 
-def file_digests(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """SHA-256 and byte length of every file below a folder."""
-    return _binary(spark, path, pattern).select(
-        "path", _file_name(), "length", F.sha2("content", 256).alias("sha256_checksum")
-    )
+def file_digests(
+    spark: SparkSession, path: str, pattern: str = "*.parquet", block: int = BLOCK_BYTES
+) -> DataFrame:
+    """SHA-256 and byte length of every file below a folder.
+
+    Files are listed without their contents and read in blocks, so a file may be
+    of any size; each is read by one task, as its digest needs its bytes in order.
+    """
+    files = list_files(spark, path, pattern)
+    # A number of partitions of its own: AQE would merge these few short rows into one task.
+    dealt = files.repartition(spark.sparkContext.defaultParallelism, "path")
+    return dealt.mapInPandas(_hasher(spark, block), "path string, file_name string, length bigint, sha256_checksum string")
 
 
 def _binary(spark: SparkSession, path: str, pattern: str) -> DataFrame:
@@ -140,25 +150,57 @@ def _absent(**columns: str) -> list[Column]:
     return [F.lit(None).cast(kind).alias(name) for name, kind in columns.items()]
 
 
-def _copier():
-    """The copying task: byte-exact, streamed in blocks.
+def _opener(spark: SparkSession):
+    """From a URI to its file system and path, whichever name Spark has for the store.
 
-    Built as a closure so that it travels to the executors by value; they need
-    pyarrow, not this package.
+    A closure: it travels to the executors by value; they need pyarrow, not this package.
     """
+    settings = spark._jsc.hadoopConfiguration()
+    schemes, endpoints = dict(SCHEMES), {scheme: settings.get(f"fs.{scheme}.endpoint") for scheme in S3_LIKE}
+
+    def open_uri(uri: str) -> tuple[fs.FileSystem, str]:
+        scheme, _, rest = uri.partition(":")
+        rest = "/" + rest.lstrip("/") if scheme == "file" else rest.removeprefix("//")
+        if scheme in endpoints:
+            if not endpoints[scheme]:
+                raise ValueError(f"{scheme}:// needs spark.hadoop.fs.{scheme}.endpoint")
+            return fs.S3FileSystem(endpoint_override=endpoints[scheme], region="auto"), rest
+        return fs.FileSystem.from_uri(f"{schemes.get(scheme, scheme)}://{rest}")
 
-    schemes = dict(SCHEMES)
+    return open_uri
 
-    def renamed(uri: str) -> str:
-        scheme, _, rest = uri.partition("://")
-        return f"{schemes.get(scheme, scheme)}://{rest}"
+
+def _hasher(spark: SparkSession, block: int):
+    """The hashing task: a file at a time, a block at a time."""
+    open_uri = _opener(spark)
+
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sums, sizes = [], []
+            for path in batch["path"]:
+                files, name = open_uri(path)
+                found, size = hashlib.sha256(), 0
+                with files.open_input_stream(name) as reader:
+                    while part := reader.read(block):
+                        found.update(part)
+                        size += len(part)
+                sums.append(found.hexdigest())
+                sizes.append(size)
+            yield pd.DataFrame({"path": batch["path"], "file_name": batch["file_name"], "length": sizes, "sha256_checksum": sums})
+
+    return digest
+
+
+def _copier(spark: SparkSession, block: int = BLOCK_BYTES):
+    """The copying task: byte-exact, streamed in blocks."""
+    open_uri = _opener(spark)
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sizes = []
             for source, target in zip(batch["source"], batch["target"]):
-                source_fs, source_path = fs.FileSystem.from_uri(renamed(source))
-                target_fs, target_path = fs.FileSystem.from_uri(renamed(target))
+                source_fs, source_path = open_uri(source)
+                target_fs, target_path = open_uri(target)
                 folder = target_path.rsplit("/", 1)[0]
                 target_fs.create_dir(folder, recursive=True)
                 # Renamed when whole: a retried task never leaves half a file.
@@ -166,9 +208,9 @@ def _copier():
                 with source_fs.open_input_stream(source_path) as reader:
                     with target_fs.open_output_stream(partial) as writer:
                         size = 0
-                        while block := reader.read(1 << 20):
-                            writer.write(block)
-                            size += len(block)
+                        while part := reader.read(block):
+                            writer.write(part)
+                            size += len(part)
                 target_fs.move(partial, target_path)
                 sizes.append(size)
             yield pd.DataFrame({"archive_key": batch["archive_key"], "length": sizes})
@@ -197,25 +239,21 @@ def _bare(root: str) -> str:
 
 
 def resolved(spark: SparkSession, path: str) -> str:
-    """A location as a URI; without a scheme it lies in the cluster's default file system."""
+    """A location as a URI; without a scheme it lies in the cluster's default file system.
+
+    That is the one Hadoop is set up with, in its own files or by Spark's settings.
+    """
     if "://" in path:
         return path.rstrip("/")
-    if path.startswith("file:"):
-        return "file:///" + path.removeprefix("file:").strip("/")
-    default = spark.conf.get("spark.hadoop.fs.defaultFS", "file://")
-    return default.rstrip("/") + "/" + path.strip("/") if default.rstrip("/") != "file:" else "file:///" + path.strip("/")
-
-
-def opened(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI, whichever name Spark has for the store."""
-    scheme, _, rest = uri.partition("://")
-    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
+    if not path.startswith("file:"):
+        path = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").rstrip("/") + "/" + path.strip("/")
+    return "file:///" + path.removeprefix("file:").strip("/") if path.startswith("file:") else path
 
 
 def ensure_folder(spark: SparkSession, path: str) -> str:
     """Create a folder if needed; returns it as a URI."""
     uri = resolved(spark, path)
-    target_fs, folder = opened(uri)
+    target_fs, folder = _opener(spark)(uri)
     target_fs.create_dir(folder, recursive=True)
     return uri
 
@@ -249,7 +287,7 @@ def restore_archives(
     copied = (
         # A fixed number of partitions: AQE would merge these few short rows into one task.
         work.repartition(spark.sparkContext.defaultParallelism, "source")
-        .mapInPandas(_copier(), "archive_key string, length bigint")
+        .mapInPandas(_copier(spark), "archive_key string, length bigint")
         .groupBy("archive_key")
         .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
         .agg(

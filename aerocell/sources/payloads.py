@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerocell import functions as fn
+from aerocell.functions.geohash import box_cover
 from aerocell.functions.numeric import without_nan
 from aerocell.functions.text import strip
 from aerocell.schemas import FLIGHT_SCHEMA, VECTOR_LENGTH, WEATHER_CHUNK, BoundingBox
+from aerocell.session import materialise
 
 # Position of every field in a state vector (12 is not used).
 VECTOR_POSITIONS = {
@@ -115,9 +117,9 @@ def bbox_filter(
 ) -> DataFrame:
     """Reports inside a box, ends included; an axis with an open end is not filtered.
 
-    Cell codes grow with both coordinates, so a fully bounded box also implies a
-    range of codes. Given the table's code column, that range is added: it
-    reaches the Parquet scan and skips row groups of a table sorted by cell.
+    A fully bounded box also implies a few ranges of cell codes. Given the
+    table's code column they are added: they reach the Parquet scan and skip row
+    groups of a table sorted by cell, those between the ranges too.
     """
     has_lat = box.lamin is not None and box.lamax is not None
     has_lon = box.lomin is not None and box.lomax is not None
@@ -126,9 +128,10 @@ def bbox_filter(
     if has_lon:
         df = df.filter(F.col("longitude").between(F.lit(box.lomin), F.lit(box.lomax)))
     if has_lat and has_lon and geohash_col is not None:
-        low = fn.geohash(F.lit(box.lamin), F.lit(box.lomin), precision)
-        high = fn.geohash(F.lit(box.lamax), F.lit(box.lomax), precision)
-        df = df.filter(F.col(geohash_col).between(low, high))
+        held = F.lit(False)
+        for low, high in box_cover(box.lamin, box.lamax, box.lomin, box.lomax, precision):
+            held = held | F.col(geohash_col).between(F.lit(low), F.lit(high))
+        df = df.filter(held)
     return df
 
 
@@ -147,27 +150,29 @@ def in_boxes(df: DataFrame, boxes: dict[str, BoundingBox]) -> DataFrame:
 
 
 def weather_request_plan(
-    centroids: DataFrame, chunk: int = WEATHER_CHUNK, by: tuple[str, ...] = (), prefix: int = 2
+    centroids: DataFrame, chunk: int = WEATHER_CHUNK, by: tuple[str, ...] = ()
 ) -> DataFrame:
     """Requests of at most ``chunk`` cells each, numbered from 0 per ``by`` group.
 
     ``centroids`` holds distinct ``(by.., geohash, lat, lon)`` rows. Cells are
-    numbered in code order in two levels, so no task sees all of them: a rank
-    inside each code prefix, plus the running count of the earlier prefixes
-    (at most ``32**prefix`` rows per group).
+    dealt out in ranges of their order, as many as the data ask for and about
+    equally large; a cell's number is its rank inside its range plus the running
+    count of the group's earlier ranges. So no task sees all cells of a group,
+    nor those of one code prefix, whatever the precision.
     """
-    head = F.substring("geohash", 1, prefix)
-    cells = centroids.select(*by, "geohash", "lat", "lon", head.alias("_head"))
-    inside = Window.partitionBy(*by, "_head").orderBy("geohash")
-    before = Window.partitionBy(*by).orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
+    cells = centroids.select(*by, "geohash", "lat", "lon").repartitionByRange(*by, "geohash")
+    # Written once: both readers below must see the same ranges.
+    cells = materialise(cells.withColumn("_range", F.spark_partition_id()), "cells")
+    inside = Window.partitionBy(*by, "_range").orderBy("geohash")
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        cells.groupBy(*by, "_head")
+        cells.groupBy(*by, "_range")
         .agg(F.count("*").alias("_n"))
-        .select(*by, "_head", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        .select(*by, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
     numbered = (
         cells.withColumn("_rank", F.row_number().over(inside) - 1)
-        .join(offsets, [*by, "_head"])
+        .join(offsets, [*by, "_range"])
         .withColumn("request_no", F.floor((F.col("_offset") + F.col("_rank")) / F.lit(chunk)))
     )
     # A request holds at most ``chunk`` cells, which bounds the collected lists.
