@@ -69,6 +69,77 @@ def fresh_rows(
     return new_records(known_keys(spark, table, spans, key), first, key)
 
 
+# Of a table of keys: enough that a bucket of a day fits a task; more than the shuffle
+# partitions of a session, or Spark would rather deal the stored side out again.
+KEY_BUCKETS = 256
+
+
+def create_keys(spark: SparkSession, table: str, buckets: int = KEY_BUCKETS, key: str = "flight_record_id") -> None:
+    """An empty table of the keys that a silver table holds, dealt into buckets by key on every day."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({key} STRING, recorded_date DATE) USING parquet"
+        f" PARTITIONED BY (recorded_date) CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS"
+    )
+
+
+def _buckets(spark: SparkSession, table: str) -> int:
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Num Buckets'").first()
+    return int(about["data_type"])
+
+
+def rows_without_key(
+    spark: SparkSession, keys: str, rows: DataFrame, days: Sequence[dt.date], key: str = "flight_record_id"
+) -> DataFrame:
+    """Rows, unique by key, whose key the table ``keys`` does not hold on these days.
+
+    The stored keys lie in buckets by key, so only the rows are dealt out: to as
+    many partitions as there are buckets. However long the history, a batch
+    moves its own rows and reads the keys of its own days in place.
+    """
+    dealt = rows.repartition(_buckets(spark, keys), key)
+    return dealt.join(on_days(spark.table(keys), days).select(key), key, "left_anti")
+
+
+def add_keys(spark: SparkSession, keys: str, rows: DataFrame, key: str = "flight_record_id") -> None:
+    """Append the keys of stored rows; a key that is added twice does no harm."""
+    dealt = rows.select(key, "recorded_date").repartition(_buckets(spark, keys), key)
+    dealt.write.insertInto(keys)
+
+
+def insert_ignore_by_keys(
+    spark: SparkSession,
+    table: str,
+    keys: str,
+    batch: DataFrame,
+    order: Sequence[str] = ("ingested_at",),
+    key: str = "flight_record_id",
+) -> int:
+    """:func:`insert_ignore` with the stored keys in a table of their own, which is not shuffled.
+
+    The table takes the new rows before ``keys`` does: where a failure comes in
+    between, :func:`sync_keys` has to follow before the batch is repeated.
+    """
+    first = first_per_key(batch, [key], [F.col(c) for c in order])
+    seen = (F.collect_set("recorded_date").alias("days"), F.count(F.lit(1)).alias("n"))
+    with staged(first, database_of(table), *seen) as (rows, known):
+        if not known["n"]:
+            return 0
+        unknown = rows_without_key(spark, keys, rows, known["days"], key).select(*SILVER.columns)
+        with staged(unknown, database_of(table), F.count(F.lit(1)).alias("n")) as (fresh, new):
+            if new["n"]:
+                write_table(fresh, table, SILVER)
+                add_keys(spark, keys, fresh, key)
+            return new["n"]
+
+
+def sync_keys(
+    spark: SparkSession, table: str, keys: str, days: Sequence[dt.date], key: str = "flight_record_id"
+) -> None:
+    """Add the keys that ``table`` holds on these days and ``keys`` does not."""
+    stored = on_days(spark.table(table), days).select(key, "recorded_date").distinct()
+    add_keys(spark, keys, rows_without_key(spark, keys, stored, days, key), key)
+
+
 def insert_ignore(
     spark: SparkSession,
     table: str,

@@ -600,6 +600,21 @@ def _d01(spark, sf):
     return spark.table(table).select(*SILVER_SCHEMA.names)
 
 
+@register("d01_insert_ignore_by_keys")
+def _d01k(spark, sf):
+    """The same with the stored keys in buckets of their own."""
+    database = scratch_database(spark)
+    tables.create_tables(spark, database)
+    table, keys = f"{database}.silver", f"{database}.keys"
+    maintenance.create_keys(spark, keys, 16)
+    rows = silver_rows(fx.flights_raw(spark, sf), fx.readings(spark, sf), keep=tuple(ROW), weather_order=("o",))
+    batch = materialise(rows, "batch")
+    early = batch.filter(F.col("recorded_date") <= F.lit(fx.FLAGSHIP_DAY))
+    for part in (early, batch):
+        maintenance.insert_ignore_by_keys(spark, table, keys, part, ROW)
+    return spark.table(table).select(*SILVER_SCHEMA.names)
+
+
 @register("d02_upsert_gold")
 def _d02(spark, sf):
     """The morning's matrix with the later rebuild of its recent days merged in."""
@@ -763,6 +778,20 @@ def _st2(spark, sf):
     return spark.table(table).select(*SILVER_SCHEMA.names)
 
 
+@register("st2_stream_dedupe_stateful")
+def _st2s(spark, sf):
+    """Three batches into files, the ids remembered by the query's own state across restarts."""
+    out, weather = shared_dir(spark), _stored_weather(spark, sf)
+    streams.with_disk_state(spark)
+
+    def run(rows, checkpoint):
+        first = streams.dedupe_stateful(_silver_from(rows, weather))
+        return streams.start(first.writeStream.format("parquet").option("path", out), checkpoint, once=True)
+
+    _in_three(spark, sf, run)
+    return spark.read.parquet(out).select(KEY, "icao24", "recorded_date")
+
+
 @register("st3_stream_enrich")
 def _st3(spark, sf):
     return _to_files(_stream_silver(spark, sf, tuple(ROW)))

@@ -507,6 +507,7 @@ def sql_by_name() -> dict[str, str]:
         "t02_latest_audit": f"SELECT {_audit_shown(AUDIT_COLUMNS)} FROM (SELECT * FROM audit ORDER BY archival_timestamp DESC, audit_id LIMIT 50)",
         # maintenance and custody
         "d01_insert_ignore": f"SELECT {shown(SILVER_COLUMNS)} FROM silver",
+        "d01_insert_ignore_by_keys": f"SELECT {shown(SILVER_COLUMNS)} FROM silver",
         "d02_upsert_gold": MERGED_GOLD,
         "d03_delete_partition": f"{PER_DAY} FROM silver WHERE recorded_date <> DATE '2024-01-15' GROUP BY recorded_date",
         "d04_evict_partition": "SELECT eviction_status, record_count_evicted, hot_rows, archived_rows FROM"
@@ -527,6 +528,8 @@ def sql_by_name() -> dict[str, str]:
         # streams
         "st1_stream_pipeline": ALL_GOLD,
         "st2_stream_dedupe": f"SELECT {shown(SILVER_COLUMNS)} FROM ({ARRIVED}) WHERE nth = 1",
+        "st2_stream_dedupe_stateful": f"SELECT flight_record_id, icao24, {text('recorded_date')} AS recorded_date"
+        f" FROM ({ARRIVED}) WHERE nth = 1",
         "st3_stream_enrich": f"SELECT {raw}, {shown(SILVER_COLUMNS)} FROM enriched",
         "st4_stream_gold": f"SELECT {shown(GOLD_COLUMNS)} FROM ({gold_from(f'(SELECT * FROM ({ARRIVED}) WHERE nth = 1)')})",
         "st5_refresh_touched_days": ALL_GOLD,

@@ -339,6 +339,26 @@ def dedupe_stream(
     return start(silver.writeStream.foreachBatch(handle), checkpoint, once)
 
 
+def dedupe_stateful(silver: DataFrame, key: str = "flight_record_id") -> DataFrame:
+    """First report of every record id as an append stream, for sinks that are not tables.
+
+    The ids are the query's state, without a watermark, so however late a copy
+    comes it is dropped and no first report ever is. The state grows with the
+    ids: run it with :func:`with_disk_state`, which keeps it on disk and saves
+    only what a batch changed. Of copies in one batch any may come first. A
+    table as a sink needs no such state: see :func:`dedupe_stream`.
+    """
+    return silver.dropDuplicates([key])
+
+
+def with_disk_state(spark: SparkSession) -> SparkSession:
+    """Keep the state of the session's streams on the executors' disks, saved to the checkpoint as changes."""
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return spark
+
+
 def enrich_stream(
     flights: DataFrame, weather: DataFrame, keys: tuple[str, ...] = ("cycle_id", "geohash")
 ) -> DataFrame:
