@@ -53,7 +53,10 @@ def shared_dir(spark: SparkSession) -> str:
     Executors reach either, as tables live in the warehouse.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/aerocell-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/aerocell-{uuid.uuid4().hex}"
+    for made in _COLLECTORS:
+        made.append(folder)
+    return folder
 
 
 def scratch_database(spark: SparkSession) -> str:
@@ -75,6 +78,40 @@ def materialise(df, name: str = "table"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_roots(df) -> list[str]:
+    """The folders and files that a frame reads, as they were given to the reader."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    found = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            paths = leaf.relation().location().rootPaths()
+            found += [paths.apply(k).toString() for k in range(paths.size())]
+    return found
+
+
+def discard(df) -> None:
+    """Delete what :func:`materialise` has written for ``df``, which is not needed any more."""
+    for path in stored_roots(df):
+        if "/aerocell-" in path:
+            remove_folder(df.sparkSession, path.rsplit("/", 1)[0])
+
+
+@contextmanager
+def collected():
+    """A list of the folders that :func:`shared_dir` hands out in a block, for whoever is to remove them."""
+    made: list[str] = []
+    _COLLECTORS.append(made)
+    try:
+        yield made
+    finally:
+        _COLLECTORS.remove(made)
+
+
+# Lists that take note of new folders, innermost last.
+_COLLECTORS: list[list[str]] = []
+
+
 @contextmanager
 def staged(df, database: str, *seen):
     """``df`` as a table of ``database`` for the duration of a block; its files go with it.

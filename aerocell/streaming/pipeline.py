@@ -313,11 +313,16 @@ def run_stream(
     """The whole pipeline on a stream of raw reports.
 
     A ``run_id`` names the metrics of one checkpoint; by default it is the
-    checkpoint's folder, so that a restart goes on with the same run.
+    checkpoint's folder, so that a restart goes on with the same run. A
+    ``dry_run`` keeps its offsets in a folder of its own, so it goes through
+    all there is and the next real run still sees it.
     """
+    run_id = run_id or checkpoint
+    if dry_run:
+        checkpoint = shared_dir(reports.sparkSession)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, weather, sink, order=order, run_id=run_id or checkpoint, dry_run=dry_run)
+        process_batch(batch, batch_id, weather, sink, order=order, run_id=run_id, dry_run=dry_run)
 
     return start(reports.writeStream.foreachBatch(handle), checkpoint, once, interval)
 

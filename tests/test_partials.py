@@ -156,3 +156,12 @@ def test_weather_is_made_unique_once_and_without_sorted_aggregates(spark, sf, na
     text = plan(catalog.QUERIES[name](spark, sf), "simple")
     assert "SortAggregate" not in text and text.count("o_orderkey") > 0
     assert text.count("WindowGroupLimit [cycle_id" if "many" not in name else "WindowGroupLimit [geohash") <= 2
+
+
+def test_a_dry_run_leaves_the_offsets(spark, sf, sink):  # noqa: F811
+    source, checkpoint = catalog._event_stream(spark, sf), catalog.shared_dir(spark)
+    weather = materialise(fixtures.weather(spark, sf), "weather")
+    for dry in (True, False):
+        streams.run_stream(source, weather, sink, checkpoint, order=ROW, dry_run=dry).awaitTermination()
+        assert (spark.table(sink.silver).count() == 0) == dry
+    assert spark.table(sink.metrics).first()["run_id"] == checkpoint
