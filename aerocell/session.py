@@ -105,7 +105,8 @@ def collected():
     try:
         yield made
     finally:
-        _COLLECTORS.remove(made)
+        # By identity: equal lists are different ones.
+        _COLLECTORS[:] = [c for c in _COLLECTORS if c is not made]
 
 
 # Lists that take note of new folders, innermost last.
