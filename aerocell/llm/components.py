@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerocell.session import materialise
+from aerocell.session import discard, materialise
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -48,15 +48,16 @@ def components(links: DataFrame) -> DataFrame:
     ``links`` has columns ``a`` and ``b`` of one ordered type, in any order and
     with repeats; links with a null end or of a node to itself say nothing.
     Every round is written to the shared folder and read back, so a lost
-    executor costs one round; the number of rounds grows with the logarithm of
-    the longest path. Nothing but a count and two checksums reaches the driver.
+    executor costs one round, and removed after the next; the number of rounds
+    grows with the logarithm of the longest path. Nothing but a count and two checksums reaches the driver.
     """
     kept = links.select("a", "b").filter("a <> b").distinct()
     now = materialise(kept, "links")
     mark = _mark(now)
     while mark[0]:
-        now = materialise(_stars(_stars(now, large=True), large=False), "links")
+        last, now = now, materialise(_stars(_stars(now, large=True), large=False), "links")
         before, mark = mark, _mark(now)
+        discard(last)
         if mark == before:
             break
     roots = now.groupBy("a").agg(F.min("b").alias("b"))
