@@ -768,6 +768,24 @@ def _st1(spark, sf):
     return spark.table(sink.gold).select(*GOLD_SHOWN)
 
 
+@register("st1_payload_stream")
+def _st1p(spark, sf):
+    """Response texts of both feeds to the matrix: positions as a stream of texts, the weather of a batch read when it runs."""
+    sink = streams.Sink.in_database(spark, _database(spark))
+    positions, responses = shared_dir(spark), shared_dir(spark)
+    fx.state_payloads(spark, sf).write.text(positions)
+    fx.weather_payloads(spark, sf).write.parquet(responses)
+
+    def weather(session, batch_id):
+        stored = session.read.parquet(responses)
+        return payloads.parse_weather_payload(stored, keep=("cycle_id",), now=F.lit(NOW))
+
+    texts = spark.readStream.text(positions).withColumnRenamed("value", "payload")
+    order = ("longitude", "latitude")
+    streams.run_stream(streams.reports_of(texts), weather, sink, shared_dir(spark), order=order).awaitTermination()
+    return spark.table(sink.gold).select(*GOLD_SHOWN)
+
+
 @register("st2_stream_dedupe")
 def _st2(spark, sf):
     """Three batches that each span all days: the first copy to arrive of every id."""

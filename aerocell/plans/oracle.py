@@ -351,6 +351,28 @@ def _enriched_at(precision: int, keys: tuple[str, ...]) -> str:
     return f"SELECT event_id, copy, {shown(SILVER_COLUMNS)} FROM ({joined})"
 
 
+def _from_payloads() -> str:
+    """Reports and readings that the response texts hold, joined; the first report of an id by its position."""
+    newest = ", ".join(f"{m} DESC NULLS LAST" for m in MEASURES)
+    measures = ", ".join(f"w.{m}" for m in MEASURES)
+    readings = f"""SELECT * REPLACE (CASE WHEN o % 41 = 0 THEN {NOW} ELSE weather_recorded_at END AS weather_recorded_at)
+      FROM (SELECT *, row_number() OVER (PARTITION BY cycle_id, o // 1500 ORDER BY o DESC) AS back FROM weather_raw)
+      WHERE NOT (back = 1 AND (o // 1500) % 3 = 2)"""
+    last = (
+        f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cycle_id, geohash ORDER BY {newest}) AS nth"
+        f" FROM ({readings})) WHERE nth = 1"
+    )
+    first = (
+        "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY flight_record_id ORDER BY longitude, latitude) AS place"
+        " FROM tagged WHERE event_id % 101 <> 7 AND (event_id // 50) % 40 <> 39) WHERE place = 1"
+    )
+    score = risk("w.precipitation_mm", "w.wind_gusts_mps", "w.cloud_cover_pct")
+    return (
+        f"(SELECT f.*, {measures}, {score} AS convective_risk_score FROM ({first}) f"
+        f" LEFT JOIN ({last}) w ON f.cycle_id = w.cycle_id AND f.geohash = w.geohash)"
+    )
+
+
 def sql_by_name() -> dict[str, str]:
     """Query name -> SQL."""
     raw = "event_id, copy"
@@ -527,6 +549,7 @@ def sql_by_name() -> dict[str, str]:
         "v03_archival_audit_trail": f"SELECT {AUDIT_VIEW} FROM audit",
         # streams
         "st1_stream_pipeline": ALL_GOLD,
+        "st1_payload_stream": f"SELECT {shown(GOLD_COLUMNS)} FROM ({gold_from(_from_payloads())})",
         "st2_stream_dedupe": f"SELECT {shown(SILVER_COLUMNS)} FROM ({ARRIVED}) WHERE nth = 1",
         "st2_stream_dedupe_stateful": f"SELECT flight_record_id, icao24, {text('recorded_date')} AS recorded_date"
         f" FROM ({ARRIVED}) WHERE nth = 1",
