@@ -164,3 +164,19 @@ def test_memory_is_bounded():
     assert pending([("system", 0)] + [("user", 1)] * 5000 + [("user", 0)]) < 10
     assert pending([("user", 3), ("user", 0), ("system", 2), ("assistant", 0), ("system", 3)] * 3000) < 40
     assert pending([("system", 3)] * 5000) < 40
+
+
+def test_a_text_of_three_megabytes(spark):
+    text = "word " * 600_000
+    rows = [(1, 0, "user", text), (1, 1, "assistant", text + "end."), (1, 2, "user", text)]
+    (one,) = audit_conversations(spark.createDataFrame(rows, ROWS)).collect()
+    # Cut off twice, and the second time a repeat.
+    assert (one.truncated, one.duplicate, one.audit, one.cost) == (1, 1, "KKD", 4)
+    assert one.repaired_sha256 == hashlib.sha256(f"user:{text}\nassistant:{text}end.".encode()).hexdigest()
+
+
+def test_one_exchange_deals_conversations_out(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "a.")], ROWS)
+    text = audit_conversations(rows)._jdf.queryExecution().toString()
+    physical = text[text.index("== Physical Plan ==") :]
+    assert physical.count("Exchange hashpartitioning(conv_id") == physical.count("Exchange ") == 1

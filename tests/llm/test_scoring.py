@@ -158,3 +158,17 @@ def test_words(texts):
             assert (tokens[at], first[at], second[at]) == (own[j], own[j - 1], own[j - 2])
             at += 1
     assert at == len(tokens)
+
+
+def test_a_text_of_three_megabytes(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "_TOKENS_AT_ONCE", 1000)
+    texts = [prose(1, 500_000, 3000), "x" * 3_000_000, prose(2, 50)]
+    docs = docs_of(spark, texts)
+    rows = {r.doc_id: r for r in scoring.score_texts(docs, scoring.train(docs)).collect()}
+    counts = Counter(t for text in texts for t in tokens_of(text))
+    n, v = sum(counts.values()), len(counts)
+    for i, text in enumerate(texts):
+        own = tokens_of(text)
+        assert (rows[i].n_tokens, rows[i].n_known, rows[i].train_tokens) == (len(own), len(own), n)
+        assert rows[i].base_score == pytest.approx(math.fsum(math.log10((counts[t] + 1) / (n + v + 1)) for t in own), rel=1e-9)
+        assert math.isfinite(rows[i].score)
