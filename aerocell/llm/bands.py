@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerocell.llm.components import components
-from aerocell.session import materialise
+from aerocell.session import discard, materialise
 
 # At similarity 0.8 a pair shares a band with probability 1 - (1 - 0.8^3)^10 = 0.9992.
 BANDS = 10
@@ -68,7 +68,11 @@ def band_members(signed: DataFrame, bands: int, rows: int) -> DataFrame:
         F.min_by("node", rank).alias("rep"), F.min("node").alias("_low"), F.max("node").alias("_high")
     )
     shared = materialise(shared.filter("_low <> _high").select("_key", "rep"), "shared")
-    return materialise(spread.join(bounded(shared), "_key").select("_key", "node", "rep"), "members")
+    members = materialise(spread.join(bounded(shared), "_key").select("_key", "node", "rep"), "members")
+    # The keys of all nodes are many times the members'.
+    discard(spread)
+    discard(shared)
+    return members
 
 
 def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:

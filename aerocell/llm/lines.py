@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerocell.llm.bands import BANDS, ROWS, band_members, bounded, largest_hash, linked, signatures
-from aerocell.session import materialise
+from aerocell.session import discard, materialise
 
 SHINGLE = 7
 SIMILARITY = 0.8
 
-# Parts of the sketch that rules out pairs; a power of two.
-SKETCH = 64
-# Lines of fewer shingles have no sketch: its parts would hang together too closely.
-SKETCHED_FROM = 100
+# Words of 64 bits of the map that rules out pairs; a power of two.
+WORDS = 8
+# Lines of so many shingles have their distinct ones counted.
+COUNTED_FROM = 300
 
 _WIDTH = 4  # bytes of a character in UTF-32
 
@@ -52,47 +50,48 @@ def _signatures(lines: DataFrame, size: int, minima: int) -> DataFrame:
     return signatures(each.select("node", (F.col("_at") < 0).alias("_first"), "_most", shingle.alias("_h")), minima)
 
 
-def _sketched(texts: DataFrame, size: int) -> DataFrame:
-    """``node, _n, _s0...``: how many distinct shingles, and the sketch of a line that has enough of them, or nulls.
+def _mapped(texts: DataFrame, size: int) -> DataFrame:
+    """``node, _n, _exact, _s0...``: the number of shingles, and a map of 512 bits in which each sets one.
 
-    A sketch is the low bytes of the least hash in each of SKETCH parts, eight to a number.
+    Of a line that would fill its map the distinct shingles are counted, of a
+    shorter one all, as its map tells how many are distinct at least.
     """
-    bits = SKETCH.bit_length() - 1
-    sets = texts.select("node", _hashes("_bytes", size).alias("_set"))
-    sized = sets.select("node", F.size("_set").alias("_n"), "_set")
-    # A line without a sketch needs none of its hashes.
-    used = F.when(F.col("_n") >= SKETCHED_FROM, F.col("_set")).otherwise(F.slice("_set", 1, 1))
-    hashed = sized.select("node", "_n", F.explode(used).alias("_h"))
-    flips = [k << (64 - bits) for k in range(SKETCH)]
-    least = [F.min(F.col("_h").bitwiseXOR(F.lit(f - (1 << 64) if f >> 63 else f))).alias(f"m{k}") for k, f in enumerate(flips)]
-    packed = []
-    for first in range(0, SKETCH, 8):
-        number = F.lit(0).cast("long")
-        for k in range(8):
-            number = number.bitwiseOR(F.shiftleft(F.col(f"m{first + k}").bitwiseAND(F.lit(255)), 8 * k))
-        packed.append(F.when(F.col("_n") >= SKETCHED_FROM, number).alias(f"_s{first // 8}"))
-    return hashed.groupBy("node", "_n").agg(*least).select("node", "_n", *packed)
-
-
-def _promising(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
-    """The distinct pairs whose sizes allow the similarity and whose sketches, if both have one, agree often enough.
-
-    Of 64 parts a pair at the limit agrees in 51 on average, with a deviation of
-    3; pairs more than four deviations below are left out.
+    shingles = _n_shingles(F.col("_bytes"), size)
+    counted = texts.select("node", "_bytes", shingles.alias("_all"), (shingles >= COUNTED_FROM).alias("_exact"))
+    number = F.when(F.col("_exact"), F.size(_hashes("_bytes", size))).otherwise(F.col("_all")).alias("_n")
+    counted = counted.select("node", "_bytes", "_all", "_exact", number)
+    each = counted.select("node", "_n", "_exact", "_bytes", F.explode(F.sequence(F.lit(0), F.col("_all") - 1)).alias("_at"))
+    hashed = each.select("node", "_n", "_exact", _shingle(F.col("_bytes"), F.col("_at"), size).alias("_h"))
+    bit, word = F.expr("shiftleft(1L, CAST(_h & 63 AS INT))"), F.shiftrightunsigned("_h", 6).bitwiseAND(F.lit(WORDS - 1))
+    none = F.lit(0).cast("long")
+    maps = [F.bit_or(F.when(word == w, bit).otherwise(none)).alias(f"_s{w}") for w in range(WORDS)]
+    return hashed.groupBy("node", "_n", "_exact").agg(*maps)
+
+
+def _promising(pairs: DataFrame, maps: DataFrame, similarity: float) -> DataFrame:
+    """The distinct pairs whose sizes and maps allow the similarity; a similar pair is never left out.
+
+    Every bit in which two maps differ is set by a shingle that only one of the
+    lines has. Of two lines of that similarity s with n distinct shingles in
+    all, each counted where it stands, at most n (1 - s) / (1 + s) are such. A
+    line has at most ``_n`` distinct shingles, and at least that many or as many
+    as its map has bits.
     """
-    names = [f"_s{i}" for i in range(SKETCH // 8)]
-    one = sketches.select(F.col("node").alias("a"), F.col("_n").alias("_na"), *(F.col(n).alias("x" + n) for n in names))
-    two = sketches.select(F.col("node").alias("b"), F.col("_n").alias("_nb"), *(F.col(n).alias("y" + n) for n in names))
+    names = [f"_s{i}" for i in range(WORDS)]
+    bits = F.lit(0)
+    for n in names:
+        bits = bits + F.bit_count(n)
+    sized = maps.withColumn("_least", F.when(F.col("_exact"), F.col("_n")).otherwise(bits))
+    columns = ("_n", "_least", *names)
+    one = sized.select(F.col("node").alias("a"), *(F.col(c).alias("x" + c) for c in columns))
+    two = sized.select(F.col("node").alias("b"), *(F.col(c).alias("y" + c) for c in columns))
     met = pairs.select("a", "b").distinct().join(one, "a").join(two, "b")
-    agree = F.lit(0)
+    differ = F.lit(0)
     for n in names:
-        differ = F.col("x" + n).bitwiseXOR(F.col("y" + n))
-        for k in range(8):
-            agree = agree + (F.shiftrightunsigned(differ, 8 * k).bitwiseAND(F.lit(255)) == 0).cast("int")
-    least = SKETCH * similarity - 4 * math.sqrt(SKETCH * similarity * (1 - similarity))
-    fit = F.least("_na", "_nb") >= similarity * F.greatest("_na", "_nb")
-    short = F.least("_na", "_nb") < SKETCHED_FROM
-    return met.filter(fit & (short | (agree >= least))).select("a", "b")
+        differ = differ + F.bit_count(F.col("x" + n).bitwiseXOR(F.col("y" + n)))
+    most = (F.col("x_n") + F.col("y_n")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    fit = (F.col("x_n") >= similarity * F.col("y_least") - 1e-6) & (F.col("y_n") >= similarity * F.col("x_least") - 1e-6)
+    return met.filter(fit & (differ <= most)).select("a", "b")
 
 
 def _scored(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -112,8 +111,17 @@ def _scored(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 
 
 def _hashes(line: str, size: int) -> Column:
-    places = F.sequence(F.lit(0), _n_shingles(F.col(line), size) - 1)
-    return F.array_distinct(F.transform(places, lambda i: _shingle(F.col(line), i, size)))
+    """The distinct shingles of a line.
+
+    The line is handed to the inner loop as a variable of an outer one: read
+    from the row, it would be copied whole for every shingle.
+    """
+
+    def distinct(whole: Column) -> Column:
+        places = F.sequence(F.lit(0), _n_shingles(whole, size) - 1)
+        return F.array_distinct(F.transform(places, lambda i: _shingle(whole, i, size)))
+
+    return F.get(F.transform(F.array(F.col(line)), distinct), F.lit(0))
 
 
 def similar_lines(
@@ -121,21 +129,24 @@ def similar_lines(
 ) -> DataFrame:
     """``node, root`` of every distinct line that is similar to another one; lines of one root are connected.
 
-    The lines of a band are linked as ``linked`` says. Sizes and, between long
-    lines, sketches rule out most pairs that are far from similar before their
-    shingles are compared.
+    The lines of a band are linked as ``linked`` says. Sizes and maps of the
+    shingles rule out most pairs that are far from similar, and none that is
+    similar, before their shingles are compared.
     """
     lines = _line_rows(docs)
     members = band_members(_signatures(lines, size, bands * rows), bands, rows)
     wanted = materialise(members.select("node").distinct(), "wanted")
     found = lines.join(bounded(wanted), "node").select("node", _encoded(F.col("_line")).alias("_bytes"))
     texts = materialise(found.distinct(), "texts")
-    sketches = materialise(_sketched(texts, size), "sketches")
+    discard(wanted)
+    maps = materialise(_mapped(texts, size), "maps")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        promising = materialise(_promising(pairs, sketches, similarity), "promising")
+        promising = materialise(_promising(pairs, maps, similarity), "promising")
         scored = _scored(promising, texts, size)
-        return materialise(scored.filter(F.col("score") >= similarity).select("a", "b"), "links")
+        links = materialise(scored.filter(F.col("score") >= similarity).select("a", "b"), "links")
+        discard(promising)
+        return links
 
     return linked(members, verified)
 

@@ -1,8 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from small import AWKWARD, docs_of, prose, saved
 
+from aerocell.llm import lines
 from aerocell.llm.lines import duplicate_lines, without_duplicate_lines
 from aerocell.llm.queries import QUERIES
 
@@ -107,3 +109,23 @@ def test_short_lines_with_a_tail(spark, length):
     assert all(got[i] == [] for i in range(0, 800, 2))
     # The bands alone miss less than one pair in a thousand.
     assert sum(got[i] == [0] for i in range(1, 800, 2)) >= 399
+
+
+def test_maps_leave_no_similar_pair_out(spark):
+    """Pairs at and around the limit, from six shingles to beyond what a map tells apart."""
+    pick, rows, pairs = random.Random(8), [], []
+    for n in range(700):
+        own = "".join(pick.choices("abcdefgh", k=12 + n * n // 300))
+        for k in range(3):
+            other = own + "".join(pick.choices("abcdefgh", k=max(1, len(own) * k // 8)))
+            rows += [(6 * n + 2 * k, own), (6 * n + 2 * k + 1, other)]
+            pairs.append((6 * n + 2 * k, 6 * n + 2 * k + 1))
+    texts = spark.createDataFrame(rows, "node long, _line string").select("node", lines._encoded(F.col("_line")).alias("_bytes"))
+    frame = spark.createDataFrame(pairs, "a long, b long")
+    kept = {tuple(r) for r in lines._promising(frame, lines._mapped(texts, 7), 0.8).collect()}
+    scored = lines._scored(frame, texts, 7).collect()
+    similar = {(r.a, r.b) for r in scored if r.score >= 0.8}
+    assert similar <= kept and 500 < len(similar) < len(pairs) - 500
+    # Lines of up to some 200 characters: a longer one fills its map.
+    far = frame.filter("a < 1500").select("a", ((F.col("b") + 601) % 1500).alias("b"))
+    assert lines._promising(far, lines._mapped(texts, 7), 0.8).count() < 0.02 * far.count()
