@@ -21,6 +21,14 @@ _PER_PART = 7
 # Sides up to this many rows (of some 50 bytes) are broadcast, larger ones shuffled.
 BROADCAST_ROWS = 500_000
 
+# Rounds of checks against members of a band's largest component, and members a round.
+ROUNDS = 8
+PIVOTS = 3
+# Pairs for each node that are compared without a round.
+_FEW = 2
+# A round is followed by another if no more than this share of the nodes stays apart.
+_HELPED = 0.9
+
 # Members more frequent than this rank alike.
 _RANKED = (1 << 22) - 1
 
@@ -75,24 +83,93 @@ def band_members(signed: DataFrame, bands: int, rows: int) -> DataFrame:
     return members
 
 
-def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(
+    members: DataFrame,
+    verified: Callable[[DataFrame], DataFrame],
+    facts: Callable[[DataFrame], DataFrame] | None = None,
+    fit: Callable[[str, str], Column] | None = None,
+) -> DataFrame:
     """``node, root`` of every node that ``verified``, which keeps the true ones of pairs ``a, b``, links to another.
 
     Each node of a band is checked against the band's most frequent one. Where
-    that leaves a band in several components, the nodes outside the main one
-    are checked against the nodes of other components, so no verified link
-    between two components of a band is missed, yet a large group of near
-    copies is not compared pair by pair.
+    that leaves a band in several components, the nodes outside its largest one
+    are checked against a few members of that, other ones in each round, as long
+    as this connects many. What is still apart is checked against all nodes of
+    other components, so no verified link between two components of a band is
+    missed, yet a large group of near copies is not compared pair by pair. The
+    join of that last check keeps only pairs that ``fit`` allows, if it is given:
+    of the table that ``facts`` makes for some nodes (``node`` and more), it takes
+    the columns with two prefixes, and must hold for every pair that ``verified``
+    keeps. So what is handed on grows with the links; the comparisons inside the
+    join are as many as such pairs, spread over tasks and held by none.
     """
     links = verified(members.filter("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")))
     roots = materialise(components(links), "roots")
-    main = roots.select(F.col("node").alias("rep"), F.col("root").alias("_root"))
-    labelled = members.join(roots, "node", "left").join(main, "rep", "left")
-    label, own = F.coalesce("root", "node").alias("_label"), F.coalesce("_root", "rep").alias("_main")
-    labelled = materialise(labelled.select("_key", "node", "rep", label, own), "labelled")
-    apart = labelled.filter("_label <> _main").select("_key", F.col("node").alias("a"), F.col("_label").alias("_la"))
+    before = None
+    for number in range(ROUNDS + 1):
+        parted = _parted(members, roots, number)
+        size = parted.agg(F.sum("_all"), F.sum("_apart"), F.sum(F.col("_apart") * F.col("_all"))).first()
+        if not size[0]:
+            discard(parted)
+            return roots
+        opened = _opened(members, roots, parted)
+        discard(parted)
+        # Few pairs are compared at once; so are many, where the last round has not helped.
+        if number == ROUNDS or size[2] <= _FEW * size[0] or (before and size[1] > _HELPED * before):
+            break
+        before = size[1]
+        tried = opened.filter("_label <> _main").select(F.col("node").alias("a"), F.explode("_pivots").alias("b"))
+        more = verified(tried)
+        old, known = roots, roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = materialise(components(known.union(more)), "roots")
+        for past in (old, more, opened):
+            discard(past)
+    more = verified(_across(opened, facts, fit))
+    if not more.head(1):
+        return roots
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+
+
+def _labels(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.join(roots, "node", "left").select("_key", "node", "rep", F.coalesce("root", "node").alias("_label"))
+
+
+def _parted(members: DataFrame, roots: DataFrame, number: int) -> DataFrame:
+    """``_key, _main, _pivots, _all, _apart`` of each band in several components.
+
+    The main one has the most nodes; ``_pivots`` are some of them, by the number
+    of the round. Counted before the shuffles, first by component.
+    """
+    seeds = [F.lit(number * PIVOTS + i) for i in range(PIVOTS)]
+    some = [F.min_by("node", F.xxhash64(seed, "node")).alias(f"_p{i}") for i, seed in enumerate(seeds)]
+    per_label = _labels(members, roots).groupBy("_key", "_label").agg(F.count(F.lit(1)).alias("_n"), *some)
+    main = F.max(F.struct("_n", "_label", *(f"_p{i}" for i in range(PIVOTS)))).alias("_most")
+    per_key = per_label.groupBy("_key").agg(main, F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_labels"))
+    pivots = F.array_distinct(F.array(*(f"_most._p{i}" for i in range(PIVOTS)))).alias("_pivots")
+    apart = (F.col("_all") - F.col("_most._n")).alias("_apart")
+    several = per_key.filter("_labels > 1").select("_key", F.col("_most._label").alias("_main"), pivots, "_all", apart)
+    return materialise(several, "parted")
+
+
+def _opened(members: DataFrame, roots: DataFrame, parted: DataFrame) -> DataFrame:
+    """``_key, node, rep, _label, _main, _pivots``: the nodes of the bands in several components."""
+    of_band = parted.select("_key", "_main", "_pivots")
+    return materialise(_labels(members, roots).join(bounded(of_band), "_key"), "opened")
+
+
+def _across(
+    opened: DataFrame, facts: Callable[[DataFrame], DataFrame] | None, fit: Callable[[str, str], Column] | None
+) -> DataFrame:
+    """``a, b``: each node outside the main component of its band with the nodes of other components there."""
+    apart = opened.filter("_label <> _main").select("_key", F.col("node").alias("a"), F.col("_label").alias("_la"))
     # The frequent node was compared already; two nodes outside the main component meet once.
-    others = labelled.filter("node <> rep")
-    new = (F.col("_la") != F.col("_label")) & ((F.col("_label") == F.col("_main")) | (F.col("a") < F.col("node")))
-    more = verified(apart.join(others, "_key").filter(new).select("a", F.col("node").alias("b")))
-    return components(links.union(more)) if more.head(1) else roots
+    others = opened.filter("node <> rep").select("_key", F.col("node").alias("b"), F.col("_label").alias("_lb"), "_main")
+    wanted = (F.col("_la") != F.col("_lb")) & ((F.col("_lb") == F.col("_main")) | (F.col("a") < F.col("b")))
+    if facts and fit:
+        told = materialise(facts(materialise(opened.select("node").distinct(), "asked")), "facts")
+        names, few = [c for c in told.columns if c != "node"], bounded(told)
+        apart = apart.join(few.select(F.col("node").alias("a"), *(F.col(c).alias("x" + c) for c in names)), "a")
+        others = others.join(few.select(F.col("node").alias("b"), *(F.col(c).alias("y" + c) for c in names)), "b")
+        wanted = wanted & fit("x", "y")
+    one, two = apart.alias("one"), others.alias("two")
+    return one.join(two, (F.col("one._key") == F.col("two._key")) & wanted).select("a", "b")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import partial, reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +14,11 @@ from aerocell.session import discard, materialise
 SHINGLE = 7
 SIMILARITY = 0.8
 
-# Words of 64 bits of the map that rules out pairs; a power of two.
+# Words of 64 bits of the map that rules out pairs; powers of two. The wide map
+# is for the nodes of bands that stay in several components: 550 characters set a
+# quarter of its bits, so it tells pairs below a similarity of some 0.73 apart.
 WORDS = 8
+WIDE = 32
 # Lines of so many shingles have their distinct ones counted.
 COUNTED_FROM = 300
 
@@ -50,8 +56,8 @@ def _signatures(lines: DataFrame, size: int, minima: int) -> DataFrame:
     return signatures(each.select("node", (F.col("_at") < 0).alias("_first"), "_most", shingle.alias("_h")), minima)
 
 
-def _mapped(texts: DataFrame, size: int) -> DataFrame:
-    """``node, _n, _exact, _s0...``: the number of shingles, and a map of 512 bits in which each sets one.
+def _mapped(texts: DataFrame, size: int, words: int = WORDS) -> DataFrame:
+    """``node, _n, _exact, _s0...``: the number of shingles, and a map of ``words`` of 64 bits in which each sets one.
 
     Of a line that would fill its map the distinct shingles are counted, of a
     shorter one all, as its map tells how many are distinct at least.
@@ -62,36 +68,45 @@ def _mapped(texts: DataFrame, size: int) -> DataFrame:
     counted = counted.select("node", "_bytes", "_all", "_exact", number)
     each = counted.select("node", "_n", "_exact", "_bytes", F.explode(F.sequence(F.lit(0), F.col("_all") - 1)).alias("_at"))
     hashed = each.select("node", "_n", "_exact", _shingle(F.col("_bytes"), F.col("_at"), size).alias("_h"))
-    bit, word = F.expr("shiftleft(1L, CAST(_h & 63 AS INT))"), F.shiftrightunsigned("_h", 6).bitwiseAND(F.lit(WORDS - 1))
+    bit, word = F.expr("shiftleft(1L, CAST(_h & 63 AS INT))"), F.shiftrightunsigned("_h", 6).bitwiseAND(F.lit(words - 1))
     none = F.lit(0).cast("long")
-    maps = [F.bit_or(F.when(word == w, bit).otherwise(none)).alias(f"_s{w}") for w in range(WORDS)]
+    maps = [F.bit_or(F.when(word == w, bit).otherwise(none)).alias(f"_s{w}") for w in range(words)]
     return hashed.groupBy("node", "_n", "_exact").agg(*maps)
 
 
-def _promising(pairs: DataFrame, maps: DataFrame, similarity: float) -> DataFrame:
-    """The distinct pairs whose sizes and maps allow the similarity; a similar pair is never left out.
+def _sized(maps: DataFrame) -> DataFrame:
+    """``node, _n, _least, _s0...``: the maps with the most and the least number of distinct shingles.
+
+    A line has at most ``_n`` distinct shingles, and at least that many or as
+    many as its map has bits.
+    """
+    names = [c for c in maps.columns if c.startswith("_s")]
+    bits = reduce(add, map(F.bit_count, names))
+    return maps.select("node", "_n", F.when(F.col("_exact"), F.col("_n")).otherwise(bits).alias("_least"), *names)
+
 
-    Every bit in which two maps differ is set by a shingle that only one of the
-    lines has. Of two lines of that similarity s with n distinct shingles in
-    all, each counted where it stands, at most n (1 - s) / (1 + s) are such. A
-    line has at most ``_n`` distinct shingles, and at least that many or as many
-    as its map has bits.
+def _allows(similarity: float, words: int, x: str, y: str) -> Column:
+    """Whether the sizes and maps of two lines, columns of ``_sized`` with these prefixes, allow the similarity.
+
+    A similar pair is never left out. Every bit in which two maps differ is set
+    by a shingle that only one of the lines has. Of two lines of that similarity
+    s with n distinct shingles in all, each counted where it stands, at most
+    n (1 - s) / (1 + s) are such.
     """
-    names = [f"_s{i}" for i in range(WORDS)]
-    bits = F.lit(0)
-    for n in names:
-        bits = bits + F.bit_count(n)
-    sized = maps.withColumn("_least", F.when(F.col("_exact"), F.col("_n")).otherwise(bits))
-    columns = ("_n", "_least", *names)
+    differ = reduce(add, (F.bit_count(F.col(f"{x}_s{i}").bitwiseXOR(F.col(f"{y}_s{i}"))) for i in range(words)))
+    most = (F.col(f"{x}_n") + F.col(f"{y}_n")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    wide = F.col(f"{x}_n") >= similarity * F.col(f"{y}_least") - 1e-6
+    return wide & (F.col(f"{y}_n") >= similarity * F.col(f"{x}_least") - 1e-6) & (differ <= most)
+
+
+def _promising(pairs: DataFrame, maps: DataFrame, similarity: float) -> DataFrame:
+    """The distinct pairs whose sizes and maps allow the similarity; a similar pair is never left out."""
+    sized = _sized(maps)
+    columns = [c for c in sized.columns if c != "node"]
     one = sized.select(F.col("node").alias("a"), *(F.col(c).alias("x" + c) for c in columns))
     two = sized.select(F.col("node").alias("b"), *(F.col(c).alias("y" + c) for c in columns))
     met = pairs.select("a", "b").distinct().join(one, "a").join(two, "b")
-    differ = F.lit(0)
-    for n in names:
-        differ = differ + F.bit_count(F.col("x" + n).bitwiseXOR(F.col("y" + n)))
-    most = (F.col("x_n") + F.col("y_n")) * ((1 - similarity) / (1 + similarity)) + 1e-6
-    fit = (F.col("x_n") >= similarity * F.col("y_least") - 1e-6) & (F.col("y_n") >= similarity * F.col("x_least") - 1e-6)
-    return met.filter(fit & (differ <= most)).select("a", "b")
+    return met.filter(_allows(similarity, WORDS, "x", "y")).select("a", "b")
 
 
 def _scored(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -148,7 +163,10 @@ def similar_lines(
         discard(promising)
         return links
 
-    return linked(members, verified)
+    def widely(nodes: DataFrame) -> DataFrame:
+        return _sized(_mapped(texts.join(bounded(nodes), "node"), size, WIDE))
+
+    return linked(members, verified, widely, partial(_allows, similarity, WIDE))
 
 
 def duplicate_lines(docs: DataFrame, **options) -> DataFrame:

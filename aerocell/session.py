@@ -66,15 +66,33 @@ def scratch_database(spark: SparkSession) -> str:
     return name
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Writes in this block remove their shuffle files at their end, not when the driver's memory is next cleaned."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df, name: str = "table"):
     """Write ``df`` once to the shared folder and read it back, cutting its lineage.
 
     For results that one plan reads more than once; unlike a cache it survives
-    the loss of executors.
+    the loss of executors. The shuffle files of the plan go when it is written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

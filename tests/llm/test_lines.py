@@ -1,12 +1,16 @@
+import pathlib
 import random
+import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
 from small import AWKWARD, docs_of, prose, saved
 
-from aerocell.llm import lines
+from aerocell.llm import bands, lines
 from aerocell.llm.lines import duplicate_lines, without_duplicate_lines
 from aerocell.llm.queries import QUERIES
+from aerocell.session import materialise
 
 
 def edited(line, seed, edits):
@@ -129,3 +133,54 @@ def test_maps_leave_no_similar_pair_out(spark):
     # Lines of up to some 200 characters: a longer one fills its map.
     far = frame.filter("a < 1500").select("a", ((F.col("b") + 601) % 1500).alias("b"))
     assert lines._promising(far, lines._mapped(texts, 7), 0.8).count() < 0.02 * far.count()
+
+
+def star(n, dropped):
+    """Lines that each differ from one line, and twice as much from each other."""
+    base = "".join(random.Random(5).choices("abcdefghijklmnopqrstuvwxyz", k=400))
+    variants = []
+    for i in range(n):
+        pick, letters = random.Random(100 + i), list(base)
+        for _ in range(dropped):
+            letters[pick.randrange(len(letters))] = pick.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+        variants.append("".join(letters))
+    return variants
+
+
+def test_a_large_group_of_far_copies_hands_few_pairs_on(spark, monkeypatch):
+    # They share bands and no base; few are similar, and none of the links may be lost.
+    texts, seen = star(150, 10), []
+    verified = lines._promising
+
+    def counted(pairs, maps, similarity):
+        seen.append(pairs.distinct().count())
+        return verified(pairs, maps, similarity)
+
+    monkeypatch.setattr(lines, "_promising", counted)
+    got = {r.doc_id: list(r.dropped) for r in duplicate_lines(docs_of(spark, texts)).collect()}
+    assert got == brute(texts)
+    assert sum(seen) < 150 * 149 / 2 / 4
+
+
+def test_no_link_is_lost_after_rounds(spark, monkeypatch):
+    # Rounds of checks from the first pair on, as in a band of a million nodes.
+    monkeypatch.setattr(bands, "_FEW", 0)
+    monkeypatch.setattr(bands, "_HELPED", 2.0)
+    monkeypatch.setattr(bands, "ROUNDS", 1)
+    texts = [edited(prose(9, 80), i, 3 + i % 5) for i in range(60)] + star(40, 7) + CHAIN
+    got = {r.doc_id: list(r.dropped) for r in duplicate_lines(docs_of(spark, texts)).collect()}
+    assert got == brute(texts)
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, local = spark.conf.get(name), spark.conf.get("spark.local.dir", tempfile.gettempdir())
+
+    def kept():
+        return {p for p in pathlib.Path(local).glob("blockmgr-*/*/shuffle_*.data")}
+
+    old, until = kept(), time.monotonic() + 20
+    materialise(spark.range(1000).repartition(7, "id"), "x")
+    while kept() - old and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not kept() - old and spark.conf.get(name) == before
