@@ -5,8 +5,8 @@ have a segment in which they differ in at most one. So each segment is indexed
 as it is and once with every bit left out, and an equality join finds all pairs
 within that radius; the full distance is checked inside the join.
 
-Or, where a similarity is asked, by bands of minima of the shingles that it is
-measured on, and the exact similarity of the candidates.
+Where a similarity is asked, fingerprints and bands of minima of the shingles
+that it is measured on both give candidates, and their exact similarity decides.
 """
 
 from __future__ import annotations
@@ -28,6 +28,9 @@ _WORD = 64
 _BELOW = 32
 # The place that stands for "no bit left out".
 _WHOLE = 32
+# Fingerprints beside the bands of minima: words of their shingles, and the radius.
+PRINT_WORDS = 3
+PRINT_RADIUS = 3
 
 
 def _segments(words: list[str], parts: int) -> list[tuple[Column, int]]:
@@ -40,7 +43,7 @@ def _segments(words: list[str], parts: int) -> list[tuple[Column, int]]:
     ]
 
 
-def _variants(prints: DataFrame, words: list[str], parts: int, bit: int) -> DataFrame:
+def _variants(prints: DataFrame, words: list[str], parts: int, bit: int, told: list[str]) -> DataFrame:
     """One side of the index: each segment as it is, and without each bit that is ``bit``.
 
     Two segments that differ in exactly one bit meet once, under that bit, with
@@ -52,7 +55,7 @@ def _variants(prints: DataFrame, words: list[str], parts: int, bit: int) -> Data
             rest = segment.bitwiseAND(F.lit(((1 << width) - 1) ^ (1 << p)))
             rows.append(F.when(F.shiftrightunsigned(segment, p).bitwiseAND(F.lit(1)) == bit, _key(number, p, rest)))
         rows.append(_key(number, _WHOLE, segment))
-    spread = prints.select(*words, F.explode(F.array(*rows)).alias("_key"))
+    spread = prints.select(*words, *told, F.explode(F.array(*rows)).alias("_key"))
     return spread.filter(F.col("_key").isNotNull())
 
 
@@ -67,19 +70,28 @@ def _node(words: list[str], side: str) -> Column:
     return own[0] if len(own) == 1 else F.concat(*map(as_hex, own))
 
 
-def near_links(prints: DataFrame, words: list[str], radius: int, parts: int = PARTS) -> DataFrame:
+def near_links(
+    prints: DataFrame, words: list[str], radius: int, parts: int = PARTS, apart: str | None = None
+) -> DataFrame:
     """``a, b``: pairs of distinct fingerprints at most ``radius`` bits apart, as nodes, with repeats.
 
     ``prints`` holds distinct fingerprints in the columns ``words`` of 64 bits,
     each cut into ``parts``. All pairs are found up to ``guaranteed(words, parts)``.
+    With ``apart`` only pairs that differ in that column are, each with its two
+    values (``a_`` and ``b_`` and the name without leading lines); a fingerprint may then have several.
     """
-    a, b = _variants(prints, words, parts, 0).alias("a"), _variants(prints, words, parts, 1).alias("b")
-    apart = reduce(lambda x, y: x + y, (hamming(F.col(f"a.{w}"), F.col(f"b.{w}")) for w in words))
+    told = [apart] if apart else []
+    a, b = _variants(prints, words, parts, 0, told).alias("a"), _variants(prints, words, parts, 1, told).alias("b")
+    distance = reduce(lambda x, y: x + y, (hamming(F.col(f"a.{w}"), F.col(f"b.{w}")) for w in words))
     # Equal segments list a pair in both orders; one of them is enough.
     place = F.shiftrightunsigned(F.col("a._key"), _BELOW) % (_WHOLE + 1)
     once = (place != _WHOLE) | (F.struct(*(F.col(f"a.{w}") for w in words)) < F.struct(*(F.col(f"b.{w}") for w in words)))
-    met = a.join(b, (F.col("a._key") == F.col("b._key")) & (apart <= radius) & once)
-    return met.select(_node(words, "a").alias("a"), _node(words, "b").alias("b"))
+    wanted = (distance <= radius) & once
+    if apart:
+        wanted = wanted & (F.col(f"a.{apart}") != F.col(f"b.{apart}"))
+    met = a.join(b, (F.col("a._key") == F.col("b._key")) & wanted)
+    values = [F.col(f"{side}.{c}").alias(f"{side}_{c.lstrip('_')}") for side in "ab" for c in told]
+    return met.select(_node(words, "a").alias("a"), _node(words, "b").alias("b"), *values)
 
 
 def guaranteed(words: int, parts: int) -> int:
@@ -132,16 +144,60 @@ def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return met.filter(F.col("_both") >= similarity * (F.col("_na") + F.col("_nb") - F.col("_both"))).select("a", "b")
 
 
-def _similar_texts(docs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """``node, root`` of every word sequence that is similar to another one; those of one root are connected."""
-    texts = _sequences(docs)
-    members = band_members(_word_signatures(texts, size, BANDS * ROWS), BANDS, ROWS)
-    wanted = materialise(members.select("node").distinct(), "wanted")
+def _sets(texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """``node, _n, _set``: the distinct shingles of some nodes."""
+    wanted = materialise(nodes.select("node").distinct(), "wanted")
     found = texts.join(bounded(wanted), "node").select("node", "_words").distinct()
     places = F.sequence(F.lit(1), F.greatest(F.size("_words") - (size - 1), F.lit(1)))
     terms = F.array_distinct(F.transform(places, lambda i: _shingle("_words", i, size)))
-    sets = materialise(found.select("node", terms.alias("_set")), "sets").select("node", F.size("_set").alias("_n"), "_set")
-    return linked(members, lambda pairs: materialise(_alike(pairs, sets, similarity), "links"))
+    return materialise(found.select("node", terms.alias("_set")), "sets").select("node", F.size("_set").alias("_n"), "_set")
+
+
+def _as_links(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
+def _similar_texts(docs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """``node, root`` of every word sequence that is similar to another one; those of one root are connected.
+
+    Candidates come from bands of minima, and from fingerprints that are equal or
+    that the deletion variants find near; of the latter only those that the
+    former have not connected.
+    """
+    texts = _sequences(docs)
+    members = band_members(_word_signatures(texts, size, BANDS * ROWS), BANDS, ROWS)
+    prints = materialise(_node_prints(docs), "prints")
+    alike = prints.groupBy("f0").agg(F.min("node").alias("rep"), F.max("node").alias("_high")).filter("rep <> _high")
+    members = members.unionByName(prints.join(alike, "f0").select(F.col("f0").alias("_key"), "node", "rep"))
+    sets = _sets(texts, members, size)
+    roots = materialise(linked(members, lambda pairs: materialise(_alike(pairs, sets, similarity), "links")), "roots")
+    labelled = prints.join(roots, "node", "left").select("node", "f0", F.coalesce("root", "node").alias("_root"))
+    pairs = materialise(_near_pairs(materialise(labelled, "labelled")), "near")
+    if not pairs.head(1):
+        return roots
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+    more = materialise(_alike(pairs, _sets(texts, ends, size), similarity), "links")
+    return components(_as_links(roots).union(more)) if more.head(1) else roots
+
+
+def _node_prints(docs: DataFrame) -> DataFrame:
+    """``node, f0``: the fingerprint of every word sequence that has words, as ``op5_simhash_near_dedup`` takes it."""
+    words = words_of(ascii_lower(F.col("text")))
+    spoken = docs.select(_sequence(words).alias("node"), "text", F.get(words, F.lit(0)).alias("_first"))
+    return fingerprints(spoken.filter("_first <> ''"), ["node"], F.col("text"), PRINT_WORDS).select("node", "f0")
+
+
+def _near_pairs(labelled: DataFrame) -> DataFrame:
+    """``a, b``: nodes of different roots whose fingerprints are at most ``PRINT_RADIUS`` bits apart.
+
+    ``labelled`` has ``node, f0, _root``. Fingerprints meet once for each root,
+    so what is connected already is neither listed nor handed on.
+    """
+    near = near_links(labelled.select("f0", "_root").distinct(), ["f0"], PRINT_RADIUS, apart="_root").distinct()
+    one = labelled.select(F.col("node").alias("x"), F.col("f0").alias("a"), F.col("_root").alias("a_root"))
+    two = labelled.select(F.col("node").alias("y"), F.col("f0").alias("b"), F.col("_root").alias("b_root"))
+    met = near.join(one, ["a", "a_root"]).join(two, ["b", "b_root"])
+    return met.select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
 def similar_documents(docs: DataFrame, similarity: float = 0.8, size: int = 5) -> DataFrame:
@@ -149,6 +205,7 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, size: int = 5) -
 
     Texts are linked whose shingles of ``size`` words have that similarity;
     ``component_id`` is the smallest ``doc_id`` that links reach. Candidates
+    have SimHash fingerprints within a radius, found by deletion variants, or
     share a band of minima of these shingles, whatever kind of edit parts them:
     at 0.8 a pair does with a probability of 0.9992. Texts with the same words
     in the same order are one ``node``; all texts without words are.

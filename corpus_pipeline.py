@@ -11,7 +11,7 @@ from aerocell.llm import bpe, language
 from aerocell.llm.decontaminate import without_contaminated
 from aerocell.llm.lines import without_duplicate_lines
 from aerocell.llm.near_dedup import one_of_each
-from aerocell.session import collected, remove_folder, shared_dir, stored_roots
+from aerocell.session import collected, remove_folder, shared_dir, shuffles_removed, stored_roots
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -65,8 +65,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group with a similarity of 0.8 on shingles of five words.
 
-    Candidates share a band of minima of these shingles, so block edits are
-    found like scattered ones, at 0.8 with a probability of 0.9992.
+    Candidates are texts with near SimHash fingerprints, found by deletion
+    variants, and texts that share a band of minima of these shingles, so block
+    edits are found like scattered ones, at 0.8 with a probability of 0.9992.
     """
     return one_of_each(docs, similarity=0.8, similarity_words=5)
 
@@ -100,7 +101,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = shared_dir(spark)
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        with shuffles_removed(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
         _release(spark, docs)
     return docs

@@ -7,6 +7,7 @@ import xxhash
 from small import AWKWARD, docs_of, prose, saved
 
 import corpus_pipeline
+from aerocell.llm import near_dedup
 from aerocell.llm.components import components
 from aerocell.llm.near_dedup import near_duplicates, near_links, one_of_each
 from aerocell.llm.queries import QUERIES
@@ -193,3 +194,34 @@ def test_any_member_of_a_word_set_links(spark):
     options = dict(size=1, words=2, parts=3, distinct_words=True, radius=24, similarity=0.8)
     got = {r.doc_id: r.component_id for r in near_duplicates(docs_of(spark, texts), **options).collect()}
     assert got == {0: 0, 1: 1, 2: 1}
+
+
+def test_stage_goes_through_deletion_variants(spark, monkeypatch):
+    # Without any bands, near fingerprints alone bring texts that are 0.8-similar together, and only those.
+    none = near_dedup.band_members
+    monkeypatch.setattr(near_dedup, "band_members", lambda *a: none(*a).limit(0))
+    base, other = prose(21, 900), prose(22, 300)
+    near = [edited(base, i, 1) for i in range(12)]
+    texts = [base, *near, other, "yes no no", "no yes", "NO  yes", " ".join(other.split()[::-1]), other + " " + other, None, ""]
+    prints = [simhash(t) for t in texts]
+    sets = [word_shingles((t or "").lower()) or {(t or "").lower()} for t in texts]
+    n = range(len(texts))
+    links = [
+        (i, j) for i in n for j in n
+        if i < j and (prints[i] ^ prints[j]).bit_count() <= 3 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    ]
+    want = grouped(links + [(15, 16), (len(texts) - 2, len(texts) - 1)], n)
+    kept = corpus_pipeline.near_dedup(spark, docs_of(spark, texts), "")
+    assert len(links) > 10 and sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+
+
+def test_near_links_of_different_groups(spark):
+    rows = [(0, 1), (0, 2), (1, 1), (7, 3), (1 << 40, 2)]
+    df = spark.createDataFrame(rows, "f0 long, _root long")
+    got = {frozenset(((r.a, r.a_root), (r.b, r.b_root))) for r in near_links(df, ["f0"], 3, apart="_root").collect()}
+    n = range(len(rows))
+    want = {
+        frozenset((rows[i], rows[j])) for i in n for j in n
+        if i < j and rows[i][1] != rows[j][1] and 0 < (rows[i][0] ^ rows[j][0]).bit_count() <= 3
+    }
+    assert got == want
