@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ _PER_PART = 7
 # Sides up to this many rows (of some 50 bytes) are broadcast, larger ones shuffled.
 BROADCAST_ROWS = 500_000
 
+# Bands of up to so many nodes are checked pair by pair at once.
+SMALL = 16
 # Rounds of checks against members of a band's largest component, and members a round.
 ROUNDS = 8
 PIVOTS = 3
@@ -62,57 +65,68 @@ def signatures(hashed: DataFrame, minima: int) -> DataFrame:
 
 
 def band_members(signed: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``_key, node, rep``: the nodes of every band that has several, and the most frequent of them.
+    """``_key, node, n, _size``: the nodes of every band that has several, and how many it has.
 
     Counted before the shuffle, so a band that a third of all nodes share
     arrives as a few rows; its members are then found by a join that Spark can
-    split. The most frequent node is likely the one the others are copies of.
+    split.
     """
     keys = [F.xxhash64(F.lit(b), *(F.col(f"m{b * rows + i}") for i in range(rows))) for b in range(bands)]
-    spread = materialise(signed.select("node", "n", F.explode(F.array(*keys)).alias("_key")), "bands")
-    # Frequent first, then by hash: one number, so that the sums stay in fixed-width rows.
-    rank = F.shiftleft(-F.least(F.col("n"), F.lit(_RANKED)), 40) + F.col("node").bitwiseAND(F.lit((1 << 40) - 1))
-    shared = spread.groupBy("_key").agg(
-        F.min_by("node", rank).alias("rep"), F.min("node").alias("_low"), F.max("node").alias("_high")
-    )
-    shared = materialise(shared.filter("_low <> _high").select("_key", "rep"), "shared")
-    members = materialise(spread.join(bounded(shared), "_key").select("_key", "node", "rep"), "members")
+    # One row for each node; the keys are dealt out when they are read.
+    keyed = materialise(signed.select("node", "n", F.array(*keys).alias("_keys")), "bands")
+    spread = keyed.select("node", "n", F.explode("_keys").alias("_key"))
+    shared = spread.groupBy("_key").agg(F.count(F.lit(1)).alias("_size")).filter("_size > 1")
+    shared = materialise(shared, "shared")
+    members = materialise(spread.join(bounded(shared), "_key").select("_key", "node", "n", "_size"), "members")
     # The keys of all nodes are many times the members'.
-    discard(spread)
+    discard(keyed)
     discard(shared)
     return members
 
 
-def linked(
-    members: DataFrame,
-    verified: Callable[[DataFrame], DataFrame],
-    facts: Callable[[DataFrame], DataFrame] | None = None,
-    fit: Callable[[str, str], Column] | None = None,
-) -> DataFrame:
+class Rule(NamedTuple):
+    """What rules pairs out: ``facts`` makes a table ``node, ...`` for some nodes, ``fit`` takes its columns with two prefixes.
+
+    ``fit`` must hold for every pair that is a link.
+    """
+
+    facts: Callable[[DataFrame], DataFrame]
+    fit: Callable[[str, str], Column]
+
+
+def linked(members: DataFrame, verified: Callable[..., DataFrame], narrow: Rule, wide: Rule) -> DataFrame:
     """``node, root`` of every node that ``verified``, which keeps the true ones of pairs ``a, b``, links to another.
 
-    Each node of a band is checked against the band's most frequent one. Where
-    that leaves a band in several components, the nodes outside its largest one
-    are checked against a few members of that, other ones in each round, as long
-    as this connects many. What is still apart is checked against all nodes of
-    other components, so no verified link between two components of a band is
-    missed, yet a large group of near copies is not compared pair by pair. The
-    join of that last check keeps only pairs that ``fit`` allows, if it is given:
-    of the table that ``facts`` makes for some nodes (``node`` and more), it takes
-    the columns with two prefixes, and must hold for every pair that ``verified``
-    keeps. So what is handed on grows with the links; the comparisons inside the
-    join are as many as such pairs, spread over tasks and held by none.
+    All pairs of a band of up to ``SMALL`` nodes that ``narrow`` allows are
+    checked at once. Each node of a larger band is checked against its most
+    frequent one. Where that leaves a band in several components, the nodes
+    outside its largest one are checked against a few members of that, other
+    ones in each round, as long as this connects many. What is still apart is
+    checked against all nodes of other components, so no verified link between
+    two components of a band is missed, yet a large group of near copies is not
+    compared pair by pair. The join of that last check keeps only pairs that
+    ``wide`` allows. So what is handed on grows with the links; the comparisons
+    inside the joins are as many as such pairs, spread over tasks and held by none.
+
+    With its first pairs, which fit, ``verified`` gets the nodes of these and of
+    large bands; later pairs are of the latter and may not fit.
     """
-    links = verified(members.filter("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")))
+    large = _large(members)
+    pairs = materialise(_first_pairs(members, large, narrow), "pairs")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+    links = verified(pairs, nodes.union(large.select("node")).distinct())
     roots = materialise(components(links), "roots")
+    discard(links)
+    if not large.head(1):
+        return roots
     before = None
     for number in range(ROUNDS + 1):
-        parted = _parted(members, roots, number)
+        parted = _parted(large, roots, number)
         size = parted.agg(F.sum("_all"), F.sum("_apart"), F.sum(F.col("_apart") * F.col("_all"))).first()
         if not size[0]:
             discard(parted)
             return roots
-        opened = _opened(members, roots, parted)
+        opened = _opened(large, roots, parted)
         discard(parted)
         # Few pairs are compared at once; so are many, where the last round has not helped.
         if number == ROUNDS or size[2] <= _FEW * size[0] or (before and size[1] > _HELPED * before):
@@ -124,12 +138,42 @@ def linked(
         roots = materialise(components(known.union(more)), "roots")
         for past in (old, more, opened):
             discard(past)
-    more = verified(_across(opened, facts, fit))
+    more = verified(_across(opened, wide))
     if not more.head(1):
         return roots
     return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
 
+def _large(members: DataFrame) -> DataFrame:
+    """``_key, node, rep`` of the bands of more than ``SMALL`` nodes, with the most frequent of them.
+
+    That is likely the one the others are copies of. Counted before the shuffle.
+    """
+    many = members.filter(F.col("_size") > SMALL)
+    # Frequent first, then by hash: one number, so that the sums stay in fixed-width rows.
+    rank = F.shiftleft(-F.least(F.col("n"), F.lit(_RANKED)), 40) + F.col("node").bitwiseAND(F.lit((1 << 40) - 1))
+    first = materialise(many.groupBy("_key").agg(F.min_by("node", rank).alias("rep")), "reps")
+    return materialise(many.join(bounded(first), "_key").select("_key", "node", "rep"), "large")
+
+
+def _told(pairs: DataFrame, facts: DataFrame, side: str, prefix: str) -> DataFrame:
+    """Rows with a node ``side``, with its facts under a prefix."""
+    names = [F.col(c).alias(prefix + c) for c in facts.columns if c != "node"]
+    return pairs.join(facts.select(F.col("node").alias(side), *names), side)
+
+
+def _first_pairs(members: DataFrame, large: DataFrame, rule: Rule) -> DataFrame:
+    """``a, b``: the pairs of small bands, and of the nodes of large ones with their most frequent one, that fit."""
+    facts = rule.facts(members.select("node").distinct())
+    small = members.filter(F.col("_size") <= SMALL).select("_key", "node").join(facts, "node")
+    one, two = small.alias("x"), small.alias("y")
+    met = (F.col("x._key") == F.col("y._key")) & (F.col("x.node") < F.col("y.node")) & rule.fit("x.", "y.")
+    within = one.join(two, met).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    stars = large.filter("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
+    stars = _told(_told(stars, facts, "a", "x"), facts, "b", "y").filter(rule.fit("x", "y")).select("a", "b")
+    return within.union(stars).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _labels(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.join(roots, "node", "left").select("_key", "node", "rep", F.coalesce("root", "node").alias("_label"))
 
@@ -157,19 +201,18 @@ def _opened(members: DataFrame, roots: DataFrame, parted: DataFrame) -> DataFram
     return materialise(_labels(members, roots).join(bounded(of_band), "_key"), "opened")
 
 
-def _across(
-    opened: DataFrame, facts: Callable[[DataFrame], DataFrame] | None, fit: Callable[[str, str], Column] | None
-) -> DataFrame:
-    """``a, b``: each node outside the main component of its band with the nodes of other components there."""
+def _across(opened: DataFrame, rule: Rule) -> DataFrame:
+    """``a, b``: each node outside the main component of its band with the nodes of other components there.
+
+    A pair meets in the first of the bands that both are in; if one of them is
+    the frequent node there, the two were compared already.
+    """
     apart = opened.filter("_label <> _main").select("_key", F.col("node").alias("a"), F.col("_label").alias("_la"))
     # The frequent node was compared already; two nodes outside the main component meet once.
     others = opened.filter("node <> rep").select("_key", F.col("node").alias("b"), F.col("_label").alias("_lb"), "_main")
     wanted = (F.col("_la") != F.col("_lb")) & ((F.col("_lb") == F.col("_main")) | (F.col("a") < F.col("b")))
-    if facts and fit:
-        told = materialise(facts(materialise(opened.select("node").distinct(), "asked")), "facts")
-        names, few = [c for c in told.columns if c != "node"], bounded(told)
-        apart = apart.join(few.select(F.col("node").alias("a"), *(F.col(c).alias("x" + c) for c in names)), "a")
-        others = others.join(few.select(F.col("node").alias("b"), *(F.col(c).alias("y" + c) for c in names)), "b")
-        wanted = wanted & fit("x", "y")
-    one, two = apart.alias("one"), others.alias("two")
-    return one.join(two, (F.col("one._key") == F.col("two._key")) & wanted).select("a", "b")
+    keys = materialise(opened.groupBy("node").agg(F.collect_set("_key").alias("_keys")), "asked")
+    facts = bounded(materialise(rule.facts(keys.select("node")).join(keys, "node"), "facts"))
+    first = F.col("one._key") == F.array_min(F.array_intersect("x_keys", "y_keys"))
+    one, two = _told(apart, facts, "a", "x").alias("one"), _told(others, facts, "b", "y").alias("two")
+    return one.join(two, (F.col("one._key") == F.col("two._key")) & wanted & rule.fit("x", "y") & first).select("a", "b")

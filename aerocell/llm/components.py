@@ -7,32 +7,36 @@ from pyspark.sql import functions as F
 
 from aerocell.session import discard, materialise
 
+# Of up to so many links the least neighbours, twice as many at most, are broadcast.
+FEW_LINKS = 100_000
+
 
 def _both_ways(links: DataFrame) -> DataFrame:
     back = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
     return links.union(back)
 
 
-def _stars(links: DataFrame, large: bool) -> DataFrame:
-    """Link every neighbour of a node to the least of its neighbourhood.
+def _stars(links: DataFrame, large: bool, few: bool) -> DataFrame:
+    """Link every neighbour of a node to the least of its neighbourhood, with repeats.
 
     The large star moves the neighbours above a node, the small star the node
-    and those below it; neither changes the components. Each node's least
-    neighbour is one row, so a node with many links joins as a skewed side that
-    Spark may split.
+    and those below it; neither changes the components, and the large one has as
+    many links as before. Each node's least neighbour is one row: of a ``few``
+    links these are broadcast, so the links stay where they are; else a node
+    with many links joins as a skewed side that Spark may split.
     """
     if large:
         around = _both_ways(links)
     else:
         around = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = around.groupBy("a").agg(F.min("b").alias("_least")).select("a", F.least("a", "_least").alias("_least"))
-    moved = around.join(least, "a")
+    moved = around.join(F.broadcast(least) if few else least, "a")
     if large:
         out = moved.filter("b > a").select(F.col("b").alias("a"), F.col("_least").alias("b"))
     else:
         own = least.select("a", F.col("_least").alias("b"))
         out = moved.select(F.col("b").alias("a"), F.col("_least").alias("b")).union(own)
-    return out.filter("a <> b").distinct()
+    return out.filter("a <> b")
 
 
 def _mark(links: DataFrame) -> tuple:
@@ -55,7 +59,9 @@ def components(links: DataFrame) -> DataFrame:
     now = materialise(kept, "links")
     mark = _mark(now)
     while mark[0]:
-        last, now = now, materialise(_stars(_stars(now, large=True), large=False), "links")
+        few = mark[0] <= FEW_LINKS
+        moved = _stars(_stars(now, large=True, few=few), large=False, few=few)
+        last, now = now, materialise(moved.distinct(), "links")
         before, mark = mark, _mark(now)
         discard(last)
         if mark == before:

@@ -8,7 +8,8 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerocell.llm.bands import BANDS, ROWS, band_members, bounded, largest_hash, linked, signatures
+from aerocell.llm.bands import BANDS, ROWS, Rule, band_members, bounded, largest_hash, linked, signatures
+from aerocell.llm.maps import allows, bit_maps
 from aerocell.session import discard, materialise
 
 SHINGLE = 7
@@ -19,8 +20,8 @@ SIMILARITY = 0.8
 # quarter of its bits, so it tells pairs below a similarity of some 0.73 apart.
 WORDS = 8
 WIDE = 32
-# Lines of so many shingles have their distinct ones counted.
-COUNTED_FROM = 300
+# Lines of so many shingles fill most of their map and have their distinct ones counted.
+COUNTED_FROM = 600
 
 _WIDTH = 4  # bytes of a character in UTF-32
 
@@ -68,10 +69,7 @@ def _mapped(texts: DataFrame, size: int, words: int = WORDS) -> DataFrame:
     counted = counted.select("node", "_bytes", "_all", "_exact", number)
     each = counted.select("node", "_n", "_exact", "_bytes", F.explode(F.sequence(F.lit(0), F.col("_all") - 1)).alias("_at"))
     hashed = each.select("node", "_n", "_exact", _shingle(F.col("_bytes"), F.col("_at"), size).alias("_h"))
-    bit, word = F.expr("shiftleft(1L, CAST(_h & 63 AS INT))"), F.shiftrightunsigned("_h", 6).bitwiseAND(F.lit(words - 1))
-    none = F.lit(0).cast("long")
-    maps = [F.bit_or(F.when(word == w, bit).otherwise(none)).alias(f"_s{w}") for w in range(words)]
-    return hashed.groupBy("node", "_n", "_exact").agg(*maps)
+    return bit_maps(hashed, ["node", "_n", "_exact"], words)
 
 
 def _sized(maps: DataFrame) -> DataFrame:
@@ -85,20 +83,6 @@ def _sized(maps: DataFrame) -> DataFrame:
     return maps.select("node", "_n", F.when(F.col("_exact"), F.col("_n")).otherwise(bits).alias("_least"), *names)
 
 
-def _allows(similarity: float, words: int, x: str, y: str) -> Column:
-    """Whether the sizes and maps of two lines, columns of ``_sized`` with these prefixes, allow the similarity.
-
-    A similar pair is never left out. Every bit in which two maps differ is set
-    by a shingle that only one of the lines has. Of two lines of that similarity
-    s with n distinct shingles in all, each counted where it stands, at most
-    n (1 - s) / (1 + s) are such.
-    """
-    differ = reduce(add, (F.bit_count(F.col(f"{x}_s{i}").bitwiseXOR(F.col(f"{y}_s{i}"))) for i in range(words)))
-    most = (F.col(f"{x}_n") + F.col(f"{y}_n")) * ((1 - similarity) / (1 + similarity)) + 1e-6
-    wide = F.col(f"{x}_n") >= similarity * F.col(f"{y}_least") - 1e-6
-    return wide & (F.col(f"{y}_n") >= similarity * F.col(f"{x}_least") - 1e-6) & (differ <= most)
-
-
 def _promising(pairs: DataFrame, maps: DataFrame, similarity: float) -> DataFrame:
     """The distinct pairs whose sizes and maps allow the similarity; a similar pair is never left out."""
     sized = _sized(maps)
@@ -106,7 +90,7 @@ def _promising(pairs: DataFrame, maps: DataFrame, similarity: float) -> DataFram
     one = sized.select(F.col("node").alias("a"), *(F.col(c).alias("x" + c) for c in columns))
     two = sized.select(F.col("node").alias("b"), *(F.col(c).alias("y" + c) for c in columns))
     met = pairs.select("a", "b").distinct().join(one, "a").join(two, "b")
-    return met.filter(_allows(similarity, WORDS, "x", "y")).select("a", "b")
+    return met.filter(allows(similarity, WORDS, "x", "y")).select("a", "b")
 
 
 def _scored(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -139,6 +123,11 @@ def _hashes(line: str, size: int) -> Column:
     return F.get(F.transform(F.array(F.col(line)), distinct), F.lit(0))
 
 
+def _texts(lines: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, _bytes``: the lines of some nodes, encoded, once for each place."""
+    return lines.join(bounded(nodes), "node").select("node", _encoded(F.col("_line")).alias("_bytes"))
+
+
 def similar_lines(
     docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -150,23 +139,33 @@ def similar_lines(
     """
     lines = _line_rows(docs)
     members = band_members(_signatures(lines, size, bands * rows), bands, rows)
-    wanted = materialise(members.select("node").distinct(), "wanted")
-    found = lines.join(bounded(wanted), "node").select("node", _encoded(F.col("_line")).alias("_bytes"))
-    texts = materialise(found.distinct(), "texts")
-    discard(wanted)
-    maps = materialise(_mapped(texts, size), "maps")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        promising = materialise(_promising(pairs, maps, similarity), "promising")
-        scored = _scored(promising, texts, size)
+    asked = materialise(members.select("node").distinct(), "asked")
+    maps = materialise(_mapped(_texts(lines, asked), size), "maps")
+    discard(asked)
+    stored = []
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        # All that are asked for at first, those of large bands among them, are all that are ever asked for.
+        if not stored:
+            wanted = materialise(nodes, "wanted")
+            stored.append(materialise(_texts(lines, wanted).distinct(), "texts"))
+            discard(wanted)
+        return stored[0]
+
+    def verified(pairs: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+        promising = pairs
+        if nodes is None:
+            promising = materialise(_promising(pairs, maps, similarity), "promising")
+        scored = _scored(promising, texts_of(nodes), size)
         links = materialise(scored.filter(F.col("score") >= similarity).select("a", "b"), "links")
         discard(promising)
         return links
 
     def widely(nodes: DataFrame) -> DataFrame:
-        return _sized(_mapped(texts.join(bounded(nodes), "node"), size, WIDE))
+        return _sized(_mapped(stored[0].join(bounded(nodes), "node"), size, WIDE))
 
-    return linked(members, verified, widely, partial(_allows, similarity, WIDE))
+    narrow = Rule(lambda nodes: _sized(maps), partial(allows, similarity, WORDS))
+    return linked(members, verified, narrow, Rule(widely, partial(allows, similarity, WIDE)))
 
 
 def duplicate_lines(docs: DataFrame, **options) -> DataFrame:

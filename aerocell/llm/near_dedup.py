@@ -11,13 +11,14 @@ that it is measured on both give candidates, and their exact similarity decides.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerocell.llm.bands import BANDS, ROWS, band_members, bounded, largest_hash, linked, signatures
+from aerocell.llm.bands import BANDS, ROWS, Rule, band_members, bounded, largest_hash, linked, signatures
 from aerocell.llm.components import components
+from aerocell.llm.maps import allows, bit_maps
 from aerocell.llm.votes import as_hex, ascii_lower, fingerprints, hamming, place_of_terms, words_of
 from aerocell.session import materialise
 
@@ -31,6 +32,8 @@ _WHOLE = 32
 # Fingerprints beside the bands of minima: words of their shingles, and the radius.
 PRINT_WORDS = 3
 PRINT_RADIUS = 3
+# Words of 64 bits of the map that rules out pairs of texts; a power of two.
+MAP_WORDS = 32
 
 
 def _segments(words: list[str], parts: int) -> list[tuple[Column, int]]:
@@ -126,22 +129,30 @@ def _word_signatures(texts: DataFrame, size: int, minima: int) -> DataFrame:
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The distinct pairs whose ``sets`` (``node, _n, _set``) have that Jaccard similarity.
+    """The pairs whose ``sets`` (``node, _n, _set``) have that Jaccard similarity."""
+    one = sets.select(F.col("node").alias("a"), F.col("_n").alias("_na"), F.col("_set").alias("_one"))
+    two = sets.select(F.col("node").alias("b"), F.col("_n").alias("_nb"), F.col("_set").alias("_two"))
+    both = F.size(F.array_intersect("_one", "_two")).alias("_both")
+    met = pairs.join(one, "a").join(two, "b").select("a", "b", "_na", "_nb", both)
+    return met.filter(F.col("_both") >= similarity * (F.col("_na") + F.col("_nb") - F.col("_both"))).select("a", "b")
 
-    Sets of too different sizes cannot have it; they are not moved.
-    """
+
+def _of_like_size(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The distinct pairs of sets whose sizes allow that similarity, so that others are not moved."""
     sizes = sets.select("node", "_n")
     sized = (
         pairs.select("a", "b").distinct()
         .join(sizes.select(F.col("node").alias("a"), F.col("_n").alias("_na")), "a")
         .join(sizes.select(F.col("node").alias("b"), F.col("_n").alias("_nb")), "b")
     )
-    fit = materialise(sized.filter(F.least("_na", "_nb") >= similarity * F.greatest("_na", "_nb")), "pairs")
-    one = sets.select(F.col("node").alias("a"), F.col("_set").alias("_one"))
-    two = sets.select(F.col("node").alias("b"), F.col("_set").alias("_two"))
-    both = F.size(F.array_intersect("_one", "_two")).alias("_both")
-    met = fit.join(one, "a").join(two, "b").select("a", "b", "_na", "_nb", both)
-    return met.filter(F.col("_both") >= similarity * (F.col("_na") + F.col("_nb") - F.col("_both"))).select("a", "b")
+    fit = sized.filter(F.least("_na", "_nb") >= similarity * F.greatest("_na", "_nb"))
+    return materialise(fit.select("a", "b"), "pairs")
+
+
+def _maps(sets: DataFrame) -> DataFrame:
+    """``node, _n, _least, _s0...``: the number of shingles, as the most and the least, and their map."""
+    mapped = bit_maps(sets.select("node", "_n", F.explode("_set").alias("_h")), ["node", "_n"], MAP_WORDS)
+    return mapped.withColumn("_least", F.col("_n"))
 
 
 def _sets(texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
@@ -167,16 +178,25 @@ def _similar_texts(docs: DataFrame, size: int, similarity: float) -> DataFrame:
     texts = _sequences(docs)
     members = band_members(_word_signatures(texts, size, BANDS * ROWS), BANDS, ROWS)
     prints = materialise(_node_prints(docs), "prints")
-    alike = prints.groupBy("f0").agg(F.min("node").alias("rep"), F.max("node").alias("_high")).filter("rep <> _high")
-    members = members.unionByName(prints.join(alike, "f0").select(F.col("f0").alias("_key"), "node", "rep"))
+    alike = prints.groupBy("f0").agg(F.count(F.lit(1)).alias("_size")).filter("_size > 1")
+    one = F.lit(1).cast("long").alias("n")
+    members = members.unionByName(prints.join(alike, "f0").select(F.col("f0").alias("_key"), "node", one, "_size"))
     sets = _sets(texts, members, size)
-    roots = materialise(linked(members, lambda pairs: materialise(_alike(pairs, sets, similarity), "links")), "roots")
+    maps = materialise(_maps(sets), "maps")
+
+    def verified(pairs: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+        fit = pairs if nodes is not None else _of_like_size(pairs, sets, similarity)
+        return materialise(_alike(fit, sets, similarity), "links")
+
+    rule = Rule(lambda nodes: maps, partial(allows, similarity, MAP_WORDS))
+    roots = materialise(linked(members, verified, rule, rule), "roots")
     labelled = prints.join(roots, "node", "left").select("node", "f0", F.coalesce("root", "node").alias("_root"))
     pairs = materialise(_near_pairs(materialise(labelled, "labelled")), "near")
     if not pairs.head(1):
         return roots
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-    more = materialise(_alike(pairs, _sets(texts, ends, size), similarity), "links")
+    sets = _sets(texts, ends, size)
+    more = materialise(_alike(_of_like_size(pairs, sets, similarity), sets, similarity), "links")
     return components(_as_links(roots).union(more)) if more.head(1) else roots
 
 

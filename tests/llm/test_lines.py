@@ -184,3 +184,20 @@ def test_shuffle_files_go_with_the_write(spark):
     while kept() - old and time.monotonic() < until:
         time.sleep(0.2)
     assert not kept() - old and spark.conf.get(name) == before
+
+
+def test_across_hands_a_pair_on_once(spark):
+    # Nodes 1 to 40 share five bands and are apart; 0 is the frequent one of each.
+    opened = spark.range(41).selectExpr("id AS node", "explode(array(11L, 12L, 13L, 14L, 15L)) AS _key")
+    opened = opened.selectExpr("_key", "node", "0L AS rep", "node AS _label", "0L AS _main", "array(0L) AS _pivots")
+    rule = bands.Rule(lambda nodes: nodes.selectExpr("node", "node % 2 AS _odd"), lambda x, y: F.col(f"{x}_odd") == F.col(f"{y}_odd"))
+    got = [(r.a, r.b) for r in bands._across(opened, rule).collect()]
+    assert sorted(got) == [(a, b) for a in range(1, 41) for b in range(a + 2, 41, 2)]
+
+
+def test_a_small_band_is_settled_at_once(spark, monkeypatch):
+    # No rounds: neither are the nodes told apart by component, nor are there reps.
+    monkeypatch.setattr(bands, "_parted", None)
+    texts = [edited(prose(1, 80), i, 1 + i % 2) for i in range(8)] + [prose(20 + i, 30) for i in range(5)]
+    got = {r.doc_id: list(r.dropped) for r in duplicate_lines(docs_of(spark, texts)).collect()}
+    assert got == brute(texts)

@@ -7,7 +7,7 @@ import xxhash
 from small import AWKWARD, docs_of, prose, saved
 
 import corpus_pipeline
-from aerocell.llm import near_dedup
+from aerocell.llm import bands, near_dedup
 from aerocell.llm.components import components
 from aerocell.llm.near_dedup import near_duplicates, near_links, one_of_each
 from aerocell.llm.queries import QUERIES
@@ -225,3 +225,22 @@ def test_near_links_of_different_groups(spark):
         if i < j and rows[i][1] != rows[j][1] and 0 < (rows[i][0] ^ rows[j][0]).bit_count() <= 3
     }
     assert got == want
+
+
+def test_a_large_group_of_far_copies_hands_few_pairs_on(spark, monkeypatch):
+    # Texts that share bands with many others, and with none a similarity of 0.8.
+    base, texts, made, across = prose(7, 300).split(), [], [], bands._across
+    for i in range(60):
+        pick, own = random.Random(i), list(base)
+        for _ in range(12):
+            own[pick.randrange(len(own))] = f"n{i}"
+        texts.append(" ".join(own))
+
+    def counted(*args):
+        pairs = across(*args)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(bands, "_across", counted)
+    assert one_of_each(docs_of(spark, texts), similarity=0.8).count() == 60
+    assert made and sum(made) < 60
