@@ -82,6 +82,7 @@ def near_links(
     each cut into ``parts``. All pairs are found up to ``guaranteed(words, parts)``.
     With ``apart`` only pairs that differ in that column are, each with its two
     values (``a_`` and ``b_`` and the name without leading lines); a fingerprint may then have several.
+    The sides are merged: Spark sizes a side as if nothing were listed many times, and would broadcast it.
     """
     told = [apart] if apart else []
     a, b = _variants(prints, words, parts, 0, told).alias("a"), _variants(prints, words, parts, 1, told).alias("b")
@@ -92,7 +93,7 @@ def near_links(
     wanted = (distance <= radius) & once
     if apart:
         wanted = wanted & (F.col(f"a.{apart}") != F.col(f"b.{apart}"))
-    met = a.join(b, (F.col("a._key") == F.col("b._key")) & wanted)
+    met = a.join(b.hint("merge"), (F.col("a._key") == F.col("b._key")) & wanted)
     values = [F.col(f"{side}.{c}").alias(f"{side}_{c.lstrip('_')}") for side in "ab" for c in told]
     return met.select(_node(words, "a").alias("a"), _node(words, "b").alias("b"), *values)
 

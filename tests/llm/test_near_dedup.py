@@ -244,3 +244,11 @@ def test_a_large_group_of_far_copies_hands_few_pairs_on(spark, monkeypatch):
     monkeypatch.setattr(bands, "_across", counted)
     assert one_of_each(docs_of(spark, texts), similarity=0.8).count() == 60
     assert made and sum(made) < 60
+
+
+def test_listed_variants_are_never_broadcast(spark):
+    # Some tens of keys for each fingerprint: Spark sizes them like the fingerprints alone.
+    prints = spark.range(500).selectExpr("xxhash64(id) AS f0", "id AS _root")
+    for links in (near_links(prints.select("f0"), ["f0"], 3), near_links(prints, ["f0"], 3, apart="_root")):
+        plan = links._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
