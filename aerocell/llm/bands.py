@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerocell.llm.components import components
-from aerocell.session import discard, materialise
+from aerocell.session import discard, materialise, runtime_conf
 
 # At similarity 0.8 a pair shares a band with probability 1 - (1 - 0.8^3)^10 = 0.9992.
 BANDS = 10
@@ -27,8 +27,8 @@ SMALL = 16
 # Rounds of checks against members of a band's largest component, and members a round.
 ROUNDS = 8
 PIVOTS = 3
-# Pairs for each node that are compared without a round.
-_FEW = 2
+# Pairs for each node that are compared, by what rules most out, without a round.
+_FEW = 128
 # A round is followed by another if no more than this share of the nodes stays apart.
 _HELPED = 0.9
 
@@ -50,18 +50,25 @@ def largest_hash(n: Column) -> Column:
 def signatures(hashed: DataFrame, minima: int) -> DataFrame:
     """``node, n, m0...``: the number of a node's first rows, and the least hash under each permutation.
 
-    ``hashed`` has a row ``node, _first, _most, _h`` for each hash; null hashes
-    only count. Permutation k flips the leading bits of a hash so that part k of
-    the range comes first; when a node has none there, the next part by the
-    flipped bits decides. Hashes too large to be the least of their part are
-    left out before the sums: on average ``_PER_PART`` of each part stay.
+    ``hashed`` has ``node, _first`` and one hash or more, in the columns whose
+    names begin with ``_h``; null hashes only count. Permutation k flips the
+    leading bits of a hash so that part k of the range comes first; when a node
+    has none there, the next part by the flipped bits decides. With ``_most``,
+    a row's hash too large to be the least of its part is left out before the
+    sums: on average ``_PER_PART`` of each part stay.
     """
     if minima > 1 << _PREFIX_BITS:
         raise ValueError("more minima than parts of the hash range")
-    small = hashed.filter(F.col("_first") | (F.col("_h").bitwiseAND(F.lit((1 << _REST) - 1)) <= F.col("_most")))
-    flips = [k << _REST for k in range(minima)]
-    least = [F.min(F.col("_h").bitwiseXOR(F.lit(f - (1 << 64) if f >> 63 else f))).alias(f"m{k}") for k, f in enumerate(flips)]
-    return small.groupBy("node").agg(F.count_if("_first").alias("n"), *least)
+    hashes = [c for c in hashed.columns if c.startswith("_h")]
+    if "_most" in hashed.columns:
+        hashed = hashed.filter(F.col("_first") | (F.col("_h").bitwiseAND(F.lit((1 << _REST) - 1)) <= F.col("_most")))
+
+    def least(k: int) -> Column:
+        flip = k << _REST
+        flipped = [F.col(c).bitwiseXOR(F.lit(flip - (1 << 64) if flip >> 63 else flip)) for c in hashes]
+        return F.min(flipped[0] if len(flipped) == 1 else F.least(*flipped)).alias(f"m{k}")
+
+    return hashed.groupBy("node").agg(F.count_if("_first").alias("n"), *map(least, range(minima)))
 
 
 def band_members(signed: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -108,11 +115,11 @@ def linked(members: DataFrame, verified: Callable[..., DataFrame], narrow: Rule,
     ``wide`` allows. So what is handed on grows with the links; the comparisons
     inside the joins are as many as such pairs, spread over tasks and held by none.
 
-    With its first pairs, which fit, ``verified`` gets the nodes of these and of
-    large bands; later pairs are of the latter and may not fit.
+    With its first and last pairs, which fit, ``verified`` gets the nodes of these and of
+    large bands; pairs between are of the latter and may not fit.
     """
     large = _large(members)
-    pairs = materialise(_first_pairs(members, large, narrow), "pairs")
+    pairs = _compared(_first_pairs(members, large, narrow), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
     links = verified(pairs, nodes.union(large.select("node")).distinct())
     roots = materialise(components(links), "roots")
@@ -138,12 +145,20 @@ def linked(members: DataFrame, verified: Callable[..., DataFrame], narrow: Rule,
         roots = materialise(components(known.union(more)), "roots")
         for past in (old, more, opened):
             discard(past)
-    more = verified(_across(opened, wide))
+    last = _compared(_across(opened, wide).distinct(), "across")
+    more = verified(last, opened.select("node").distinct())
+    discard(last)
     if not more.head(1):
         return roots
     return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
 
+def _compared(pairs: DataFrame, name: str) -> DataFrame:
+    """``pairs``, written; a join whose rule makes a method that the JVM would never compile is split into smaller ones."""
+    with runtime_conf(pairs.sparkSession, "spark.sql.codegen.hugeMethodLimit", "8000"):
+        return materialise(pairs, name)
+
+
 def _large(members: DataFrame) -> DataFrame:
     """``_key, node, rep`` of the bands of more than ``SMALL`` nodes, with the most frequent of them.
 

@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
-from functools import partial, reduce
-from operator import add
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerocell.llm.bands import BANDS, ROWS, Rule, band_members, bounded, largest_hash, linked, signatures
+from aerocell.llm.bands import BANDS, ROWS, Rule, band_members, bounded, linked, signatures
 from aerocell.llm.maps import allows, bit_maps
 from aerocell.session import discard, materialise
 
 SHINGLE = 7
 SIMILARITY = 0.8
 
-# Words of 64 bits of the map that rules out pairs; powers of two. The wide map
-# is for the nodes of bands that stay in several components: 550 characters set a
-# quarter of its bits, so it tells pairs below a similarity of some 0.73 apart.
-WORDS = 8
-WIDE = 32
+# Words of 64 bits of the map that rules out pairs; a power of two. 270 characters
+# set a quarter of its bits, so it tells pairs below a similarity of some 0.73 apart.
+WORDS = 16
 # Lines of so many shingles fill most of their map and have their distinct ones counted.
-COUNTED_FROM = 600
+COUNTED_FROM = 1200
+# Shingles that one row of the loop over a line takes, to be combined before the sums.
+CHUNK = 4
 
 _WIDTH = 4  # bytes of a character in UTF-32
 
@@ -46,19 +45,27 @@ def _shingle(encoded: Column, place: Column, size: int) -> Column:
     return F.xxhash64(F.substring(encoded, place * _WIDTH + 1, F.lit(size * _WIDTH)))
 
 
+def _chunks(texts: DataFrame, keep: list[str], number: str, size: int) -> DataFrame:
+    """``keep..., _at, _h0...``: the hashes of ``CHUNK`` shingles from each ``CHUNK``-th place of ``_bytes`` on.
+
+    The last shingle of a line is repeated until its chunk is full, which
+    changes no least hash and no map.
+    """
+    each = texts.select(*keep, number, "_bytes", F.explode(F.sequence(F.lit(0), F.col(number) - 1, F.lit(CHUNK))).alias("_at"))
+    places = [F.least(F.col("_at") + i, F.col(number) - 1) for i in range(CHUNK)]
+    hashes = [_shingle(F.col("_bytes"), place, size).alias(f"_h{i}") for i, place in enumerate(places)]
+    return each.select(*keep, "_at", *hashes)
+
+
 def _signatures(lines: DataFrame, size: int, minima: int) -> DataFrame:
     """``node, n, m0...``: the number of such lines, and the least hash under each permutation."""
     encoded = lines.select("node", _encoded(F.col("_line")).alias("_bytes"))
     counted = encoded.select("*", _n_shingles(F.col("_bytes"), size).alias("_n"))
-    # Place -1 stands for the line itself, to count it.
-    places = F.explode_outer(F.sequence(F.lit(-1), F.col("_n") - 1)).alias("_at")
-    each = counted.select("node", "_bytes", largest_hash(F.col("_n")).alias("_most"), places)
-    shingle = F.when(F.col("_at") >= 0, _shingle(F.col("_bytes"), F.col("_at"), size))
-    return signatures(each.select("node", (F.col("_at") < 0).alias("_first"), "_most", shingle.alias("_h")), minima)
+    return signatures(_chunks(counted, ["node"], "_n", size).withColumn("_first", F.col("_at") == 0), minima)
 
 
 def _mapped(texts: DataFrame, size: int, words: int = WORDS) -> DataFrame:
-    """``node, _n, _exact, _s0...``: the number of shingles, and a map of ``words`` of 64 bits in which each sets one.
+    """``node, _n, _exact, _s0..., _bits``: the number of shingles, and a map of ``words`` of 64 bits in which each sets one.
 
     Of a line that would fill its map the distinct shingles are counted, of a
     shorter one all, as its map tells how many are distinct at least.
@@ -67,9 +74,8 @@ def _mapped(texts: DataFrame, size: int, words: int = WORDS) -> DataFrame:
     counted = texts.select("node", "_bytes", shingles.alias("_all"), (shingles >= COUNTED_FROM).alias("_exact"))
     number = F.when(F.col("_exact"), F.size(_hashes("_bytes", size))).otherwise(F.col("_all")).alias("_n")
     counted = counted.select("node", "_bytes", "_all", "_exact", number)
-    each = counted.select("node", "_n", "_exact", "_bytes", F.explode(F.sequence(F.lit(0), F.col("_all") - 1)).alias("_at"))
-    hashed = each.select("node", "_n", "_exact", _shingle(F.col("_bytes"), F.col("_at"), size).alias("_h"))
-    return bit_maps(hashed, ["node", "_n", "_exact"], words)
+    keys = ["node", "_n", "_exact"]
+    return bit_maps(_chunks(counted, keys, "_all", size), keys, words)
 
 
 def _sized(maps: DataFrame) -> DataFrame:
@@ -79,8 +85,7 @@ def _sized(maps: DataFrame) -> DataFrame:
     many as its map has bits.
     """
     names = [c for c in maps.columns if c.startswith("_s")]
-    bits = reduce(add, map(F.bit_count, names))
-    return maps.select("node", "_n", F.when(F.col("_exact"), F.col("_n")).otherwise(bits).alias("_least"), *names)
+    return maps.select("node", "_n", F.when(F.col("_exact"), F.col("_n")).otherwise(F.col("_bits")).alias("_least"), *names)
 
 
 def _promising(pairs: DataFrame, maps: DataFrame, similarity: float) -> DataFrame:
@@ -161,11 +166,8 @@ def similar_lines(
         discard(promising)
         return links
 
-    def widely(nodes: DataFrame) -> DataFrame:
-        return _sized(_mapped(stored[0].join(bounded(nodes), "node"), size, WIDE))
-
-    narrow = Rule(lambda nodes: _sized(maps), partial(allows, similarity, WORDS))
-    return linked(members, verified, narrow, Rule(widely, partial(allows, similarity, WIDE)))
+    rule = Rule(lambda nodes: _sized(maps), partial(allows, similarity, WORDS))
+    return linked(members, verified, rule, rule)
 
 
 def duplicate_lines(docs: DataFrame, **options) -> DataFrame:

@@ -10,11 +10,23 @@ from pyspark.sql import functions as F
 
 
 def bit_maps(hashed: DataFrame, by: list[str], words: int) -> DataFrame:
-    """``by`` and ``_s0...``: a map of ``words`` (a power of two) of 64 bits in which each hash ``_h`` sets one."""
-    bit, word = F.expr("shiftleft(1L, CAST(_h & 63 AS INT))"), F.shiftrightunsigned("_h", 6).bitwiseAND(F.lit(words - 1))
-    none = F.lit(0).cast("long")
-    maps = [F.bit_or(F.when(word == w, bit).otherwise(none)).alias(f"_s{w}") for w in range(words)]
-    return hashed.groupBy(*by).agg(*maps)
+    """``by``, ``_s0...`` and ``_bits``: a map of ``words`` (a power of two) of 64 bits in which each hash sets one, and how many are set.
+
+    A row of ``hashed`` has one hash or more, in the columns whose names begin with ``_h``.
+    """
+    hashes = [c for c in hashed.columns if c.startswith("_h")]
+    bits = [F.expr(f"shiftleft(1L, CAST({c} & 63 AS INT))").alias(f"_bit{i}") for i, c in enumerate(hashes)]
+    places = [F.shiftrightunsigned(c, 6).bitwiseAND(F.lit(words - 1)).alias(f"_word{i}") for i, c in enumerate(hashes)]
+    placed, none = hashed.select(*by, *bits, *places), F.lit(0).cast("long")
+
+    def word(w: int) -> Column:
+        own = [F.when(F.col(f"_word{i}") == w, F.col(f"_bit{i}")).otherwise(none) for i in range(len(hashes))]
+        return reduce(Column.bitwiseOR, own)
+
+    maps = [F.bit_or(word(w)) for w in range(words)]
+    # Counted with the sums: a long sum in a projection would be copied into every condition on it while Spark plans.
+    set_bits = reduce(add, map(F.bit_count, maps)).alias("_bits")
+    return placed.groupBy(*by).agg(*(m.alias(f"_s{w}") for w, m in enumerate(maps)), set_bits)
 
 
 def allows(similarity: float, words: int, x: str, y: str) -> Column:

@@ -153,7 +153,7 @@ def _of_like_size(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataF
 def _maps(sets: DataFrame) -> DataFrame:
     """``node, _n, _least, _s0...``: the number of shingles, as the most and the least, and their map."""
     mapped = bit_maps(sets.select("node", "_n", F.explode("_set").alias("_h")), ["node", "_n"], MAP_WORDS)
-    return mapped.withColumn("_least", F.col("_n"))
+    return mapped.drop("_bits").withColumn("_least", F.col("_n"))
 
 
 def _sets(texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:

@@ -9,6 +9,7 @@ from small import AWKWARD, docs_of, prose, saved
 
 from aerocell.llm import bands, lines
 from aerocell.llm.lines import duplicate_lines, without_duplicate_lines
+from aerocell.llm.maps import bit_maps
 from aerocell.llm.queries import QUERIES
 from aerocell.session import materialise
 
@@ -201,3 +202,25 @@ def test_a_small_band_is_settled_at_once(spark, monkeypatch):
     texts = [edited(prose(1, 80), i, 1 + i % 2) for i in range(8)] + [prose(20 + i, 30) for i in range(5)]
     got = {r.doc_id: list(r.dropped) for r in duplicate_lines(docs_of(spark, texts)).collect()}
     assert got == brute(texts)
+
+
+def test_chunks_of_shingles_change_nothing(spark):
+    # Lengths around a chunk's end; the last shingle is repeated to fill a chunk.
+    pick, words = random.Random(3), 2
+    rows = [(n, "".join(pick.choices("abcdefgh漢é", k=n))) for n in range(1, 40)]
+    texts = spark.createDataFrame(rows, "node long, _line string").select("node", lines._encoded(F.col("_line")).alias("_bytes"), "_line")
+    each = spark.createDataFrame([(n, i == 0, g) for n, t in rows for i, g in enumerate(sorted(grams(t)))], "node long, _first boolean, g string")
+    each = each.select("node", "_first", F.xxhash64(F.encode("g", "UTF-32")).alias("_h"))
+    assert sorted(lines._signatures(texts, 7, 30).collect()) == sorted(bands.signatures(each, 30).collect())
+    want = {r[0]: tuple(r[1:]) for r in bit_maps(each, ["node"], words).collect()}
+    got = lines._mapped(texts, 7, words).select("node", *(f"_s{w}" for w in range(words)), "_bits").collect()
+    assert {r[0]: tuple(r[1:]) for r in got} == want
+    assert all(r._bits == sum(bin(r[f"_s{w}"] & (1 << 64) - 1).count("1") for w in range(words)) for r in got)
+
+
+def test_a_group_of_some_dozens_is_settled_without_rounds(spark, monkeypatch):
+    # Their maps were compared in the join; they are not moved again for that.
+    monkeypatch.setattr(lines, "_promising", None)
+    texts = star(40, 10)
+    got = {r.doc_id: list(r.dropped) for r in duplicate_lines(docs_of(spark, texts)).collect()}
+    assert got == brute(texts)
