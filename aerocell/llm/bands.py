@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from aerocell.llm.components import components
 from aerocell.session import discard, materialise, runtime_conf
@@ -19,8 +20,12 @@ _PREFIX_BITS = 5
 _REST = 64 - _PREFIX_BITS
 # Hashes kept per part: a part of a large set is empty with probability e^-7.
 _PER_PART = 7
-# Sides up to this many rows (of some 50 bytes) are broadcast, larger ones shuffled.
+# Sides up to this many rows and bytes, as they lie in memory, are broadcast, larger ones shuffled.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32_000_000
+
+# Of a row in a table that is broadcast, beside its columns.
+_ROW_BYTES = 40
 
 # Bands of up to so many nodes are checked pair by pair at once.
 SMALL = 16
@@ -37,8 +42,13 @@ _RANKED = (1 << 22) - 1
 
 
 def bounded(df: DataFrame) -> DataFrame:
-    """``df``, a written table, to be broadcast if it is small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """``df``, a written table of numbers, to be broadcast if it is small, else to be merged.
+
+    Left to itself Spark would go by the size of the files, which are packed.
+    """
+    row = _ROW_BYTES + sum(8 * (BANDS if isinstance(f.dataType, ArrayType) else 1) for f in df.schema.fields)
+    small = df.count() <= min(BROADCAST_ROWS, BROADCAST_BYTES // row)
+    return F.broadcast(df) if small else df.hint("merge")
 
 
 def largest_hash(n: Column) -> Column:

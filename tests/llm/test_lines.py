@@ -224,3 +224,10 @@ def test_a_group_of_some_dozens_is_settled_without_rounds(spark, monkeypatch):
     texts = star(40, 10)
     got = {r.doc_id: list(r.dropped) for r in duplicate_lines(docs_of(spark, texts)).collect()}
     assert got == brute(texts)
+
+
+def test_a_wide_table_is_broadcast_by_its_bytes(spark, monkeypatch):
+    monkeypatch.setattr(bands, "BROADCAST_BYTES", 100 * 64)
+    narrow, wide = spark.range(100), spark.range(100).selectExpr("id", "array(id) AS _keys")
+    plans = [spark.range(9).join(bands.bounded(t), "id")._jdf.queryExecution().executedPlan().toString() for t in (narrow, wide)]
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" in plans[1]
